@@ -22,10 +22,12 @@ def cosine(a: Column, b: Column) -> Column:
 
 def unit(a: Column) -> Column:
     """``a`` scaled to length one; null for a zero vector, so that callers can drop it."""
-    length = norm(a)
-    return F.when(
-        length > 0, F.transform(a, lambda x: x.cast("double") / length)
+    # bound as a lambda variable, or the length would be computed anew for every element
+    scaled = F.transform(
+        F.array(norm(a)),
+        lambda n: F.when(n > 0, F.transform(a, lambda x: x.cast("double") / n)),
     )
+    return F.get(scaled, F.lit(0))
 
 
 def co_rating_similarity(both: Column, first: Column, second: Column) -> Column:

@@ -26,6 +26,7 @@ BASKETS_PER_TILE = 20_000_000
 RATINGS_PER_TASK = 250_000
 BLOCKS_PER_SALT = 64
 INCREMENTS_AT_ONCE = 4_000_000
+SPARSE_BELOW = 8
 PAIR_SCHEMA = "product1 bigint, product2 bigint, common bigint, nor1 bigint, nor2 bigint"
 
 
@@ -88,18 +89,37 @@ class PairCounts:
                 if not same_block:
                     yield self._batch(one[some], two[some], True)
             return
-        raters = self.row_raters.astype(float)[:, None] * self.col_raters.astype(float)[None, :]
-        scores = np.where(self.counts > 0, self.counts / np.sqrt(raters), -np.inf)
+        raters = (self.row_raters.astype(float), self.col_raters.astype(float))
+        if np.count_nonzero(self.counts) * SPARSE_BELOW < self.counts.size:
+            one, two = np.nonzero(self.counts)
+            scores = self.counts[one, two] / np.sqrt(raters[0][one] * raters[1][two])
+            kept = best_per_group(one, scores, two, k)
+            yield self._batch(one[kept], two[kept], False)
+            if not same_block:
+                kept = best_per_group(two, scores, one, k)
+                yield self._batch(one[kept], two[kept], True)
+            return
+        scores = self.counts / np.sqrt(raters[0][:, None] * raters[1][None, :])
+        scores[self.counts == 0] = -np.inf
         # ids ascend along both axes, so the first of equal scores is the smaller id
         found, at = best_columns(scores, k)
         row, n = np.nonzero(~np.isneginf(found))
         yield self._batch(row, at[row, n], False)
         if not same_block:
-            found, at = best_columns(scores.T, k)
+            found, at = best_columns(np.ascontiguousarray(scores.T), k)
             col, n = np.nonzero(~np.isneginf(found))
             yield self._batch(at[col, n], col, True)
 
 
+def best_per_group(group: np.ndarray, scores: np.ndarray, tie: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the k highest scores per group, equal ones by ascending ``tie``."""
+    order = np.lexsort((tie, -scores, group))
+    grouped = group[order]
+    first = np.flatnonzero(np.concatenate([[True], grouped[1:] != grouped[:-1]]))
+    place = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+    return order[place < k]
+
+
 def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.diff(lists.offsets.to_numpy())
     return lists.flatten().to_numpy(zero_copy_only=False), lengths
@@ -108,7 +128,11 @@ def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def count_tiles(
     k: int | None, weighted: bool
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The task body: rows arrive sorted by (tile, kind): 0 and 1 name the two blocks' items, 2 are baskets."""
+    """The task body: rows arrive sorted by (tile, kind).
+
+    Kinds 0 and 1 list the items (``l``) and rater counts (``r``) of the tile's two blocks; kind 2
+    are the parts of one basket that lie in either block.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, items, counts = None, {}, None
@@ -122,7 +146,7 @@ def count_tiles(
                     tile, items, counts = tiles[lo], {}, None
                 part = batch.slice(lo, hi - lo)
                 if kinds[lo] < 2:
-                    items[kinds[lo]] = (_flat(part.column("l"))[0], _flat(part.column("lw"))[0])
+                    items[kinds[lo]] = (_flat(part.column("l"))[0], _flat(part.column("r"))[0])
                     continue
                 if counts is None:
                     same_block = 1 not in items
@@ -176,31 +200,29 @@ def _counted(
         )
 
     incidence = _incidence(ratings, dedupe)
-    block = F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int").alias("block")
+    # never null, so that no null filter is derived from it and both uses below share one shuffle
+    block = F.coalesce(F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int"), F.lit(0)).alias("block")
     share = F.pmod(F.xxhash64("userId", F.lit("share")), F.lit(shares)).cast("int")
 
-    entry = F.struct("item", F.col("w"))
-    baskets = incidence.groupBy("userId", block).agg(
-        F.collect_list("item" if dedupe else entry).alias("_e")
-    )
-    names = baskets.select(
-        "userId",
-        "block",
-        (F.col("_e") if dedupe else F.col("_e.item")).alias("items"),
-        (F.lit(None).cast("array<bigint>") if dedupe else F.col("_e.w")).alias("ws"),
-    )
+    # no null arrays anywhere: an Arrow writer is slow at runs of them
+    weights = [] if dedupe else ["lw", "rw"]
+    columns = ["tile", "kind", "l", "r", *weights]
+    entry = F.col("item") if dedupe else F.struct("item", "w")
+    baskets = incidence.groupBy("userId", block).agg(F.collect_list(entry).alias("_e"))
+
+    def part(number: str, items: str, w: str) -> DataFrame:
+        fields = [F.col("_e").alias(items)]
+        if not dedupe:
+            fields = [F.col("_e.item").alias(items), F.col("_e.w").alias(w)]
+        return baskets.select("userId", F.col("block").alias(number), *fields)
+
+    rows = part("b1", "l", "lw")
     if blocks == 1:
-        cut = names.select(
-            _tile_number(F.col("block"), F.col("block"), share, shares).alias("tile"),
-            F.lit(2).alias("kind"),
-            F.col("items").alias("l"),
-            F.col("ws").alias("lw"),
-            F.col("items").alias("r"),
-            F.col("ws").alias("rw"),
-        )
+        cut = rows.withColumn("b2", F.col("b1")).withColumn("r", F.col("l"))
+        if not dedupe:
+            cut = cut.withColumn("rw", F.col("lw"))
     else:
-        rows = names.select("userId", F.col("block").alias("b1"), F.col("items").alias("l"), F.col("ws").alias("lw"))
-        cols = names.select("userId", F.col("block").alias("b2"), F.col("items").alias("r"), F.col("ws").alias("rw"))
+        cols = part("b2", "r", "rw")
         on = ["userId"]
         if blocks > BLOCKS_PER_SALT:
             # a user present in many blocks is joined in several places
@@ -208,18 +230,12 @@ def _counted(
             rows = rows.withColumn("ways", ways).withColumn("salt", F.expr("pmod(b1, ways)")).drop("ways")
             cols = cols.withColumn("ways", ways).withColumn("salt", F.explode(F.expr("sequence(0, ways - 1)"))).drop("ways")
             on = ["userId", "salt"]
-        cut = (
-            rows.join(cols, on)
-            .where("b1 <= b2")
-            .select(
-                _tile_number(F.col("b1"), F.col("b2"), share, shares).alias("tile"),
-                F.lit(2).alias("kind"),
-                "l",
-                "lw",
-                "r",
-                "rw",
-            )
-        )
+        cut = rows.join(cols, on).where("b1 <= b2")
+    cut = (
+        cut.withColumn("tile", _tile_number(F.col("b1"), F.col("b2"), share, shares))
+        .withColumn("kind", F.lit(2))
+        .select(*columns)
+    )
 
     raters = incidence.groupBy("item").agg(F.sum("w").alias("n"))
     named = raters.groupBy(block).agg(
@@ -227,16 +243,16 @@ def _counted(
     )
 
     def naming(kind: int, others: str, tile: Column) -> DataFrame:
+        empty = [F.array().cast("array<bigint>").alias(w) for w in weights]
         return (
             named.select("block", "_e", F.explode(F.expr(others)).alias("other"))
-            .select("_e", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"), "block", "other")
+            .select("_e", "block", "other", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"))
             .select(
                 tile.alias("tile"),
                 F.lit(kind).alias("kind"),
                 F.col("_e.item").alias("l"),
-                F.col("_e.n").alias("lw"),
-                F.lit(None).cast("array<bigint>").alias("r"),
-                F.lit(None).cast("array<bigint>").alias("rw"),
+                F.col("_e.n").alias("r"),
+                *empty,
             )
         )
 
