@@ -47,7 +47,9 @@ def fit_als(
         coldStartStrategy="drop",
         seed=seed,
     )
-    return als.fit(rows)
+    # training reads its input more than once and takes long: neither a second pass over the
+    # ratings nor a lost executor should mean reducing them again
+    return als.fit(settled(rows))
 
 
 def factors(df: DataFrame, id_col: str = "id", vec_col: str = "features") -> DataFrame:

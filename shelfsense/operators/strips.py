@@ -25,33 +25,72 @@ CHUNK_ROWS = 1_000_000
 MAX_PARTITIONS = 50_000
 RIGHT_ROWS_AT_ONCE = 512
 HEAD_TERMS = 256
+HEAD_SHARE = 16
+TAIL_PRODUCTS_AT_ONCE = 4_000_000
 NO_ID = np.iinfo(np.int64).max
 
 
 class BestPartners:
     """The best k (score, id) per left row; equal scores go to the smaller id."""
 
-    def __init__(self, left_ids: np.ndarray, k: int):
+    def __init__(self, left_ids: np.ndarray, k: int, above: float | None, digits: int | None, skip_self: bool):
         self.left_ids = left_ids
-        self.k = k
+        self.k, self.above, self.digits, self.skip_self = k, above, digits, skip_self
         self.scores = np.full((len(left_ids), k), -np.inf)
         self.ids = np.full((len(left_ids), k), NO_ID)
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.n_waiting = 0
 
     def offer(self, scores: np.ndarray, right_ids: np.ndarray) -> None:
-        """``scores[i, j]`` of left row i with ``right_ids[j]`` (ascending); -inf is no candidate."""
-        # a row can only change where something reaches its present k-th score
-        rows = np.flatnonzero(scores.max(axis=1) >= self.scores[:, -1])
-        if not len(rows):
+        """``scores[i, j]`` of left row i with ``right_ids[j]``."""
+        # two scores that round to the same lie less than this apart
+        slack = 0.0 if self.digits is None else 10.0**-self.digits
+        floor = self.scores[:, -1] - slack
+        if self.above is not None:
+            floor = np.maximum(floor, self.above)
+        hit = scores >= floor[:, None]
+        n_right = len(right_ids)
+        wanted = self.k + self.skip_self
+        if np.count_nonzero(hit) * 16 > hit.size and n_right > wanted:
+            # nothing below this batch's own k-th either; all that may tie with it stay in
+            nth = np.partition(scores, n_right - wanted, axis=1)[:, n_right - wanted]
+            hit &= scores >= (nth - slack)[:, None]
+        at = np.flatnonzero(hit)
+        row, col = np.divmod(at, n_right)
+        score, rid = scores.ravel()[at], right_ids[col]
+        fine = np.ones(len(at), dtype=bool) if self.above is None else score > self.above
+        if self.skip_self:
+            fine &= rid != self.left_ids[row]
+        if self.digits is not None:
+            score = np.round(score, self.digits) + 0.0  # no minus zero
+        fine &= score >= self.scores[row, -1]
+        self.waiting.append((row[fine], score[fine], rid[fine]))
+        self.n_waiting += len(self.waiting[-1][0])
+        # a merge looks at all k of a row again, so it is put off until it has enough to do
+        if self.n_waiting * 2 >= self.ids.size:
+            self._merge()
+
+    def _merge(self) -> None:
+        """Take the k best of what each row has and what is waiting for it."""
+        if not self.n_waiting:
             return
-        found, at = best_columns(scores[rows], self.k)
-        ids = np.where(np.isneginf(found), NO_ID, right_ids[at])
-        all_scores = np.hstack([self.scores[rows], found])
-        all_ids = np.hstack([self.ids[rows], ids])
-        order = np.lexsort((all_ids, -all_scores), axis=-1)[:, : self.k]
-        self.scores[rows] = np.take_along_axis(all_scores, order, axis=1)
-        self.ids[rows] = np.take_along_axis(all_ids, order, axis=1)
+        row, score, rid = (np.concatenate(parts) for parts in zip(*self.waiting))
+        self.waiting, self.n_waiting = [], 0
+        by_row = np.argsort(row, kind="stable")
+        row, score, rid = row[by_row], score[by_row], rid[by_row]
+        new = np.concatenate([[True], row[1:] != row[:-1]])
+        rows = row[new]
+        owner = np.concatenate([np.repeat(np.arange(len(rows)), self.k), np.cumsum(new) - 1])
+        scores = np.concatenate([self.scores[rows].ravel(), score])
+        ids = np.concatenate([self.ids[rows].ravel(), rid])
+        order = np.lexsort((ids, -scores, owner))
+        first = np.searchsorted(owner[order], np.arange(len(rows)))
+        kept = order[first[:, None] + np.arange(self.k)]
+        self.scores[rows] = scores[kept]
+        self.ids[rows] = ids[kept]
 
     def result(self) -> pa.RecordBatch:
+        self._merge()
         row, col = np.nonzero(self.ids != NO_ID)
         return pa.RecordBatch.from_arrays(
             [
@@ -98,8 +137,8 @@ class DenseStrip:
 class SparseStrip:
     """Inner products of term/weight lists.
 
-    The strip's most frequent terms go through a dense product, the rest through an index from
-    term to strip rows, so neither a huge vocabulary nor a term in every row is a problem.
+    Terms found in a good share of the strip's rows go through a dense product, the rest through an
+    index from term to strip rows, so neither a huge vocabulary nor a term in every row is a problem.
     """
 
     def __init__(self, left: pa.Table):
@@ -109,13 +148,14 @@ class SparseStrip:
         if isinstance(coded, pa.ChunkedArray):
             coded = coded.combine_chunks()
         code = coded.indices.to_numpy(zero_copy_only=False)
-        by_use = np.argsort(-np.bincount(code, minlength=len(coded.dictionary)), kind="stable")
+        use = np.bincount(code, minlength=len(coded.dictionary))
+        by_use = np.argsort(-use, kind="stable")
         # renumber the terms by falling frequency: the head is then simply code < n_head
         position = np.empty(len(by_use), dtype=np.int64)
         position[by_use] = np.arange(len(by_use))
         self.vocabulary = coded.dictionary.take(pa.array(by_use))
         code = position[code]
-        self.n_head = min(HEAD_TERMS, len(by_use))
+        self.n_head = min(HEAD_TERMS, np.count_nonzero(use * HEAD_SHARE >= self.n_rows))
         head = code < self.n_head
         self.head = np.zeros((self.n_rows, self.n_head))
         self.head[rows[head], code[head]] = weights[head]
@@ -139,15 +179,19 @@ class SparseStrip:
         dense = np.zeros((right.num_rows, self.n_head))
         dense[rows[head], code[head]] = weights[head]
         out = self.head @ dense.T
-        tail = code >= self.n_head
-        if tail.any():
-            at = code[tail] - self.n_head
-            entry, offset = spans(self.tail_start[at], self.tail_start[at + 1] - self.tail_start[at])
-            np.add.at(
-                out,
-                (self.tail_rows[offset], rows[tail][entry]),
-                self.tail_weights[offset] * weights[tail][entry],
-            )
+        tail = np.flatnonzero(code >= self.n_head)
+        at = code[tail] - self.n_head
+        uses = self.tail_start[at + 1] - self.tail_start[at]
+        done = np.concatenate([[0], np.cumsum(uses)])
+        cells = out.ravel()
+        start = 0
+        while start < len(tail):
+            stop = max(start + 1, int(np.searchsorted(done, done[start] + TAIL_PRODUCTS_AT_ONCE, "right")) - 1)
+            entry, offset = spans(self.tail_start[at[start:stop]], uses[start:stop])
+            mine = tail[start:stop][entry]
+            cell = self.tail_rows[offset] * right.num_rows + rows[mine]
+            np.add.at(cells, cell, self.tail_weights[offset] * weights[mine])
+            start = stop
         return out
 
 
@@ -194,19 +238,10 @@ def best_partners(
                 if strip is None:
                     rows = pa.Table.from_batches(left)
                     strip = strip_type(rows)
-                    best = BestPartners(rows.column("id").to_numpy(), k)
+                    best = BestPartners(rows.column("id").to_numpy(), k, above, digits, skip_self)
                 for start in range(0, part.num_rows, RIGHT_ROWS_AT_ONCE):
                     some = part.slice(start, RIGHT_ROWS_AT_ONCE)
-                    some = some.take(pc.sort_indices(some.column("id")))
-                    ids = some.column("id").to_numpy()
-                    scores = strip.products(some)
-                    barred = np.zeros(scores.shape, dtype=bool) if above is None else ~(scores > above)
-                    if skip_self:
-                        barred |= best.left_ids[:, None] == ids[None, :]
-                    if digits is not None:
-                        scores = np.round(scores, digits)
-                    scores[barred] = -np.inf
-                    best.offer(scores, ids)
+                    best.offer(strip.products(some), some.column("id").to_numpy())
         if best is not None:
             yield best.result()
 
