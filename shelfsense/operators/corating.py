@@ -20,31 +20,38 @@ from shelfsense.functions.vectors import co_rating_similarity
 from shelfsense.operators.ranking import top_per_key
 from shelfsense.operators.strips import MAX_PARTITIONS, best_columns, runs, spans
 
-BLOCK_ITEMS = 2048
+BLOCK_ITEMS = 4096
 SMALLEST_BLOCK = 256
 BASKETS_PER_TILE = 20_000_000
 RATINGS_PER_TASK = 250_000
 BLOCKS_PER_SALT = 64
 INCREMENTS_AT_ONCE = 4_000_000
 SPARSE_BELOW = 8
+STRIPE = 512
 PAIR_SCHEMA = "product1 bigint, product2 bigint, common bigint, nor1 bigint, nor2 bigint"
 
 
 class PairCounts:
     """Co-rating counts of one tile."""
 
-    def __init__(self, rows: tuple[np.ndarray, np.ndarray], cols: tuple[np.ndarray, np.ndarray]):
+    def __init__(
+        self, rows: tuple[np.ndarray, np.ndarray], cols: tuple[np.ndarray, np.ndarray], weighted: bool
+    ):
         self.row_ids, self.row_raters = rows
         self.col_ids, self.col_raters = cols
-        self.counts = np.zeros((len(self.row_ids), len(self.col_ids)), dtype=np.int64)
+        self.weighted = weighted
+        # unweighted, a cell counts users at most once each
+        kind = np.int64 if weighted else np.uint32
+        self.counts = np.zeros((len(self.row_ids), len(self.col_ids)), dtype=kind)
 
-    def add(self, batch: pa.RecordBatch, weighted: bool) -> None:
+    def add(self, batch: pa.RecordBatch) -> None:
         left, n_left = _flat(batch.column("l"))
         right, n_right = _flat(batch.column("r"))
         left = np.searchsorted(self.row_ids, left)
         right = np.searchsorted(self.col_ids, right)
-        lw = _flat(batch.column("lw"))[0] if weighted else None
-        rw = _flat(batch.column("rw"))[0] if weighted else None
+        one = self.counts.dtype.type(1)
+        lw = _flat(batch.column("lw"))[0] if self.weighted else None
+        rw = _flat(batch.column("rw"))[0] if self.weighted else None
         left_at = np.concatenate([[0], np.cumsum(n_left)])
         right_at = np.concatenate([[0], np.cumsum(n_right)])
         done = np.concatenate([[0], np.cumsum(n_left * n_right)])
@@ -56,20 +63,20 @@ class PairCounts:
             ls = slice(left_at[start], left_at[stop])
             if stop == start + 1:
                 rs = slice(right_at[start], right_at[stop])
-                step = np.multiply.outer(lw[ls], rw[rs]) if weighted else 1
+                step = np.multiply.outer(lw[ls], rw[rs]) if self.weighted else one
                 # the items of a basket are distinct, so every cell is hit once
                 self.counts[np.ix_(left[ls], right[rs])] += step
             else:
                 basket = np.repeat(np.arange(start, stop), n_left[start:stop])
                 entry, at = spans(right_at[basket], n_right[basket])
                 cell = left[ls][entry] * len(self.col_ids) + right[at]
-                np.add.at(flat, cell, lw[ls][entry] * rw[at] if weighted else 1)
+                np.add.at(flat, cell, lw[ls][entry] * rw[at] if self.weighted else one)
             start = stop
 
     def _batch(self, one: np.ndarray, two: np.ndarray, flipped: bool) -> pa.RecordBatch:
         first = [self.row_ids[one], self.row_raters[one]]
         second = [self.col_ids[two], self.col_raters[two]]
-        common = self.counts[one, two]
+        common = self.counts[one, two].astype(np.int64)
         if flipped:
             first, second = second, first
         columns = [first[0], second[0], common, first[1], second[1]]
@@ -82,7 +89,7 @@ class PairCounts:
         if same_block:
             np.fill_diagonal(self.counts, 0)
         if k is None:
-            one, two = np.nonzero(self.counts)
+            one, two = self._cells()
             for at in range(0, len(one), 100_000):
                 some = slice(at, at + 100_000)
                 yield self._batch(one[some], two[some], False)
@@ -91,7 +98,7 @@ class PairCounts:
             return
         raters = (self.row_raters.astype(float), self.col_raters.astype(float))
         if np.count_nonzero(self.counts) * SPARSE_BELOW < self.counts.size:
-            one, two = np.nonzero(self.counts)
+            one, two = self._cells()
             scores = self.counts[one, two] / np.sqrt(raters[0][one] * raters[1][two])
             kept = best_per_group(one, scores, two, k)
             yield self._batch(one[kept], two[kept], False)
@@ -99,16 +106,31 @@ class PairCounts:
                 kept = best_per_group(two, scores, one, k)
                 yield self._batch(one[kept], two[kept], True)
             return
-        scores = self.counts / np.sqrt(raters[0][:, None] * raters[1][None, :])
-        scores[self.counts == 0] = -np.inf
-        # ids ascend along both axes, so the first of equal scores is the smaller id
-        found, at = best_columns(scores, k)
-        row, n = np.nonzero(~np.isneginf(found))
-        yield self._batch(row, at[row, n], False)
-        if not same_block:
-            found, at = best_columns(np.ascontiguousarray(scores.T), k)
-            col, n = np.nonzero(~np.isneginf(found))
-            yield self._batch(at[col, n], col, True)
+        # a stripe at a time; ids ascend along both axes, so the first of equal scores is the smaller id
+        for start in range(0, len(self.row_ids), STRIPE):
+            stripe = slice(start, start + STRIPE)
+            row, col = _best_cells(self.counts[stripe], raters[0][stripe], raters[1], k)
+            yield self._batch(row + start, col, False)
+        if same_block:
+            return
+        for start in range(0, len(self.col_ids), STRIPE):
+            stripe = slice(start, start + STRIPE)
+            col, row = _best_cells(self.counts[:, stripe].T, raters[1][stripe], raters[0], k)
+            yield self._batch(row, col + start, True)
+
+    def _cells(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.divmod(np.flatnonzero(self.counts), max(1, len(self.col_ids)))
+
+
+def _best_cells(
+    counts: np.ndarray, own: np.ndarray, others: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the k most similar others of every row."""
+    scores = np.ascontiguousarray(counts) / np.sqrt(own[:, None] * others[None, :])
+    scores[scores == 0] = -np.inf
+    found, at = best_columns(scores, k)
+    row, n = np.nonzero(~np.isneginf(found))
+    return row, at[row, n]
 
 
 def best_per_group(group: np.ndarray, scores: np.ndarray, tie: np.ndarray, k: int) -> np.ndarray:
@@ -150,8 +172,8 @@ def count_tiles(
                     continue
                 if counts is None:
                     same_block = 1 not in items
-                    counts = PairCounts(items[0], items[0] if same_block else items[1])
-                counts.add(part, weighted)
+                    counts = PairCounts(items[0], items[0] if same_block else items[1], weighted)
+                counts.add(part)
         if counts is not None:
             yield from counts.result(k, same_block)
 

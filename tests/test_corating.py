@@ -46,7 +46,7 @@ def ranked(df):
     return dict(lists)
 
 
-LAYOUTS = [(2048, None), (8, None), (8, 3), (1, None), (100, 5)]
+LAYOUTS = [(4096, None), (8, None), (8, 3), (4, None), (100, 5)]
 
 
 @pytest.mark.parametrize("dedupe", [True, False])
