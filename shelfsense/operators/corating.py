@@ -28,6 +28,7 @@ BLOCKS_PER_SALT = 64
 INCREMENTS_AT_ONCE = 4_000_000
 SPARSE_BELOW = 8
 STRIPE = 512
+SHARED_ROW_ITEMS, ROW_ITEMS, COLUMN_ITEMS, BASKET = -1, 0, 1, 2
 PAIR_SCHEMA = "product1 bigint, product2 bigint, common bigint, nor1 bigint, nor2 bigint"
 
 
@@ -152,30 +153,33 @@ def count_tiles(
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The task body: rows arrive sorted by (tile, kind).
 
-    Kinds 0 and 1 list the items (``l``) and rater counts (``r``) of the tile's two blocks; kind 2
-    are the parts of one basket that lie in either block.
+    The first kinds list the items (``l``) and rater counts (``r``) of the tile's two blocks, BASKET
+    rows the parts of one basket that lie in either block. The best ``k`` can only be told where a
+    task sees all baskets of its tile; of a shared tile it hands on all counts, to be summed.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, items, counts = None, {}, None
+        tile, items, counts, best = None, {}, None, None
         for batch in batches:
             tiles = batch.column("tile").to_numpy()
             kinds = batch.column("kind").to_numpy()
             for lo, hi in runs([tiles, kinds]):
                 if tiles[lo] != tile:
                     if counts is not None:
-                        yield from counts.result(k, same_block)
+                        yield from counts.result(best, COLUMN_ITEMS not in items)
                     tile, items, counts = tiles[lo], {}, None
                 part = batch.slice(lo, hi - lo)
-                if kinds[lo] < 2:
+                if kinds[lo] != BASKET:
                     items[kinds[lo]] = (_flat(part.column("l"))[0], _flat(part.column("r"))[0])
                     continue
                 if counts is None:
-                    same_block = 1 not in items
-                    counts = PairCounts(items[0], items[0] if same_block else items[1], weighted)
+                    shared = SHARED_ROW_ITEMS in items
+                    best = None if shared else k
+                    rows = items[SHARED_ROW_ITEMS if shared else ROW_ITEMS]
+                    counts = PairCounts(rows, items.get(COLUMN_ITEMS, rows), weighted)
                 counts.add(part)
         if counts is not None:
-            yield from counts.result(k, same_block)
+            yield from counts.result(best, COLUMN_ITEMS not in items)
 
     return run
 
@@ -189,42 +193,58 @@ def _incidence(ratings: DataFrame, dedupe: bool) -> DataFrame:
     return pairs.agg(F.count(F.lit(1)).alias("w"))
 
 
-def _tile_number(row_block: Column, col_block: Column, share: Column | int, shares: int) -> Column:
-    """Dense numbering of (row block <= column block, share of the users)."""
-    return (
-        ((col_block * (col_block + 1) / 2).cast("bigint") + row_block) * shares + share
-    ).cast("bigint")
+class _Tiles:
+    """Which pairs of blocks there are, and among how many tasks the users of each are shared out."""
 
-
-def _counted(
-    ratings: DataFrame, k: int | None, dedupe: bool, block_items: int, shares: int | None
-) -> tuple[DataFrame, int]:
-    spark = ratings.sparkSession
-    size = ratings.agg(
-        F.approx_count_distinct("productId").alias("items"), F.count(F.lit(1)).alias("rows")
-    ).first()
-    cores = spark.sparkContext.defaultParallelism
-    # more blocks than the bound asks for, down to a smallest size, so that every core gets a tile
-    blocks = max(
-        1,
-        math.ceil(size["items"] / block_items),
-        min(math.ceil(size["items"] / SMALLEST_BLOCK), math.ceil(math.sqrt(2 * cores))),
-    )
-    n_tiles = blocks * (blocks + 1) // 2
-    if shares is None:
-        # users are shared out further where a tile would see too many baskets, or where there are
-        # still fewer tiles than cores and enough ratings to go round
-        idle = math.ceil(cores / n_tiles)
-        shares = max(
+    def __init__(self, ratings: DataFrame, block_items: int, shares: int | None):
+        size = ratings.agg(
+            F.approx_count_distinct("productId").alias("items"), F.count(F.lit(1)).alias("rows")
+        ).first()
+        cores = ratings.sparkSession.sparkContext.defaultParallelism
+        # more blocks than the bound asks for, down to a smallest size, so that every core gets a tile
+        self.blocks = max(
             1,
-            math.ceil(2 * size["rows"] / blocks / BASKETS_PER_TILE),
-            min(idle, math.ceil(size["rows"] / RATINGS_PER_TASK / n_tiles)),
+            math.ceil(size["items"] / block_items),
+            min(math.ceil(size["items"] / SMALLEST_BLOCK), math.ceil(math.sqrt(2 * cores))),
         )
+        self.pairs = self.blocks * (self.blocks + 1) // 2
+        # with still fewer tiles than cores, users are shared out if there are ratings to go round
+        ratings_per_tile = math.ceil(size["rows"] / RATINGS_PER_TASK / self.pairs)
+        self.least = shares or max(1, min(cores // self.pairs, ratings_per_tile))
+        self.most, self.heat = self.least, None
+        if size["rows"] > BASKETS_PER_TILE:
+            # a tile sees no more baskets than its lesser block has ratings: popular items, alone or
+            # together, only ever make more tasks
+            rows = ratings.groupBy(self.block(F.col("productId").cast("bigint"))).count().collect()
+            heat = {row["block"]: row["count"] for row in rows}  # one entry per block
+            self.heat = [math.ceil(heat.get(b, 0) / BASKETS_PER_TILE) for b in range(self.blocks)]
+            self.most = max(self.least, *self.heat)
+
+    def block(self, item: Column) -> Column:
+        # never null, so that no null filter is derived from it and all uses share one shuffle
+        dealt = F.pmod(F.xxhash64(item), F.lit(self.blocks)).cast("int")
+        return F.coalesce(dealt, F.lit(0)).alias("block")
+
+    def shares(self, row_block: Column, col_block: Column) -> Column:
+        if self.heat is None:
+            return F.lit(self.least)
+        heat = F.lit(self.heat)
+        cooler = F.least(F.get(heat, row_block), F.get(heat, col_block))
+        return F.greatest(cooler, F.lit(self.least))
+
+    def number(self, row_block: Column, col_block: Column, share: Column) -> Column:
+        """Dense over (row block <= column block, share)."""
+        pair = (col_block.cast("bigint") * (col_block + 1) / 2).cast("bigint") + row_block
+        return (pair * self.most + share).cast("bigint")
+
 
+def _counted(
+    ratings: DataFrame, k: int | None, dedupe: bool, block_items: int, shares: int | None
+) -> tuple[DataFrame, bool]:
+    """Counted pairs, and whether those of shared tiles are still to be summed."""
+    layout = _Tiles(ratings, block_items, shares)
     incidence = _incidence(ratings, dedupe)
-    # never null, so that no null filter is derived from it and both uses below share one shuffle
-    block = F.coalesce(F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int"), F.lit(0)).alias("block")
-    share = F.pmod(F.xxhash64("userId", F.lit("share")), F.lit(shares)).cast("int")
+    block = layout.block(F.col("item"))
 
     # no null arrays anywhere: an Arrow writer is slow at runs of them
     weights = [] if dedupe else ["lw", "rw"]
@@ -239,23 +259,29 @@ def _counted(
         return baskets.select("userId", F.col("block").alias(number), *fields)
 
     rows = part("b1", "l", "lw")
-    if blocks == 1:
+    if layout.blocks == 1:
         cut = rows.withColumn("b2", F.col("b1")).withColumn("r", F.col("l"))
         if not dedupe:
             cut = cut.withColumn("rw", F.col("lw"))
     else:
         cols = part("b2", "r", "rw")
         on = ["userId"]
-        if blocks > BLOCKS_PER_SALT:
+        if layout.blocks > BLOCKS_PER_SALT:
             # a user present in many blocks is joined in several places
-            ways = F.ceil(F.count(F.lit(1)).over(Window.partitionBy("userId")) / BLOCKS_PER_SALT).cast("int")
-            rows = rows.withColumn("ways", ways).withColumn("salt", F.expr("pmod(b1, ways)")).drop("ways")
-            cols = cols.withColumn("ways", ways).withColumn("salt", F.explode(F.expr("sequence(0, ways - 1)"))).drop("ways")
+            parts = F.count(F.lit(1)).over(Window.partitionBy("userId"))
+            ways = F.ceil(parts / BLOCKS_PER_SALT).cast("int")
+            rows = rows.withColumn("ways", ways).withColumn("salt", F.expr("pmod(b1, ways)"))
+            cols = cols.withColumn("ways", ways).withColumn("salt", F.explode(F.expr("sequence(0, ways - 1)")))
+            rows, cols = rows.drop("ways"), cols.drop("ways")
             on = ["userId", "salt"]
         cut = rows.join(cols, on).where("b1 <= b2")
+    b1, b2 = F.col("b1"), F.col("b2")
+    share = F.pmod(F.xxhash64("userId", F.lit("share")), layout.shares(b1, b2))
     cut = (
-        cut.withColumn("tile", _tile_number(F.col("b1"), F.col("b2"), share, shares))
-        .withColumn("kind", F.lit(2))
+        # an item alone in its block makes no pair there
+        cut.where("b1 < b2 OR size(l) > 1")
+        .withColumn("tile", layout.number(b1, b2, share))
+        .withColumn("kind", F.lit(BASKET))
         .select(*columns)
     )
 
@@ -264,14 +290,15 @@ def _counted(
         F.array_sort(F.collect_list(F.struct("item", "n"))).alias("_e")
     )
 
-    def naming(kind: int, others: str, tile: Column) -> DataFrame:
+    def naming(others: str, row_block: Column, col_block: Column, kind: Column) -> DataFrame:
         empty = [F.array().cast("array<bigint>").alias(w) for w in weights]
         return (
             named.select("block", "_e", F.explode(F.expr(others)).alias("other"))
-            .select("_e", "block", "other", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"))
+            .withColumn("shares", layout.shares(row_block, col_block))
+            .select("*", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
             .select(
-                tile.alias("tile"),
-                F.lit(kind).alias("kind"),
+                layout.number(row_block, col_block, F.col("share")).alias("tile"),
+                kind.alias("kind"),
                 F.col("_e.item").alias("l"),
                 F.col("_e.n").alias("r"),
                 *empty,
@@ -279,34 +306,28 @@ def _counted(
         )
 
     here, there = F.col("block"), F.col("other")
-    tiles = naming(
-        0, f"sequence(block, {blocks - 1})", _tile_number(here, there, F.col("share"), shares)
-    ).unionByName(cut)
-    if blocks > 1:
-        tiles = tiles.unionByName(
-            naming(
-                1,
-                "CASE WHEN block > 0 THEN sequence(0, block - 1) END",
-                _tile_number(there, here, F.col("share"), shares),
-            )
-        )
-    n_parts = min(n_tiles * shares, MAX_PARTITIONS)
+    row_kind = F.when(F.col("shares") > 1, F.lit(SHARED_ROW_ITEMS)).otherwise(F.lit(ROW_ITEMS))
+    tiles = naming(f"sequence(block, {layout.blocks - 1})", here, there, row_kind).unionByName(cut)
+    if layout.blocks > 1:
+        before = "CASE WHEN block > 0 THEN sequence(0, block - 1) END"
+        tiles = tiles.unionByName(naming(before, there, here, F.lit(COLUMN_ITEMS)))
+    n_parts = min(layout.pairs * layout.most, MAX_PARTITIONS)
     counted = (
         tiles.withColumn("_part", F.pmod("tile", F.lit(n_parts)).cast("int"))
         .repartitionById(n_parts, "_part")
         .drop("_part")
         .sortWithinPartitions("tile", "kind")
-        .mapInArrow(count_tiles(k if shares == 1 else None, not dedupe), PAIR_SCHEMA)
+        .mapInArrow(count_tiles(k, not dedupe), PAIR_SCHEMA)
     )
-    return counted, shares
+    return counted, layout.most > 1
 
 
 def co_rating_counts(
     ratings: DataFrame, dedupe: bool = True, block_items: int = BLOCK_ITEMS, shares: int | None = None
 ) -> DataFrame:
     """(product1, product2, common, nor1, nor2) for every ordered pair rated by a common user."""
-    counted, used = _counted(ratings, None, dedupe, block_items, shares)
-    return counted if used == 1 else _summed(counted)
+    counted, partial = _counted(ratings, None, dedupe, block_items, shares)
+    return _summed(counted) if partial else counted
 
 
 def _summed(counted: DataFrame) -> DataFrame:
@@ -332,8 +353,8 @@ def similar_by_co_rating(
 
     ``dedupe`` counts a user once per item; without it every rating row counts, as do all row pairs.
     """
-    counted, used = _counted(ratings, k, dedupe, block_items, shares)
-    pairs = with_similarity(counted if used == 1 else _summed(counted))
+    counted, partial = _counted(ratings, k, dedupe, block_items, shares)
+    pairs = with_similarity(_summed(counted) if partial else counted)
     return top_per_key(
         pairs.select(F.col("product1").alias("productId"), F.col("product2").alias("rid"), "r"),
         "productId",

@@ -70,6 +70,19 @@ def test_hot_user_is_spread_over_joins(spark, ratings_of, monkeypatch):
     assert got == brute_force(rows, 5, True)[0]
 
 
+@pytest.mark.parametrize("dedupe", [True, False])
+def test_hot_tiles_are_shared_out(spark, ratings_of, monkeypatch, dedupe):
+    monkeypatch.setattr(corating, "BASKETS_PER_TILE", 40)
+    rows = skewed(9) + [(u, i) for u in range(200) for i in (7, 8)]
+    ratings = ratings_of([(u, i, 1.0, 0) for u, i in rows])
+    layout = corating._Tiles(ratings, 16, None)
+    assert layout.most > min(layout.heat)
+    best, pairs = brute_force(rows, 5, dedupe)
+    assert ranked(corating.similar_by_co_rating(ratings, 5, dedupe, 16)) == best
+    counted = corating.co_rating_counts(ratings, dedupe, 16).collect()
+    assert {(r.product1, r.product2): (r.common, r.nor1, r.nor2) for r in counted} == pairs
+
+
 @pytest.mark.parametrize("limit", [1, 50])
 def test_steps_of_any_size(spark, ratings_of, monkeypatch, limit):
     monkeypatch.setattr(corating, "INCREMENTS_AT_ONCE", limit)
