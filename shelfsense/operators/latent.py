@@ -62,23 +62,24 @@ def factors(df: DataFrame, id_col: str = "id", vec_col: str = "features") -> Dat
 def score_top_k(
     user_factors: DataFrame,
     item_factors: DataFrame,
-    k: int = USER_LIST,
+    k: int | None = USER_LIST,
     above: float | None = 0.0,
     digits: int | None = 6,
 ) -> DataFrame:
-    """(userId, rid, r, rank): the ``k`` best positive predictions of every user.
+    """(userId, rid, r, rank): the ``k`` best positive predictions of every user, ``None`` for all.
 
-    Every user is scored against every item, block against block; the pairs are never rows.
+    Every user is scored against every item, block against block; only what is listed becomes a row.
     """
     users, items = settled(user_factors), settled(item_factors)
+    n_items = items.count()
     best = top_by_product(
         users,
         items,
-        k,
+        max(1, n_items) if k is None else k,
         ["vec"],
         DenseStrip,
         users.count(),
-        items.count(),
+        n_items,
         above=above,
         digits=digits,
         skip_self=False,
@@ -86,7 +87,9 @@ def score_top_k(
     return best.withColumnRenamed("id", "userId")
 
 
-def recommend_to_users(model: ALSModel, catalogue: DataFrame, k: int = USER_LIST) -> DataFrame:
+def recommend_to_users(
+    model: ALSModel, catalogue: DataFrame, k: int | None = USER_LIST
+) -> DataFrame:
     """Lists for every trained user over the catalogue's products; untrained ids drop out."""
     listed = catalogue.select(F.col("productId").cast("bigint").alias("id")).distinct()
     items = factors(model.itemFactors).join(listed, "id", "left_semi")

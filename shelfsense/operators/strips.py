@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from shelfsense.operators.ranking import top_per_key
 
 STRIP_ROWS = 16384
+STRIP_ENTRIES = 2_000_000
 CHUNK_ROWS = 1_000_000
 MAX_PARTITIONS = 50_000
 RIGHT_ROWS_AT_ONCE = 512
@@ -142,7 +143,8 @@ class SparseStrip:
     """
 
     def __init__(self, left: pa.Table):
-        terms, rows, weights = self._entries(left.column("terms").combine_chunks(), left.column("weights").combine_chunks())
+        columns = [left.column(c).combine_chunks() for c in ("terms", "weights")]
+        terms, rows, weights = self._entries(*columns)
         self.n_rows = left.num_rows
         coded = terms.dictionary_encode()
         if isinstance(coded, pa.ChunkedArray):
@@ -275,6 +277,7 @@ def top_by_product(
     order tie, and ties go to the smaller id.
     """
     spark = left.sparkSession
+    strip_rows = max(1, min(strip_rows, STRIP_ENTRIES // k))  # longer lists, fewer rows at a time
     strips = strip_count(n_left, spark.sparkContext.defaultParallelism, strip_rows)
     chunks = max(1, math.ceil(n_right / chunk_rows))
 

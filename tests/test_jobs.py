@@ -1,3 +1,5 @@
+import pytest
+
 from shelfsense import schemas as S
 from shelfsense.plans import jobs
 from shelfsense.shared import run_dir
@@ -28,3 +30,13 @@ def test_text_to_lists(spark):
         assert all(r.productId not in [x.rid for x in r.recs] for r in rows)
     users = catalog.read(S.USER_RECS_COLLECTION).collect()
     assert len(users) == 30 and all(len(r.recs) <= 4 for r in users)
+
+
+def test_updates_make_a_new_snapshot(spark, ratings_of):
+    old, new = (Catalog(spark, run_dir(spark, "test-jobs")) for _ in range(2))
+    old.overwrite(S.RATING_COLLECTION, ratings_of([(1, 2, 3.0, 4)]))
+    updates = ratings_of([(1, 2, 5.0, 9), (1, 3, 1.0, 9)])
+    jobs.apply_updates(old, updates, new)
+    assert sorted(tuple(r) for r in new.read(S.RATING_COLLECTION).collect()) == [(1, 2, 5.0, 4), (1, 3, 1.0, 9)]
+    with pytest.raises(ValueError):
+        jobs.apply_updates(old, updates, old)

@@ -23,12 +23,12 @@ def best(scores, row_ids, col_ids, k, above, skip_self):
     out = {}
     for i, a in enumerate(row_ids):
         rows = [
-            (-round(scores[i, j], 6), int(b))
+            (-round(scores[i, j], 6) + 0.0, int(b))
             for j, b in enumerate(col_ids)
             if scores[i, j] > above and not (skip_self and a == b)
         ]
         if rows:
-            out[int(a)] = [(b, -s) for s, b in sorted(rows)[:k]]
+            out[int(a)] = [(b, -s + 0.0) for s, b in sorted(rows)[:k]]
     return out
 
 
@@ -70,6 +70,14 @@ def test_users_against_items(spark, vectors):
     assert got == best(matrix[:20] @ matrix[20:].T, range(20), ids[20:], 5, 0.0, False)
 
 
+def test_full_lists(spark, vectors, monkeypatch):
+    monkeypatch.setattr(strips, "STRIP_ENTRIES", 300)
+    matrix, ids = vectors
+    users, items = frame(spark, matrix[:20], range(20)), frame(spark, matrix[20:], ids[20:])
+    got = ranked(latent.score_top_k(users, items, None, above=None), "userId")
+    assert got == best(matrix[:20] @ matrix[20:].T, range(20), ids[20:], 70, -np.inf, False)
+
+
 def test_als_lists(spark, ratings_of):
     rng = np.random.default_rng(1)
     rows = [(int(u) - 20, int(i), float(s), n) for n, (u, i, s) in enumerate(
@@ -89,7 +97,7 @@ def test_als_lists(spark, ratings_of):
     one = spark.createDataFrame([(user, item)], "userId int, productId int")
     assert model.transform(one).first().prediction == pytest.approx(score, abs=1e-4)
     # a list as long as the catalogue holds every positive prediction
-    full = ranked(latent.recommend_to_users(model, catalogue, 1000), "userId")
+    full = ranked(latent.recommend_to_users(model, catalogue, None), "userId")
     pairs = spark.createDataFrame([(u, i) for u in first for i in range(25)], "userId int, productId int")
     positive = [r for r in model.transform(pairs).collect() if r.prediction > 1e-6]
     assert sum(1 for recs in full.values() for _, r in recs if r > 1e-6) == len(positive)
