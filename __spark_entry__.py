@@ -278,6 +278,21 @@ def _content_top5(spark, sf):
     return content.similar_by_content(B.products(spark, sf), 5)
 
 
+@_query(
+    "content_top5_whole_tags",
+    f"""WITH {P}, n AS (SELECT tags, count(*) AS df FROM p GROUP BY 1),
+    v AS (SELECT "productId", lower(tags) AS t FROM p JOIN n USING (tags) WHERE df < (SELECT count(*) FROM p)),
+    sims AS (SELECT a."productId", b."productId" AS rid, CASE WHEN a.t = b.t THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS r
+             FROM v a JOIN v b ON a."productId" <> b."productId"),
+    ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY "productId" ORDER BY r DESC, rid) AS INTEGER) AS rank
+               FROM sims)
+    SELECT * FROM ranked WHERE rank <= 5""",
+)
+def _content_whole(spark, sf):
+    """A product's tag list taken as one word: similarity is one for equal lists and else zero."""
+    return content.similar_by_content(B.products(spark, sf), 5, separator=None)
+
+
 @_query("content_top5_hashed")
 def _content_hashed(spark, sf):
     return content.similar_by_content(B.products(spark, sf), 5, hashed=True)

@@ -43,34 +43,39 @@ class BestPartners:
         self.n_waiting = 0
 
     def offer(self, scores: np.ndarray, right_ids: np.ndarray) -> None:
-        """``scores[i, j]`` of left row i with ``right_ids[j]``."""
-        # two scores that round to the same lie less than this apart
-        slack = 0.0 if self.digits is None else 10.0**-self.digits
-        floor = self.scores[:, -1] - slack
+        """``scores[i, j]`` of left row i with ``right_ids[j]``; ids ascend within and between calls."""
+        # whoever comes later has a higher id, so it must beat the present k-th, not just equal it;
+        # rounded scores differ by a whole unit, and by nearly half of one before rounding
+        floor = self.scores[:, -1] + (0.0 if self.digits is None else 0.4 * 10.0**-self.digits)
         if self.above is not None:
             floor = np.maximum(floor, self.above)
-        hit = scores >= floor[:, None]
-        n_right = len(right_ids)
-        wanted = self.k + self.skip_self
-        if np.count_nonzero(hit) * 16 > hit.size and n_right > wanted:
-            # nothing below this batch's own k-th either; all that may tie with it stay in
-            nth = np.partition(scores, n_right - wanted, axis=1)[:, n_right - wanted]
-            hit &= scores >= (nth - slack)[:, None]
-        at = np.flatnonzero(hit)
-        row, col = np.divmod(at, n_right)
-        score, rid = scores.ravel()[at], right_ids[col]
-        fine = np.ones(len(at), dtype=bool) if self.above is None else score > self.above
-        if self.skip_self:
-            fine &= rid != self.left_ids[row]
-        if self.digits is not None:
-            score = np.round(score, self.digits) + 0.0  # no minus zero
-        fine &= score >= self.scores[row, -1]
-        self.waiting.append((row[fine], score[fine], rid[fine]))
-        self.n_waiting += len(self.waiting[-1][0])
+        hit = scores > floor[:, None]
+        if np.count_nonzero(hit) * 16 > hit.size:
+            # most may still get in: look only at this batch's own best
+            some = self._rounded(scores)
+            some[~hit] = -np.inf
+            if self.skip_self:
+                some[self.left_ids[:, None] == right_ids[None, :]] = -np.inf
+            found, at = best_columns(some, self.k)
+            row, n = np.nonzero(~np.isneginf(found))
+            score, rid = found[row, n], right_ids[at[row, n]]
+        else:
+            at = np.flatnonzero(hit)
+            row, col = np.divmod(at, len(right_ids))
+            score, rid = self._rounded(scores.ravel()[at]), right_ids[col]
+            if self.skip_self:
+                fine = rid != self.left_ids[row]
+                row, score, rid = row[fine], score[fine], rid[fine]
+        self.waiting.append((row, score, rid))
+        self.n_waiting += len(row)
         # a merge looks at all k of a row again, so it is put off until it has enough to do
         if self.n_waiting * 2 >= self.ids.size:
             self._merge()
 
+    def _rounded(self, scores: np.ndarray) -> np.ndarray:
+        # adding zero turns minus zero into zero
+        return scores.copy() if self.digits is None else np.round(scores, self.digits) + 0.0
+
     def _merge(self) -> None:
         """Take the k best of what each row has and what is waiting for it."""
         if not self.n_waiting:
@@ -219,7 +224,7 @@ def runs(keys: list[np.ndarray]) -> Iterator[tuple[int, int]]:
 def best_partners(
     strip_type: type, k: int, above: float | None, digits: int | None, skip_self: bool
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The task body: rows arrive sorted by (tile, side), the left side of a tile first."""
+    """The task body: rows arrive sorted by (tile, side, id), the left side of a tile first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, left, strip, best = None, [], None, None
@@ -304,7 +309,7 @@ def top_by_product(
     )
     best = (
         tiles.repartitionById(min(strips * chunks, MAX_PARTITIONS), "tile")
-        .sortWithinPartitions("tile", "side")
+        .sortWithinPartitions("tile", "side", "id")
         .mapInArrow(
             best_partners(strip_type, k, above, digits, skip_self), "id bigint, rid bigint, r double"
         )

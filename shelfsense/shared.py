@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def _local_dir(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="shelfsense-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a local one only where that is unset (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        named = tempfile.mkdtemp(prefix="shelfsense-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    return named.rstrip("/") if named else _local_dir(spark.sparkContext.applicationId)
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
