@@ -28,6 +28,7 @@ BLOCKS_PER_SALT = 64
 INCREMENTS_AT_ONCE = 4_000_000
 SPARSE_BELOW = 8
 STRIPE = 512
+SHARE_STEP = 7919
 SHARED_ROW_ITEMS, ROW_ITEMS, COLUMN_ITEMS, BASKET = -1, 0, 1, 2
 PAIR_SCHEMA = "product1 bigint, product2 bigint, common bigint, nor1 bigint, nor2 bigint"
 
@@ -238,6 +239,18 @@ class _Tiles:
         return (pair * self.most + share).cast("bigint")
 
 
+    def partition(self, n_parts: int) -> Column:
+        """One partition per tile; if they are too many, neighbours share one, but not a tile's shares.
+
+        Neighbours mostly have a block in common, so its lists are merged before the last shuffle.
+        """
+        if self.pairs * self.most <= n_parts:
+            return F.col("tile").cast("int")
+        together = math.ceil(self.pairs / n_parts)
+        spread = F.pmod("tile", F.lit(self.most)) * SHARE_STEP
+        return F.pmod(F.floor(F.col("tile") / (self.most * together)) + spread, F.lit(n_parts)).cast("int")
+
+
 def _counted(
     ratings: DataFrame, k: int | None, dedupe: bool, block_items: int, shares: int | None
 ) -> tuple[DataFrame, bool]:
@@ -313,7 +326,7 @@ def _counted(
         tiles = tiles.unionByName(naming(before, there, here, F.lit(COLUMN_ITEMS)))
     n_parts = min(layout.pairs * layout.most, MAX_PARTITIONS)
     counted = (
-        tiles.withColumn("_part", F.pmod("tile", F.lit(n_parts)).cast("int"))
+        tiles.withColumn("_part", layout.partition(n_parts))
         .repartitionById(n_parts, "_part")
         .drop("_part")
         .sortWithinPartitions("tile", "kind")

@@ -307,8 +307,12 @@ def top_by_product(
     tiles = side(left, 0, dealt(strips), every(chunks)).unionByName(
         side(right, 1, every(strips), dealt(chunks))
     )
+    # if tiles are too many, a strip's chunks go together: its lists are merged before the last shuffle
+    together = math.ceil(strips * chunks / MAX_PARTITIONS)
     best = (
-        tiles.repartitionById(min(strips * chunks, MAX_PARTITIONS), "tile")
+        tiles.withColumn("_part", F.floor(F.col("tile") / together).cast("int"))
+        .repartitionById(math.ceil(strips * chunks / together), "_part")
+        .drop("_part")
         .sortWithinPartitions("tile", "side", "id")
         .mapInArrow(
             best_partners(strip_type, k, above, digits, skip_self), "id bigint, rid bigint, r double"

@@ -83,6 +83,17 @@ def test_hot_tiles_are_shared_out(spark, ratings_of, monkeypatch, dedupe):
     assert {(r.product1, r.product2): (r.common, r.nor1, r.nor2) for r in counted} == pairs
 
 
+@pytest.mark.parametrize("shares", [None, 4])
+@pytest.mark.parametrize("partitions", [3, 11])
+def test_several_tiles_in_a_partition(spark, ratings_of, monkeypatch, partitions, shares):
+    monkeypatch.setattr(corating, "MAX_PARTITIONS", partitions)
+    rows = skewed(partitions)
+    ratings = ratings_of([(u, i, 1.0, 0) for u, i in rows])
+    for dedupe in (True, False):
+        got = ranked(corating.similar_by_co_rating(ratings, 5, dedupe, 12, shares))
+        assert got == brute_force(rows, 5, dedupe)[0]
+
+
 @pytest.mark.parametrize("limit", [1, 50])
 def test_steps_of_any_size(spark, ratings_of, monkeypatch, limit):
     monkeypatch.setattr(corating, "INCREMENTS_AT_ONCE", limit)

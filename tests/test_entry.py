@@ -22,7 +22,11 @@ def rows_of(frame):
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, duck, name):
-    got = rows_of(entry.queries()[name](spark, DATA).toPandas())
+    df = entry.queries()[name](spark, DATA)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "NestedLoop", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan
+    got = rows_of(df.toPandas())
     assert len(got)
     if name in entry.oracle_sql():
         wanted = rows_of(duck.sql(entry.oracle_sql()[name]).df())

@@ -53,8 +53,10 @@ def test_similar_by_factors(spark, vectors, monkeypatch, k, at_once):
     assert int(ids[75]) not in got
 
 
+@pytest.mark.parametrize("partitions", [4, 50_000])
 @pytest.mark.parametrize("strip_rows, chunk_rows", [(1000, 1000), (10, 1000), (1000, 10), (7, 13)])
-def test_any_tiling_gives_the_same(spark, vectors, strip_rows, chunk_rows):
+def test_any_tiling_gives_the_same(spark, vectors, monkeypatch, strip_rows, chunk_rows, partitions):
+    monkeypatch.setattr(strips, "MAX_PARTITIONS", partitions)
     matrix, ids = vectors
     df = frame(spark, matrix, ids)
     tiled = top_by_product(
