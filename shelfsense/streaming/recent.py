@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,12 +13,12 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from shelfsense.operators.recent import QUEUE_LENGTH
 
-ORDER = ["ts", "productId", "score"]
-ASCENDING = [False, True, False]
+COLUMNS = ["productId", "score", "ts"]
 
 
-def _newest(rows: pd.DataFrame, n: int) -> pd.DataFrame:
-    return rows.sort_values(ORDER, ascending=ASCENDING).head(n)
+def _newest_first(products: np.ndarray, scores: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Positions by time, newest first; equal times by product id, then by score, highest first."""
+    return np.lexsort((-scores, products, -times))
 
 
 def live_recent_lists(ratings: DataFrame, n: int = QUEUE_LENGTH) -> DataFrame:
@@ -29,21 +30,19 @@ def live_recent_lists(ratings: DataFrame, n: int = QUEUE_LENGTH) -> DataFrame:
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            ordered = rows.sort_values(ORDER, ascending=ASCENDING)
+            ordered = rows.iloc[_newest_first(*(rows[c].to_numpy() for c in COLUMNS))]
             yield ordered.groupby("userId", sort=False).head(n)
 
     def update(
         key: tuple, pieces: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            products, scores, times = state.get
-            kept = pd.DataFrame({"productId": products, "score": scores, "ts": times})
-        else:
-            kept = None
+        kept = [np.asarray(values) for values in state.get] if state.exists else None
         for piece in pieces:
-            piece = piece[["productId", "score", "ts"]]
-            kept = _newest(piece if kept is None else pd.concat([kept, piece]), n)
-        lists = tuple(kept[c].tolist() for c in ("productId", "score", "ts"))
+            new = [piece[c].to_numpy() for c in COLUMNS]
+            kept = new if kept is None else [np.concatenate(both) for both in zip(kept, new)]
+            first = _newest_first(*kept)[:n]
+            kept = [values[first] for values in kept]
+        lists = tuple(values.tolist() for values in kept)
         state.update(lists)
         yield pd.DataFrame(
             {"userId": [key[0]], "products": [lists[0]], "scores": [lists[1]], "times": [lists[2]]}

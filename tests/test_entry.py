@@ -1,9 +1,12 @@
+import os
+
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
 
 DATA = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables are not here")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings"
 
 
