@@ -40,3 +40,24 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert entry.entry(spark).columns[0] == "rid"
+
+
+def test_only_needed_columns_and_rows_are_read(spark):
+    def plan(name):
+        return entry.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+
+    counts = plan("rate_more")
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in counts
+    assert "ReadSchema: struct<o_orderkey:bigint" in counts and "o_totalprice" not in counts
+    assert "EqualTo(p_partkey,42)" in plan("product_by_id")
+    assert "EqualTo(event_type,purchase)" in plan("rating_lookup")
+    assert "ReadSchema: struct<user_id:bigint,props:string>" in plan("itemcf_top5")
+
+
+def test_no_more_shuffles_than_needed(spark):
+    def shuffles(name):
+        plan = entry.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange hashpartitioning")
+
+    for name in ("rate_more", "rate_more_recently", "rating_upsert", "recent_ratings_40", "first_rating"):
+        assert shuffles(name) == 1, name

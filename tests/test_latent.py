@@ -105,6 +105,20 @@ def test_als_lists(spark, ratings_of):
     assert sum(1 for recs in full.values() for _, r in recs if r > 1e-6) == len(positive)
 
 
+def test_als_lists_equal_the_built_in_ones(spark, ratings_of):
+    rng = np.random.default_rng(5)
+    rows = [(int(u), int(i), float(s), 0) for u, i, s in zip(
+        rng.integers(0, 50, 900), rng.integers(0, 40, 900), rng.normal(1, 3, 900))]
+    model = latent.fit_als(ratings_of(rows), rank=6)
+    catalogue = model.itemFactors.selectExpr("id AS productId")
+    mine = ranked(latent.recommend_to_users(model, catalogue, 7), "userId")
+    for row in model.recommendForAllUsers(7).collect():
+        wanted = [(r.productId, r.rating) for r in row.recommendations if r.rating > 1e-6]
+        got = [(i, r) for i, r in mine.get(row.userId, []) if r > 1e-6]
+        assert [i for i, _ in got] == [i for i, _ in wanted]
+        assert [r for _, r in got] == pytest.approx([r for _, r in wanted], abs=1e-4)
+
+
 def test_als_takes_the_newest_of_repeated_ratings(spark, ratings_of):
     rows = latent.newest_per_pair(ratings_of([(1, 2, 5.0, 1), (1, 2, 3.0, 9), (1, 3, 4.0, 0)])).collect()
     assert sorted(tuple(r) for r in rows) == [(1, 2, 3.0), (1, 3, 4.0)]
