@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfsense.functions.scalars import tags_to_words, words
 from shelfsense.functions.vectors import unit
+from shelfsense.operators.joins import join_unique
 from shelfsense.operators.strips import DenseStrip, SparseStrip, top_by_product
 from shelfsense.shared import settled
 
@@ -45,7 +46,8 @@ def tfidf_weights(docs: DataFrame) -> DataFrame:
         .groupBy("productId", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    return tf.join(document_frequency(docs), "term").select(
+    both = join_unique(tf, document_frequency(docs), "term", apart=["productId"])
+    return both.select(
         "productId", "term", "tf", "df", (F.col("tf") * idf(F.col("df"), n_docs)).alias("weight")
     )
 
@@ -88,7 +90,8 @@ def _exact_vectors(reps: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame:
         .groupBy("id", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    weighted = tf.join(document_frequency(docs), "term").select(
+    both = join_unique(tf, document_frequency(docs), "term", apart=["id"])
+    weighted = both.select(
         "id", "term", (F.col("tf") * idf(F.col("df"), n_docs)).alias("w")
     )
     entries = F.array_sort(F.collect_list(F.struct("term", "w")))

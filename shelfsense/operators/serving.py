@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfsense.operators.joins import join_unique
 from shelfsense.operators.ranking import first_per_key, unnest_recs
 
 
@@ -24,7 +25,7 @@ def enrich(recs: DataFrame, products: DataFrame, averages: DataFrame) -> DataFra
     The rank column stays, so the order of a list survives the join.
     """
     details = with_score(products, averages).withColumnRenamed("productId", "rid")
-    return recs.join(details, "rid")
+    return join_unique(recs, details, "rid", apart=recs.columns)
 
 
 def recs_for_products(requests: DataFrame, recs: DataFrame, first: int | None = None) -> DataFrame:
@@ -36,14 +37,15 @@ def recs_for_products(requests: DataFrame, recs: DataFrame, first: int | None =
 def recs_for_usernames(
     requests: DataFrame, users: DataFrame, recs: DataFrame, first: int | None = None
 ) -> DataFrame:
-    """(username, rank, rid, r): names resolved to ids, ids to lists."""
-    named = requests.join(users.select("username", "userId"), "username")
+    """(username, rank, rid, r): every requested name once, resolved to its id and that to its list."""
+    wanted = requests.select("username").distinct()
+    named = wanted.join(users.select("username", "userId"), "username")
     return unnest_recs(named.join(recs, "userId"), "username", first)
 
 
 def products_by_ids(products: DataFrame, ids: DataFrame) -> DataFrame:
     """Products whose id is in the other table."""
-    return products.join(ids.select("productId"), "productId", "left_semi")
+    return products.join(ids.select("productId").distinct(), "productId", "left_semi")
 
 
 def product_by_id(products: DataFrame, product_id: int) -> DataFrame:
@@ -71,9 +73,13 @@ def search(products: DataFrame, patterns: str | Sequence[str]) -> DataFrame:
 
 def ratings_of_pairs(ratings: DataFrame, pairs: DataFrame) -> DataFrame:
     """One rating, the newest, of every requested (userId, productId)."""
-    wanted = ratings.join(pairs.select("userId", "productId"), ["userId", "productId"], "left_semi")
-    newest = wanted.groupBy("userId", "productId").agg(F.max(F.struct("ts", "score")).alias("m"))
-    return newest.select("userId", "productId", F.col("m.score").alias("score"), F.col("m.ts").alias("ts"))
+    # reduced before the join: a pair rated any number of times is one row there. Where the pairs
+    # are few, Catalyst moves their join below the grouping by itself
+    newest = ratings.groupBy("userId", "productId").agg(F.max(F.struct("ts", "score")).alias("m"))
+    wanted = pairs.select("userId", "productId").distinct()
+    return newest.join(wanted, ["userId", "productId"], "left_semi").select(
+        "userId", "productId", F.col("m.score").alias("score"), F.col("m.ts").alias("ts")
+    )
 
 
 def first_rating(ratings: DataFrame) -> DataFrame:
