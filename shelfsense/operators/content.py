@@ -18,10 +18,11 @@ HASH_BUCKETS = 189
 
 
 def tag_words(products: DataFrame, separator: str | None = "|") -> DataFrame:
-    """(productId, words). ``separator=None`` takes a whole tag list as one word."""
+    """(productId, words), for one row per product. ``separator=None`` takes a tag list as one word."""
+    tags = F.coalesce(F.col("tags"), F.lit(""))
     return products.select(
         F.col("productId").cast("bigint").alias("productId"),
-        words(tags_to_words(F.col("tags"), separator)).alias("words"),
+        words(tags_to_words(tags, separator)).alias("words"),
     )
 
 

@@ -93,3 +93,11 @@ def test_idf_golden(spark):
 
 def test_only_common_words(spark):
     assert content.similar_by_content(products(spark, {1: "x", 2: "x"}), 5).collect() == []
+
+
+@pytest.mark.parametrize("hashed", [True, False])
+def test_products_without_tags_have_no_lists(spark, hashed):
+    tags = {1: None, 2: "", 3: "a|b", 4: "a|c", 5: "d"}
+    got = ranked(content.similar_by_content(products(spark, tags), 5, hashed=hashed, buckets=1 << 14))
+    assert set(got) == {3, 4, 5}
+    assert got[3][0][0] == 4 and got[5] == [(3, 0.0), (4, 0.0)]
