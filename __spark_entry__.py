@@ -706,6 +706,22 @@ def _scores(spark, sf):
     return stored.withColumn("shown", sc.star_position(F.col("stored")))
 
 
+# ---- training-data operators ------------------------------------------------------------------
+
+try:  # the subpackage and the pipeline can be left out together
+    import corpus_pipeline
+    from shelfsense.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "shelfsense.llm"):
+        raise
+else:
+    _QUERIES.update(llm.QUERIES)
+    _ORACLES.update(llm.ORACLES)
+    _QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        _ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Item-to-item recommendations by co-rating, completed with product details."""
     return _QUERIES["enrich_recs"](spark, "/root/testdata/sf0.001")

@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@functools.cache
-def _local_dir(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="shelfsense-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local one only where that is unset (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return named.rstrip("/") if named else _local_dir(spark.sparkContext.applicationId)
+    """The folder named by ``spark.checkpoint.dir``, else the warehouse, which executors share as well."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return named.rstrip("/")
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
