@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import bpe
+from shelfsense.llm import bpe, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,3 +38,12 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@_query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove the words of all 20-word windows that also start earlier."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
