@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import bpe, substrings
+from shelfsense.llm import bpe, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,3 +47,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(docs).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@_query
+def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every whole text and their groups within 3 bits."""
+    prints = simhash.fingerprints(_table(spark, sf_dir, "documents"))
+    return simhash.groups(prints).select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
+    )
