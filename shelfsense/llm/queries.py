@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import bpe, simhash, substrings
+from shelfsense.llm import bpe, quality, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,3 +56,12 @@ def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(prints).select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@_query
+def op3_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every whole text after learning from the labels that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    ranking = quality.learn(docs, _table(spark, sf_dir, "labels").where(~quality.held_out()))
+    scored = docs.select("doc_id", quality.held_out().alias("held_out"), ranking.score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.CUT).cast("int"))
