@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import bpe, quality, simhash, substrings
+from shelfsense.llm import bpe, mixing, quality, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,3 +65,12 @@ def op3_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranking = quality.learn(docs, _table(spark, sf_dir, "labels").where(~quality.held_out()))
     scored = docs.select("doc_id", quality.held_out().alias("held_out"), ranking.score(F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= quality.CUT).cast("int"))
+
+
+@_query
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draw all sources to their targets."""
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.withColumnRenamed("id", "doc_id").select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "block", "shard", "shuffled"
+    )
