@@ -53,8 +53,8 @@ def targets(sizes: DataFrame) -> DataFrame:
     every = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     left = F.sum("words").over(every) * F.lit(BUDGET) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
     levels = weighed.withColumn("level", left / F.sum("weight").over(behind))
-    open_level = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))).over(every)
-    target = F.least("cap", F.coalesce(open_level * F.col("weight"), F.col("cap")))
+    # taking a source for full whose cap is above the level, or for open whose cap is below, lowers the level
+    target = F.least("cap", F.max("level").over(every) * F.col("weight"))
     return levels.withColumn("target", target).select("source", "rank", "words", "target")
 
 

@@ -25,7 +25,7 @@ def brute_targets(sizes):
 
 def rows(n, seed=2):
     pick = random.Random(seed)
-    names = ["a"] * 12 + ["b", "c", "Z", "é", None, "dd", "tiny"]
+    names = ["a"] * 12 + ["b", "c", "Z", "é", None, "dd", "tiny", *map("src{}".format, range(20))]
     out = []
     for i in range(n):
         s = pick.choice(names)
