@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import bpe, mixing, quality, simhash, substrings
+from shelfsense.llm import bpe, mixing, quality, simhash, substrings, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,3 +74,9 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumnRenamed("id", "doc_id").select(
         "doc_id", "size", "source_size", "target", "taken", "source", "block", "shard", "shuffled"
     )
+
+
+@_query
+def op6_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and kept row of every vector, whatever its label."""
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
