@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import bpe, mixing, quality, simhash, substrings, vectors
+from shelfsense.llm import bpe, mixing, quality, simhash, substrings, vectors, weighted_sampling
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,3 +80,17 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, component and kept row of every vector, whatever its label."""
     return vectors.near_duplicates(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@_query
+def op4_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every whole text and of its edited text, and how alike they are."""
+    return weighted_sampling.compared(_table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        "n_chars",
+        "edited_sha256",
+        weighted_sampling.as_text(F.col("signature")).alias("fingerprint"),
+        weighted_sampling.as_text(F.col("edited_signature")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
