@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import bpe, mixing, quality, simhash, substrings, vectors, weighted_sampling
+from shelfsense.llm import bpe, mixing, quality, simhash, substrings, urls, vectors, weighted_sampling
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,3 +94,68 @@ def op4_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+#: Verdict, host, path.
+URL_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+#: Names of hosts of kinds that lists of domains hold, and the suffixes they come under.
+LISTED_NAMES = ("adult-x", "casino-win", "free-bets", "spam-farm")
+LISTED_SUFFIXES = ("example.com", "example.net", "example.org")
+
+
+def listed_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(key): the hosts of LISTED_NAMES, and the canonical URLs of pages whose document is labelled toxic."""
+    number = F.regexp_extract("path", r"^/[a-z]+/([0-9]{1,18})", 1)
+    pages = _table(spark, sf_dir, "pages").select("url", urls.path(F.col("url")).alias("path"))
+    toxic = _table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct()
+    found = (
+        pages.where(number != "")
+        .withColumn("doc_id", number.cast("bigint"))
+        .join(toxic, "doc_id")
+        .select(urls.canonical(F.col("url")).alias("key"))
+    )
+    hosts = F.array(*(F.lit(f"{name}.{suffix}/") for name in LISTED_NAMES for suffix in LISTED_SUFFIXES))
+    return found.unionByName(spark.range(1).select(F.explode(hosts).alias("key"))).distinct()
+
+
+@_query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every page's URL."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = urls.judge(pages, listed_urls(spark, sf_dir), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def _url_oracle() -> str:
+    rules = " ".join(
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{v} {h}{p}'"
+        for v, h, p in sorted(URL_RULES, key=lambda r: -len(r[1] + r[2]))
+    )
+    hosts = ", ".join(f"('{name}.{suffix}')" for name in LISTED_NAMES for suffix in LISTED_SUFFIXES)
+    return f"""WITH s AS (
+      SELECT page_id,
+        translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+      FROM pages),
+    c AS (SELECT *, regexp_replace(host, '^(www|m)[.]', '') || regexp_replace(path, '/+$', '') AS canonical,
+        CASE {rules} END AS fit,
+        nullif(regexp_extract(path, '^/[a-z]+/([0-9]{{1,18}})', 1), '') AS number FROM s),
+    l AS (SELECT DISTINCT canonical FROM c JOIN labels ON doc_id = CAST(number AS BIGINT)
+          WHERE toxic = 1 AND host <> ''),
+    h AS (SELECT * FROM (VALUES {hosts}) AS t(name))
+    SELECT page_id, host, path, CASE WHEN fit IS NOT NULL THEN split_part(fit, ' ', 2) END AS rule,
+      CASE WHEN fit IS NOT NULL THEN split_part(fit, ' ', 1)
+           WHEN host <> '' AND (canonical IN (SELECT canonical FROM l)
+             OR EXISTS (SELECT 1 FROM h WHERE host = name OR ends_with(host, '.' || name))) THEN 'block'
+           ELSE 'allow' END AS verdict
+    FROM c"""
+
+
+ORACLES["op5_url_filter"] = _url_oracle()
