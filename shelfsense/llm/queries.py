@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import bpe, mixing, quality, simhash, substrings, urls, vectors, weighted_sampling
+from shelfsense.llm import bpe, html, languages, mixing, quality, simhash, substrings, urls, vectors, weighted_sampling
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -159,3 +159,33 @@ def _url_oracle() -> str:
 
 
 ORACLES["op5_url_filter"] = _url_oracle()
+
+
+def document_number(url):
+    """The document of a page, from the number in its path; null without one."""
+    number = F.regexp_extract(urls.path(url), r"^/[a-z]+/([0-9]{1,18})", 1)
+    return F.when(number != "", number).cast("bigint")
+
+
+@_query
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pairs = html.pairs(pages, _table(spark, sf_dir, "documents"), document_number(F.col("url")))
+    extracted = html.extract(pages, html.learn(pairs))
+    return extracted.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def held_out_number(number):
+    """Whether a document is kept from learning languages: crc32 of its id as text is divisible by five."""
+    return F.coalesce(F.crc32(number.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+@_query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page, after learning from the documents that are not held out."""
+    pages = _table(spark, sf_dir, "pages")
+    docs = _table(spark, sf_dir, "documents").where(~held_out_number(F.col("doc_id")))
+    evidence = languages.learn(docs, pages, document_number(F.col("url")))
+    found = languages.identify(pages, evidence)
+    return found.select(F.col("id").alias("page_id"), "host", "lang", F.round("score", 6).alias("score"))
