@@ -15,12 +15,13 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, StructField, StructType
@@ -28,8 +29,8 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 #: Code points that a match's end must lie before the end of a chunk to be sure of it: the next
 #: characters, as far as any alternative of the pattern looks, are then visible.
 LOOKAHEAD = 4
-#: Distinct pre-tokens a Python worker remembers.
-MEMO = 200_000
+#: Distinct pre-tokens a Python worker remembers, once or twice.
+MEMO = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -43,6 +44,24 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     whole = ranks.get(piece)
     if whole is not None:
         return [whole]
+    if len(piece) > 64:
+        return _merge_long(piece, ranks)
+    none, rank_of = len(ranks) + 1, ranks.get
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    pairs = [rank_of(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+    while pairs and (lowest := min(pairs)) != none:
+        i = pairs.index(lowest)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del pairs[i]
+        if i < len(pairs):
+            pairs[i] = rank_of(parts[i] + parts[i + 1], none)
+        if i:
+            pairs[i - 1] = rank_of(parts[i - 1] + parts[i], none)
+    return [ranks[part] for part in parts]
+
+
+def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same with a heap of pairs, for pre-tokens of any length."""
     end = list(range(1, len(piece) + 1))  # of the part that starts here
     before = list(range(-1, len(piece) - 1))
     dead = bytearray(len(piece))
@@ -69,15 +88,19 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Memo(dict):
-    """Pre-token -> packed ids, emptied when full."""
+    """Pre-token -> packed ids. When full it starts anew, but what it held stays at hand for one more time."""
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks = ranks
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        packed = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
+        packed = self.older.get(piece)
+        if packed is None:
+            packed = struct.pack(f"<{len(ids := merge(piece.encode(), self.ranks))}I", *ids)
         if len(self) >= MEMO:
+            self.older = dict(self)
             self.clear()
         self[piece] = packed
         return packed
@@ -181,23 +204,29 @@ def _stitched(long: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFr
         .agg(F.first("start").alias("start"), F.first("last").alias("last"), F.first("body").alias("body"))
     )
     zones = cut.mapInArrow(_zones(pattern, overlap), "sha string, chunk int, head array<int>, tail array<int>")
-    tails = zones.select("sha", (F.col("chunk") + 1).alias("chunk"), "tail")
+    # the head of a chunk meets the tail of the one before it
+    halves = F.array(
+        F.struct("chunk", "head", F.lit(None).cast("array<int>").alias("tail")),
+        F.struct((F.col("chunk") + 1).alias("chunk"), F.lit(None).cast("array<int>").alias("head"), "tail"),
+    )
     seams = (
-        zones.where("chunk > 0")
-        .select("sha", "chunk", "head")
-        .join(tails, ["sha", "chunk"])
+        zones.select("sha", F.inline(halves))
+        .groupBy("sha", "chunk")
+        .agg(F.max("head").alias("head"), F.max("tail").alias("tail"))
+        .where("head IS NOT NULL")
         .select("sha", "chunk", F.array_min(F.array_intersect("head", "tail")).alias("seam"))
     )
     # a chunk after a seam that failed has not been proved right, so nothing behind it counts
-    failed = seams.where("seam IS NULL").groupBy("sha").agg((F.min("chunk") - 1).alias("sequential"))
-    begins = seams.withColumnRenamed("seam", "begin")
-    stops = seams.select("sha", (F.col("chunk") - 1).alias("chunk"), F.col("seam").alias("stop"))
-    chunks = (
-        cut.join(begins, ["sha", "chunk"], "left")
-        .join(stops, ["sha", "chunk"], "left")
-        .join(failed, "sha", "left")
-        .withColumn("begin", F.coalesce("begin", F.lit(0)))
+    by_text = Window.partitionBy("sha")
+    failed = F.min(F.when((F.col("chunk") > 0) & F.col("seam").isNull(), F.col("chunk") - 1)).over(by_text)
+    known = seams.select(
+        "sha",
+        "chunk",
+        F.coalesce("seam", F.lit(0)).alias("begin"),
+        F.lead("seam").over(by_text.orderBy("chunk")).alias("stop"),
+        failed.alias("sequential"),
     )
+    chunks = cut.join(known, ["sha", "chunk"])
     length = F.coalesce("stop", F.col("start") + F.length("body")) - F.col("begin")
     sound = chunks.where("sequential IS NULL OR chunk < sequential").select(
         "sha",
@@ -223,7 +252,7 @@ def encode(
     pattern: str,
     key: str = "doc_id",
     text: str = "text",
-    chunk: int = 16_384,
+    chunk: int = 65_536,
     overlap: int = 1_024,
 ) -> DataFrame:
     """(key, n_tokens long, ids binary) of every row of ``docs``; ids packed, see the module."""

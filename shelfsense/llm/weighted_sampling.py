@@ -25,6 +25,8 @@ from shelfsense.shared import settled
 
 #: Words of a term, samples of a fingerprint, entries of a table as a power of two.
 SHINGLE, SAMPLES, TABLE_BITS = 5, 32, 10
+#: What stands for a null id: smaller than all others, so the last by descending id.
+NO_ID = -(2**63)
 #: Rows that a range of ids holds when documents are put in order, and the most ranges.
 RANGE_ROWS, RANGES = 5_000, 20_000
 
@@ -123,7 +125,7 @@ def succession(keys: DataFrame) -> DataFrame:
     Rows are dealt to ranges of ids, so no task sorts them all; only the first row of each range is put in one order.
     """
     ranges = max(1, min(RANGES, math.ceil(keys.count() / RANGE_ROWS)))
-    order = [F.col("id").desc_nulls_last(), F.col("tie")]
+    order = [F.col("id").desc(), F.col("tie")]
     ranged = settled(keys.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id()))
     inside = Window.partitionBy("range").orderBy(*order)
     heads = ranged.withColumn("at", F.row_number().over(inside)).where("at = 1").select("range", "id", "tie")
@@ -138,40 +140,38 @@ def succession(keys: DataFrame) -> DataFrame:
     return led.select(*keys.columns, after["id"].alias("next_id"), after["tie"].alias("next_tie"))
 
 
-def _same(left: str, right: str, left_names=("id", "tie"), right_names=("id", "tie")) -> Column:
-    (a, b), (c, d) = left_names, right_names
-    return F.col(f"{left}.{a}").eqNullSafe(F.col(f"{right}.{c}")) & (F.col(f"{left}.{b}") == F.col(f"{right}.{d}"))
-
-
 def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, tie, copies, n_chars, text, edited, next_id, next_tie), one row a document.
+    """(id, tie, text, copies, n_chars, next_id, next_tie, edited): a row of ``docs`` each.
 
     ``edited`` has the last third of the text replaced by as much of the front of the next document by descending id.
+    Texts are shuffled once, by their key. Every document then hands the piece of its front that is asked for to the
+    one before it, and what it keeps stays where it is. ``id`` is ``NO_ID`` where it was null.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).alias("id"), F.xxhash64(whole).alias("tie"), whole.alias("text"))
-    keys = settled(rows.select("id", "tie", F.length("text").alias("n_chars")).distinct())
-    third = F.floor(F.col("n_chars") / 3).cast("int")
-    order = settled(succession(keys))
-    texts = rows.groupBy("id", "tie").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    # every document hands the piece of its front that is asked for to the one before it
+    rows = docs.select(
+        F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)).alias("id"), F.xxhash64(whole).alias("tie"), whole.alias("text")
+    )
+    keys = rows.groupBy("id", "tie").agg(F.count(F.lit(1)).alias("copies"), F.max(F.length("text")).alias("n_chars"))
+    order = settled(succession(settled(keys)))
     asked = order.select(
-        F.col("next_id").alias("id"), F.col("next_tie").alias("tie"), F.col("id").alias("for_id"), F.col("tie").alias("for_tie"), third.alias("third")
+        F.col("next_id").alias("id"),
+        F.col("next_tie").alias("tie"),
+        F.col("id").alias("for_id"),
+        F.col("tie").alias("for_tie"),
+        F.floor(F.col("n_chars") / 3).cast("int").alias("third"),
     )
+    met = rows.join(order.join(asked, ["id", "tie"]), ["id", "tie"])
     fronts = (
-        texts.alias("t")
-        .join(asked.alias("a"), _same("t", "a"))
-        .select("for_id", "for_tie", F.substring(F.col("t.text"), F.lit(1), F.col("third")).alias("front"))
-    )
-    met = (
-        texts.alias("t")
-        .join(order.alias("o"), _same("t", "o"))
-        .select("t.id", "t.tie", "t.text", "t.copies", "o.n_chars", "o.next_id", "o.next_tie")
+        met.select("for_id", "for_tie", F.substring(F.col("text"), F.lit(1), F.col("third")).alias("front"))
+        .groupBy(F.col("for_id").alias("id"), F.col("for_tie").alias("tie"))
+        .agg(F.any_value("front").alias("front"))
     )
-    joined = met.alias("m").join(fronts.alias("f"), _same("m", "f", right_names=("for_id", "for_tie")))
-    stays = F.substring(F.col("m.text"), F.lit(1), F.col("n_chars") - third)
-    return joined.select(
-        "m.id", "m.tie", "copies", "n_chars", "text", F.concat(stays, "front").alias("edited"), "next_id", "next_tie"
+    stays = F.substring(F.col("text"), F.lit(1), F.col("n_chars") - F.floor(F.col("n_chars") / 3).cast("int"))
+    return (
+        met.drop("for_id", "for_tie", "third")
+        .join(fronts, ["id", "tie"])
+        .withColumn("edited", F.concat(stays, "front"))
+        .drop("front")
     )
 
 
@@ -179,7 +179,12 @@ def compared(docs: DataFrame, key: str = "doc_id", text: str = "text", positions
     """One row a row of ``docs``: (id, n_chars, edited_sha256, signature, edited_signature, near_edited, near_next)."""
     both = edited(docs, key, text)
     facts = ["id", "tie", "copies", "n_chars", "next_id", "next_tie", "edited_sha256"]
-    versions = F.explode(F.array(F.struct(F.lit(0).alias("version"), "text"), F.struct(F.lit(1).alias("version"), F.col("edited").alias("text"))))
+    versions = F.explode(
+        F.array(
+            F.struct(F.lit(0).alias("version"), "text"),
+            F.struct(F.lit(1).alias("version"), F.col("edited").alias("text")),
+        )
+    )
     rows = both.withColumn("edited_sha256", F.sha2("edited", 256)).select(*facts, versions.alias("v"))
     prints = fingerprints(rows.select(*facts, "v.version", "v.text"), [*facts, "version"], "text", positions)
     paired = settled(
@@ -188,18 +193,19 @@ def compared(docs: DataFrame, key: str = "doc_id", text: str = "text", positions
             F.max(F.when(F.col("version") == 1, F.col("signature"))).alias("edited_signature"),
         )
     )
-    following = paired.select(F.col("id").alias("n_id"), F.col("tie").alias("n_tie"), F.col("signature").alias("n_signature"))
+    following = paired.select(
+        F.col("id").alias("next_id"), F.col("tie").alias("next_tie"), F.col("signature").alias("next_signature")
+    )
     return (
-        paired.alias("p")
-        .join(following.alias("n"), _same("p", "n", ("next_id", "next_tie"), ("n_id", "n_tie")))
+        paired.join(following, ["next_id", "next_tie"])
         .select(
-            "id",
+            F.when(F.col("id") != NO_ID, F.col("id")).alias("id"),
             F.col("n_chars").cast("bigint").alias("n_chars"),
             "edited_sha256",
             "signature",
             "edited_signature",
             likeness(F.col("signature"), F.col("edited_signature")).alias("near_edited"),
-            likeness(F.col("signature"), F.col("n_signature")).alias("near_next"),
+            likeness(F.col("signature"), F.col("next_signature")).alias("near_next"),
             F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"),
         )
         .drop("_copy")

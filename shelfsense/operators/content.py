@@ -18,12 +18,13 @@ HASH_BUCKETS = 189
 
 
 def tag_words(products: DataFrame, separator: str | None = "|") -> DataFrame:
-    """(productId, words), for one row per product. ``separator=None`` takes a tag list as one word."""
+    """(productId, words), one row per product. ``separator=None`` takes a tag list as one word.
+
+    Of a product that stands in several rows the least tag list counts.
+    """
     tags = F.coalesce(F.col("tags"), F.lit(""))
-    return products.select(
-        F.col("productId").cast("bigint").alias("productId"),
-        words(tags_to_words(tags, separator)).alias("words"),
-    )
+    unique = products.groupBy(F.col("productId").cast("bigint").alias("productId")).agg(F.min(tags).alias("tags"))
+    return unique.select("productId", words(tags_to_words(F.col("tags"), separator)).alias("words"))
 
 
 def document_frequency(docs: DataFrame) -> DataFrame:
@@ -130,26 +131,26 @@ def similar_by_content(
     vectors = settled(vectors)
     n = vectors.count()
     # a key is its own best partner, hence one more than k
-    best = top_by_product(
-        vectors,
-        vectors,
-        k + 1,
-        payload,
-        strip,
-        n,
-        n,
-        above=None if include_zero else 0.0,
-        skip_self=False,
-    )
-    return _for_products(best, reps, keyed, k)
+    best = top_by_product(vectors, vectors, k + 1, payload, strip, n, n, above=0.0, skip_self=False)
+    fill = _smallest(vectors, reps, 2 * k + 1) if include_zero else []
+    return _for_products(best.where("r > 0"), reps, keyed, k, fill)
 
 
-def _for_products(best: DataFrame, reps: DataFrame, keyed: DataFrame, k: int) -> DataFrame:
-    """From best keys per key to best products per product."""
+def _smallest(vectors: DataFrame, reps: DataFrame, n: int) -> list[int]:
+    """The ``n`` smallest products that have a vector: those that a list of zero similarities begins with."""
+    members = vectors.select("id").join(reps, "id").select(F.explode("members").alias("id"))
+    return [row.id for row in members.orderBy("id").limit(n).collect()]
+
+
+def _for_products(best: DataFrame, reps: DataFrame, keyed: DataFrame, k: int, fill: list[int]) -> DataFrame:
+    """From best keys per key to best products per product; ``fill`` are the products of similarity zero.
+
+    Positive similarities alone go through the joins. Of the at most k products of a list and the product itself
+    none is missing from the smallest 2 k + 1 for another reason than standing in the list, so those fill it.
+    """
     members = reps.select(F.col("id").alias("rid"), "members")
     ranked = (
-        best.select("id", "rid", "r")
-        .join(members, "rid")
+        join_unique(best.select("id", "rid", "r"), members, "rid", apart=["id"])
         .select("id", "r", F.explode("members").alias("rid"))
         .withColumn(
             "_rn",
@@ -159,8 +160,14 @@ def _for_products(best: DataFrame, reps: DataFrame, keyed: DataFrame, k: int) ->
     )
     lists = ranked.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("_rn", "rid", "r"))).alias("recs"))
     by_key = reps.select("id", "key").join(lists, "id").select("key", "recs")
-    own = keyed.join(by_key, "key").select(
-        "productId", F.expr(f"slice(filter(recs, x -> x.rid <> productId), 1, {int(k)})").alias("recs")
+    others = F.expr("transform(filter(recs, x -> x.rid <> productId), x -> struct(x.rid AS rid, x.r AS r))")
+    zeros = F.array(*[F.struct(F.lit(x).cast("bigint").alias("rid"), F.lit(0.0).alias("r")) for x in fill])
+    if fill:
+        listed = F.transform("recs", lambda x: x["rid"])
+        left = F.filter(zeros, lambda x: (x["rid"] != F.col("productId")) & ~F.array_contains(listed, x["rid"]))
+        others = F.concat(others, left)
+    own = join_unique(keyed, by_key, "key", apart=["productId"]).select(
+        "productId", F.slice(others, 1, k).alias("recs")
     )
     return own.select("productId", F.posexplode("recs").alias("pos", "rec")).select(
         "productId",

@@ -5,18 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WAYS = 8
+#: Rows of one key that a task should join.
+ROWS_PER_PART = 100_000
 
 
 def join_unique(
-    rows: DataFrame, unique: DataFrame, key: str, apart: list[str], how: str = "inner", ways: int = WAYS
+    rows: DataFrame, unique: DataFrame, key: str, apart: list[str], how: str = "inner", per_part: int = ROWS_PER_PART
 ) -> DataFrame:
     """Join ``rows`` with ``unique``, which has one row per key.
 
-    The rows of a key are dealt to ``ways`` parts by their ``apart`` columns, and ``unique`` is
-    repeated once per part. Both sides are then shuffled for this join alone, which also is what
-    lets AQE split a part that is still too big, or broadcast a side it has measured as small.
+    One aggregate measures how often every key occurs. The rows of a key are dealt to as many parts as ``per_part``
+    asks for, by their ``apart`` columns, and the row of ``unique`` is repeated as often. The keys with more than
+    one part number at most the rows over ``per_part``, so their list is small against either side.
     """
-    salt = F.pmod(F.xxhash64(*apart), F.lit(ways)).cast("int")
-    repeated = unique.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
-    return rows.withColumn("_salt", salt).join(repeated, [key, "_salt"], how).drop("_salt")
+    heavy = (
+        rows.groupBy(key)
+        .agg(F.ceil(F.count(F.lit(1)) / per_part).cast("int").alias("_ways"))
+        .where(F.col(key).isNotNull() & (F.col("_ways") > 1))
+    )
+    ways = F.coalesce("_ways", F.lit(1))
+    salted = (
+        rows.join(F.broadcast(heavy), key, "left")
+        .withColumn("_salt", F.pmod(F.xxhash64(*apart), ways).cast("int"))
+        .drop("_ways")
+    )
+    repeated = (
+        unique.join(F.broadcast(heavy), key, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), ways - 1)))
+        .drop("_ways")
+    )
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfsense.functions.vectors import unit
 from shelfsense.operators.strips import DenseStrip, top_by_product
+from shelfsense.operators.upsert import newest_ratings
 from shelfsense.shared import settled
 
 # Training parameters and list lengths.
@@ -17,9 +18,7 @@ USER_LIST, ITEM_LIST, STRONG = 20, 10, 0.6
 
 def newest_per_pair(ratings: DataFrame) -> DataFrame:
     """One rating per user and product: the newest, combined before the shuffle."""
-    return ratings.groupBy("userId", "productId").agg(
-        F.max(F.struct("ts", "score"))["score"].alias("score")
-    )
+    return newest_ratings(ratings).select("userId", "productId", "score")
 
 
 def fit_als(
@@ -62,11 +61,11 @@ def factors(df: DataFrame, id_col: str = "id", vec_col: str = "features") -> Dat
 def score_top_k(
     user_factors: DataFrame,
     item_factors: DataFrame,
-    k: int | None = USER_LIST,
+    k: int = USER_LIST,
     above: float | None = 0.0,
     digits: int | None = 6,
 ) -> DataFrame:
-    """(userId, rid, r, rank): the ``k`` best positive predictions of every user, ``None`` for all.
+    """(userId, rid, r, rank): the ``k`` best positive predictions of every user.
 
     Every user is scored against every item, block against block; only what is listed becomes a row.
     """
@@ -75,7 +74,7 @@ def score_top_k(
     best = top_by_product(
         users,
         items,
-        max(1, n_items) if k is None else k,
+        k,
         ["vec"],
         DenseStrip,
         users.count(),
@@ -87,9 +86,7 @@ def score_top_k(
     return best.withColumnRenamed("id", "userId")
 
 
-def recommend_to_users(
-    model: ALSModel, catalogue: DataFrame, k: int | None = USER_LIST
-) -> DataFrame:
+def recommend_to_users(model: ALSModel, catalogue: DataFrame, k: int = USER_LIST) -> DataFrame:
     """Lists for every trained user over the catalogue's products; untrained ids drop out."""
     listed = catalogue.select(F.col("productId").cast("bigint").alias("id")).distinct()
     items = factors(model.itemFactors).join(listed, "id", "left_semi")

@@ -1,4 +1,4 @@
-"""Update-or-insert as one grouped pass over the base and its updates."""
+"""Update-or-insert: the updates are reduced, the base is only joined."""
 
 from __future__ import annotations
 
@@ -6,72 +6,73 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def newest_ratings(ratings: DataFrame) -> DataFrame:
+    """(userId, productId, score, ts): one row per pair, its newest, of equal times the highest score.
+
+    Two groupings over plain numbers, which hash and need no sort. Snapshots are written this way, so that
+    whoever updates one need not make it unique again.
+    """
+    per_time = ratings.groupBy("userId", "productId", "ts").agg(F.max("score").alias("score"))
+    return per_time.groupBy("userId", "productId").agg(
+        F.max_by("score", "ts").alias("score"), F.max("ts").alias("ts")
+    )
+
+
 def upsert(
     base: DataFrame,
     updates: DataFrame,
     keys: list[str],
     set_cols: list[str],
-    base_order: str,
     update_order: str,
     insert: bool = True,
 ) -> DataFrame:
-    """The base after all updates, as if applied one by one in ``update_order``.
+    """``base``, which has one row per key, after all updates as if applied one by one in ``update_order``.
 
-    An update of a known key replaces ``set_cols`` alone. An unknown key is inserted by its first
-    update (or ignored with ``insert=False``). Several base rows of one key count as the newest.
-    Base and updates are unioned and grouped once, so a key is reduced before the shuffle, and a
-    key with any number of updates is no bigger there than another.
+    An update of a known key replaces ``set_cols`` alone. An unknown key is inserted by its first update
+    (or ignored with ``insert=False``). Updates are reduced to one row per key; the base meets them in a join,
+    which Spark broadcasts where they are few, and is neither sorted for a grouping nor grouped.
     """
     kept = [c for c in base.columns if c not in keys and c not in set_cols]
-
-    def side(df: DataFrame, number: int, order: str) -> DataFrame:
-        rest = [
-            F.col(c) if c in df.columns else F.lit(None).cast(base.schema[c].dataType).alias(c)
-            for c in kept
-        ]
-        return df.select(
+    rest = [
+        (F.col(c) if c in updates.columns else F.lit(None)).cast(base.schema[c].dataType).alias(c) for c in kept
+    ]
+    new_set = F.struct(*[F.col(c).cast(base.schema[c].dataType).alias(c) for c in set_cols])
+    latest = (
+        updates.select(
             *keys,
-            F.lit(number).alias("_side"),
-            F.col(order).cast("bigint").alias("_order"),
-            F.struct(*[F.col(c).cast(base.schema[c].dataType).alias(c) for c in set_cols]).alias("_set"),
-            (F.struct(*rest) if rest else F.lit(None).cast("struct<_none:int>")).alias("_kept"),
+            F.col(update_order).cast("bigint").alias("_order"),
+            new_set.alias("_set"),
+            (F.struct(*rest) if rest else F.lit(None).cast("struct<_none:int>")).alias("_rest"),
+        )
+        .groupBy(*keys)
+        .agg(
+            F.max_by("_set", F.struct("_order", "_set")).alias("_set"),
+            F.min_by("_rest", F.struct("_order", "_set", "_rest")).alias("_rest"),
         )
-
-    rows = side(base, 0, base_order).unionByName(side(updates, 1, update_order))
-    when = F.struct("_order", "_set", "_kept")
-    merged = rows.groupBy(*keys).agg(
-        F.max_by("_set", F.struct("_side", "_order", "_set")).alias("_set"),
-        F.max_by("_kept", F.when(F.col("_side") == 0, when)).alias("_base"),
-        F.min_by("_kept", F.when(F.col("_side") == 1, when)).alias("_new"),
-        F.min("_side").alias("_known"),
     )
+
+    def column(c: str):
+        if c not in set_cols:
+            return F.col(c)
+        return F.when(F.col("_set").isNotNull(), F.col("_set")[c]).otherwise(F.col(c)).alias(c)
+
+    updated = base.join(latest.drop("_rest"), keys, "left").select(*map(column, base.columns))
     if not insert:
-        merged = merged.where("_known = 0")
-    rest = F.when(F.col("_known") == 0, F.col("_base")).otherwise(F.col("_new"))
-    columns = []
-    for c in base.columns:
-        if c in keys:
-            columns.append(F.col(c))
-        elif c in set_cols:
-            columns.append(F.col("_set")[c].alias(c))
-        else:
-            columns.append(rest[c].alias(c))
-    return merged.select(*columns)
+        return updated
+    unknown = latest.join(base.select(*keys), keys, "left_anti")
+    sources = {**{c: F.col("_set")[c] for c in set_cols}, **{c: F.col("_rest")[c] for c in kept}}
+    return updated.unionByName(unknown.select(*(sources.get(c, F.col(c)).alias(c) for c in base.columns)))
 
 
 def upsert_ratings(base: DataFrame, updates: DataFrame, touch_ts: bool = False) -> DataFrame:
     """New scores for known (userId, productId) pairs, new rows for the others.
 
-    A known pair keeps its old time unless ``touch_ts`` is set.
+    A known pair keeps its old time unless ``touch_ts`` is set. ``base`` is a snapshot (``newest_ratings``).
     """
     keys = ["userId", "productId"]
-    if touch_ts:
-        return upsert(base, updates, keys, ["score", "ts"], "ts", "ts")
-    return upsert(base, updates, keys, ["score"], "ts", "ts")
+    return upsert(base, updates, keys, ["score", "ts"] if touch_ts else ["score"], "ts")
 
 
 def update_users(users: DataFrame, updates: DataFrame, update_order: str = "updated_ms") -> DataFrame:
     """New ``first`` and ``prefGenres`` for known users; unknown ids are ignored."""
-    return upsert(
-        users, updates, ["userId"], ["first", "prefGenres"], "created_ms", update_order, insert=False
-    )
+    return upsert(users, updates, ["userId"], ["first", "prefGenres"], update_order, insert=False)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from shelfsense import schemas as S
 from shelfsense.operators import content, corating, latent, popularity
 from shelfsense.operators.ranking import nest_recs
-from shelfsense.operators.upsert import upsert_ratings
+from shelfsense.operators.upsert import newest_ratings, upsert_ratings
 from shelfsense.sources.catalog import Catalog
 from shelfsense.sources.text import read_products, read_ratings
 
@@ -22,7 +22,8 @@ def apply_updates(catalog: Catalog, updates: DataFrame, target: Catalog) -> None
     """Ratings with all updates applied, as a new snapshot: plain files cannot be changed in place."""
     if target.path(S.RATING_COLLECTION) == catalog.path(S.RATING_COLLECTION):
         raise ValueError("the updated collection must not replace the one it is made from")
-    target.overwrite(S.RATING_COLLECTION, upsert_ratings(catalog.read(S.RATING_COLLECTION), updates))
+    base = newest_ratings(catalog.read(S.RATING_COLLECTION))
+    target.overwrite(S.RATING_COLLECTION, upsert_ratings(base, updates))
 
 
 def statistics(catalog: Catalog) -> None:
@@ -51,7 +52,7 @@ def content_lists(catalog: Catalog, k: int = 5, hashed: bool = False) -> None:
 
 
 def factor_lists(
-    catalog: Catalog, user_k: int | None = latent.USER_LIST, item_k: int = latent.ITEM_LIST
+    catalog: Catalog, user_k: int = latent.USER_LIST, item_k: int = latent.ITEM_LIST
 ) -> None:
     """Train once, then lists per user and items similar by factors."""
     model = latent.fit_als(catalog.read(S.RATING_COLLECTION))

@@ -2,97 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from shelfsense.operators.recent import QUEUE_LENGTH
-
-COLUMNS = ["productId", "score", "ts"]
-
 
-def _newest_first(products: np.ndarray, scores: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """Positions by time, newest first; equal times by product id, then by score, highest first."""
-    return np.lexsort((-scores, products, -times))
-
-
-def live_recent_lists(ratings: DataFrame, n: int = QUEUE_LENGTH) -> DataFrame:
-    """(userId, recent) of every user met in a micro-batch, from a streaming rating frame.
-
-    Order is by event time, so late files change nothing. The state of a user is at most ``n``
-    entries; batches are cut to ``n`` per user before the shuffle and read in pieces after it.
-    """
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            ordered = rows.iloc[_newest_first(*(rows[c].to_numpy() for c in COLUMNS))]
-            yield ordered.groupby("userId", sort=False).head(n)
-
-    def update(
-        key: tuple, pieces: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        kept = [np.asarray(values) for values in state.get] if state.exists else None
-        for piece in pieces:
-            new = [piece[c].to_numpy() for c in COLUMNS]
-            kept = new if kept is None else [np.concatenate(both) for both in zip(kept, new)]
-            first = _newest_first(*kept)[:n]
-            kept = [values[first] for values in kept]
-        lists = tuple(values.tolist() for values in kept)
-        state.update(lists)
-        yield pd.DataFrame(
-            {"userId": [key[0]], "products": [lists[0]], "scores": [lists[1]], "times": [lists[2]]}
-        )
-
-    arrays = "products array<bigint>, scores array<double>, times array<bigint>"
-    rows = ratings.selectExpr(
-        "CAST(userId AS bigint) userId",
-        "CAST(productId AS bigint) productId",
-        "CAST(score AS double) score",
-        "CAST(ts AS bigint) ts",
-    )
-    lists = (
-        rows.mapInPandas(cut, rows.schema)
-        .groupBy("userId")
-        .applyInPandasWithState(
-            update, f"userId bigint, {arrays}", arrays, "update", GroupStateTimeout.NoTimeout
-        )
-    )
-    zipped = F.arrays_zip(
-        F.col("products").alias("productId"), F.col("scores").alias("score"), F.col("times").alias("ts")
-    )
-    return lists.select(
-        "userId",
-        F.transform(
-            zipped,
-            lambda x: F.struct(
-                x["productId"].alias("productId"), x["score"].alias("score"), x["ts"].alias("ts")
-            ),
-        ).alias("recent"),
-    )
+from shelfsense.operators.recent import QUEUE_LENGTH, recent_lists, recent_ratings
+from shelfsense.schemas import RATING
 
 
 def start_recent_lists(
     ratings: DataFrame, out: str, checkpoint: str, n: int = QUEUE_LENGTH, available_now: bool = False
 ) -> StreamingQuery:
-    """Write each micro-batch's lists to its own folder, so that a repeated batch replaces itself."""
+    """Write the ``n`` newest ratings of every user of a micro-batch to the batch's own folder.
 
-    def write(lists: DataFrame, batch_id: int) -> None:
-        lists.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    The rank filter cuts a user to ``n`` rows a map task before the shuffle, whatever their share of the batch;
+    there is no state, and a repeated batch replaces itself.
+    """
 
-    writer = (
-        live_recent_lists(ratings, n)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
-    )
+    def write(batch: DataFrame, batch_id: int) -> None:
+        recent_ratings(batch, n).drop("pos").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    writer = ratings.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def current_recent_lists(spark: SparkSession, out: str) -> DataFrame:
-    """The newest list written for every user."""
-    return spark.read.parquet(out).groupBy("userId").agg(F.max_by("recent", "batch_id").alias("recent"))
+def current_recent_lists(spark: SparkSession, *outs: str, n: int = QUEUE_LENGTH) -> DataFrame:
+    """(userId, recent) from all batches written to ``outs``: order is by event time, so late files change nothing."""
+    return recent_lists(spark.read.schema(RATING).parquet(*outs), n)
+
+
+def compact_recent_lists(spark: SparkSession, outs: list[str], target: str, n: int = QUEUE_LENGTH) -> None:
+    """One folder in place of many batches: at most ``n`` rows a user. ``target`` is read instead of ``outs``."""
+    rows = recent_ratings(spark.read.schema(RATING).parquet(*outs), n).drop("pos")
+    rows.write.mode("overwrite").parquet(f"{target}/batch_id=0")

@@ -22,8 +22,10 @@ def start_rating_updates(
 
 
 def current_ratings(spark: SparkSession, base: DataFrame, out: str) -> DataFrame:
-    """The base with all written batches applied in order of event time.
-
-    Writing this to a new folder and starting a new ``out`` is the compaction.
-    """
+    """The snapshot ``base`` with all written batches applied in order of event time."""
     return upsert_ratings(base, spark.read.schema(RATING).parquet(out))
+
+
+def compact_ratings(spark: SparkSession, base: DataFrame, out: str, target: str) -> None:
+    """A new snapshot at ``target``; the stream goes on with a new ``out``, so that reads stay short."""
+    current_ratings(spark, base, out).write.mode("overwrite").parquet(target)

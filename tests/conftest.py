@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
@@ -17,6 +17,8 @@ def spark():
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "America/New_York")
+        .config("spark.checkpoint.dir", os.environ.get("CHECKPOINT_DIR") or str(tmp_path_factory.mktemp("shared")))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -101,3 +101,11 @@ def test_products_without_tags_have_no_lists(spark, hashed):
     got = ranked(content.similar_by_content(products(spark, tags), 5, hashed=hashed, buckets=1 << 14))
     assert set(got) == {3, 4, 5}
     assert got[3][0][0] == 4 and got[5] == [(3, 0.0), (4, 0.0)]
+
+
+def test_repeated_products_count_once(spark):
+    once = products(spark, {1: "a|b", 2: "a|c", 3: "d"})
+    twice = once.unionByName(once).unionByName(products(spark, {2: "z|z"}))
+    assert ranked(content.similar_by_content(twice, 3)) == ranked(content.similar_by_content(once, 3))
+    weights = [sorted(content.tfidf_weights(content.tag_words(p)).collect()) for p in (once, twice)]
+    assert weights[0] == weights[1]

@@ -78,3 +78,28 @@ def test_lookups(spark, products, ratings_of):
     pairs = spark.createDataFrame([(1, 2), (9, 9)], "userId bigint, productId bigint")
     assert tuples(serving.ratings_of_pairs(ratings, pairs), "score", "ts") == [(4.0, 20)]
     assert sorted(tuples(serving.first_rating(ratings), "userId", "productId")) == [(1, 2), (2, 2)]
+
+
+def test_search_by_a_table(spark, products):
+    averages = spark.createDataFrame([(2, 4.5)], "productId bigint, avg double")
+    patterns = spark.createDataFrame([("^b",), ("l",), ("l",), (None,), ("(?i)RED",), ("zzz",)], "pattern string")
+    for block in (1, 32):
+        got = serving.search_table(products, patterns, averages, block)
+        assert sorted(tuples(got, "pattern", "productId", "score")) == [
+            ("(?i)RED", 1, 0.0), ("^b", 2, 4.5), ("^b", 3, 0.0), ("l", 2, 4.5), ("l", 3, 0.0),
+        ]
+    assert serving.search_table(products, patterns.limit(0), averages).count() == 0
+
+
+def test_requests_and_new_users(spark):
+    users = spark.createDataFrame([("ann", 5)], "username string, userId int")
+    requests = spark.createDataFrame(
+        [("ann", 7, 9, 100), ("ann", 8, 1, 101), ("eve", 7, 3, 102), (None, 7, 3, 103)],
+        "username string, productId bigint, stars int, ts bigint",
+    )
+    assert sorted(map(tuple, serving.ratings_from_requests(requests, users).collect())) == [
+        (5, 7, 4.5, 100), (5, 8, 0.5, 101),
+    ]
+    added = serving.new_users(requests, users).collect()
+    assert [(r.username, r.first) for r in added] == [("eve", True)]
+    assert added[0].created_ms > 1_600_000_000_000 and added[0].userId == 100820

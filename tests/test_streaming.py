@@ -8,8 +8,8 @@ from shelfsense.operators import recent
 from shelfsense.operators.upsert import upsert_ratings
 from shelfsense.shared import run_dir
 from shelfsense.sources import text
-from shelfsense.streaming.recent import current_recent_lists, start_recent_lists
-from shelfsense.streaming.updates import current_ratings, start_rating_updates
+from shelfsense.streaming.recent import compact_recent_lists, current_recent_lists, start_recent_lists
+from shelfsense.streaming.updates import compact_ratings, current_ratings, start_rating_updates
 
 
 def rating_rows(n=300):
@@ -45,6 +45,9 @@ def test_recent_lists(spark, logged):
     wanted = {r.userId: [tuple(x) for x in r.recent] for r in recent.recent_lists(ratings, 40).collect()}
     assert got == wanted
     assert len(got[1]) == 40
+    compact_recent_lists(spark, [f"{base}/out"], f"{base}/compact")
+    again = {r.userId: [tuple(x) for x in r.recent] for r in current_recent_lists(spark, f"{base}/compact").collect()}
+    assert again == wanted
 
 
 def test_updates(spark, logged, ratings_of):
@@ -55,6 +58,8 @@ def test_updates(spark, logged, ratings_of):
     old = ratings_of([(1, 1, 0.5, 1000), (77, 1, 0.5, 1000)])
     got = sorted(tuple(r) for r in current_ratings(spark, old, f"{base}/out").collect())
     assert got == sorted(tuple(r) for r in upsert_ratings(old, ratings).collect())
+    compact_ratings(spark, old, f"{base}/out", f"{base}/snapshot")
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{base}/snapshot").collect()) == got
 
 
 def test_queue_drops_the_oldest(ratings_of):

@@ -1,6 +1,6 @@
 import random
 
-from shelfsense.operators.upsert import update_users, upsert_ratings
+from shelfsense.operators.upsert import newest_ratings, update_users, upsert_ratings
 
 
 def replay(base, updates, touch=False):
@@ -22,7 +22,7 @@ def test_one_pass_equals_replay(ratings_of):
 
     base, updates = rows(30), rows(40) + [(1, 1, float(n % 7), 100 + n) for n in range(60)]
     for touch in (False, True):
-        got = upsert_ratings(ratings_of(base), ratings_of(updates), touch).collect()
+        got = upsert_ratings(newest_ratings(ratings_of(base)), ratings_of(updates), touch).collect()
         wanted = replay(base, updates, touch)
         if touch:
             # a late update still marks the newest time seen
@@ -58,3 +58,11 @@ def test_users_are_updated_never_inserted(spark):
         (1, "ann", False, 5, ["b", "c"]),
         (2, "bob", True, 6, ["x"]),
     ]
+
+
+def test_base_is_neither_sorted_nor_grouped(spark, ratings_of):
+    base = ratings_of([(1, 2, 3.0, 10)])
+    plan = upsert_ratings(base, ratings_of([(4, 4, 1.0, 50)]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2  # of the updates, once for each join
+    once = newest_ratings(base)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in once and "HashAggregate" in once
