@@ -76,7 +76,7 @@ def test_full_lists(spark, vectors, monkeypatch):
     monkeypatch.setattr(strips, "STRIP_ENTRIES", 300)
     matrix, ids = vectors
     users, items = frame(spark, matrix[:20], range(20)), frame(spark, matrix[20:], ids[20:])
-    got = ranked(latent.score_top_k(users, items, None, above=None), "userId")
+    got = ranked(latent.score_top_k(users, items, 70, above=None), "userId")
     assert got == best(matrix[:20] @ matrix[20:].T, range(20), ids[20:], 70, -np.inf, False)
 
 
@@ -99,7 +99,7 @@ def test_als_lists(spark, ratings_of):
     one = spark.createDataFrame([(user, item)], "userId int, productId int")
     assert model.transform(one).first().prediction == pytest.approx(score, abs=1e-4)
     # a list as long as the catalogue holds every positive prediction
-    full = ranked(latent.recommend_to_users(model, catalogue, None), "userId")
+    full = ranked(latent.recommend_to_users(model, catalogue, 25), "userId")
     pairs = spark.createDataFrame([(u, i) for u in first for i in range(25)], "userId int, productId int")
     positive = [r for r in model.transform(pairs).collect() if r.prediction > 1e-6]
     assert sum(1 for recs in full.values() for _, r in recs if r > 1e-6) == len(positive)
