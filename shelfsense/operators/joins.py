@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows of one key that a task should join.
-ROWS_PER_PART = 100_000
+#: Rows of one key that a task should join, and keys at most that are dealt to several parts.
+ROWS_PER_PART, MOST_HEAVY = 100_000, 10_000
 
 
 def join_unique(
@@ -15,13 +15,16 @@ def join_unique(
     """Join ``rows`` with ``unique``, which has one row per key.
 
     One aggregate measures how often every key occurs. The rows of a key are dealt to as many parts as ``per_part``
-    asks for, by their ``apart`` columns, and the row of ``unique`` is repeated as often. The keys with more than
-    one part number at most the rows over ``per_part``, so their list is small against either side.
+    asks for, by their ``apart`` columns, and the row of ``unique`` is repeated as often. Only the ``MOST_HEAVY`` most
+    frequent keys are dealt so, which bounds the list that is broadcast; any other key holds at most one row in
+    ``MOST_HEAVY`` and stays in one part.
     """
     heavy = (
         rows.groupBy(key)
         .agg(F.ceil(F.count(F.lit(1)) / per_part).cast("int").alias("_ways"))
         .where(F.col(key).isNotNull() & (F.col("_ways") > 1))
+        .orderBy(F.col("_ways").desc(), key)
+        .limit(MOST_HEAVY)
     )
     ways = F.coalesce("_ways", F.lit(1))
     salted = (
