@@ -15,7 +15,7 @@ from shelfsense import schemas as S  # noqa: E402
 from shelfsense.functions import scalars as sc  # noqa: E402
 from shelfsense.functions.vectors import cosine  # noqa: E402
 from shelfsense.operators import content, corating, latent, popularity, ranking, recent, serving  # noqa: E402
-from shelfsense.operators.upsert import update_users, upsert_ratings  # noqa: E402
+from shelfsense.operators.upsert import newest_ratings, update_users, upsert_ratings  # noqa: E402
 from shelfsense.plans import bindings as B  # noqa: E402
 from shelfsense.shared import run_dir  # noqa: E402
 from shelfsense.sources import text  # noqa: E402
@@ -532,8 +532,9 @@ def _upsert_sql(ts: str) -> str:
 
 
 def _base_and_updates(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The older half as a snapshot, as the raw events hold repeats of a pair, and the updates as they came."""
     ratings = B.event_ratings(spark, sf)
-    return ratings.where(F.col("ts") < _SPLIT), ratings.where(F.col("ts") >= _SPLIT)
+    return newest_ratings(ratings.where(F.col("ts") < _SPLIT)), ratings.where(F.col("ts") >= _SPLIT)
 
 
 @_query("rating_upsert", _upsert_sql("coalesce(base_ts, first_ts)"))

@@ -1,5 +1,6 @@
 import random
 
+import __spark_entry__ as entry
 from shelfsense.operators.upsert import newest_ratings, update_users, upsert_ratings
 
 
@@ -66,3 +67,15 @@ def test_base_is_neither_sorted_nor_grouped(spark, ratings_of):
     assert plan.count("Aggregate") == 2  # of the updates, once for each join
     once = newest_ratings(base)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in once and "HashAggregate" in once
+
+
+def test_registered_upserts_have_one_row_a_pair(spark, ratings_of, monkeypatch):
+    old, new = entry._SPLIT - 100, entry._SPLIT + 100
+    rows = [(1, 2, 3.0, old), (1, 2, 4.0, old + 1), (1, 2, 2.0, old + 1), (1, 3, 5.0, old), (1, 3, 6.0, old + 2)]
+    rows += [(1, 2, 8.0, new), (1, 2, 7.0, new + 1), (9, 9, 1.0, new)]
+    monkeypatch.setattr(entry.B, "event_ratings", lambda *_: ratings_of(rows))
+    for name, time in (("rating_upsert", old + 1), ("rating_upsert_touch", new + 1)):
+        got = sorted(tuple(r) for r in entry.queries()[name](spark, "").collect())
+        assert got == [(1, 2, 7.0, time), (1, 3, 6.0, old + 2), (9, 9, 1.0, new)]
+    base, _ = entry._base_and_updates(spark, "")  # also that of stream_upsert
+    assert sorted(tuple(r) for r in base.collect()) == [(1, 2, 4.0, old + 1), (1, 3, 6.0, old + 2)]
