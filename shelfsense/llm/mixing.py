@@ -3,10 +3,11 @@
 Documents of a source are dealt to blocks by hash, and its blocks stand in a permuted order. A source whose target
 is e times its words is taken ``floor(e)`` times whole, and once more as far as the last share of its target goes:
 that many blocks from the front of the permuted order, the last of them document by document, and one document in
-part, so that the words taken equal the target rounded. A splitting tree then parts the drawn blocks among output
-shards: at every node a random half goes left, so that the blocks that a child gets of each source follow the
-multivariate hypergeometric distribution, and the quotas of the children add up exactly to that of the node. Blocks
-are disjoint; within a shard, documents stand in an order of their own, ``shuffled``.
+part, so that the words taken equal the target rounded. A splitting tree then parts the blocks of
+every epoch, whole or partial, among output shards: of each epoch a random half of a node's blocks goes left, so that
+the blocks that a child gets of each source follow the multivariate hypergeometric distribution, and the quotas of the
+children add up exactly to that of the node. Blocks of an epoch are disjoint; in its next epoch a block is dealt anew.
+Within a shard, documents stand in an order of their own, and ``repeated`` gives its rows in that order.
 
 There are at most ``BLOCKS`` blocks and one a source, whatever the size of the corpus, so permuted orders and trees
 are small, and a source with any share of the rows is spread over its blocks. Sizes are word counts (words are
@@ -17,6 +18,8 @@ a share of what that place gets. Only DataFrame functions are used; nothing depe
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,9 +73,11 @@ def _dealt(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 1) -> DataFrame:
-    """One row a document: (id, tie, source, size, source_size, target, taken, block, shard, shuffled).
+    """One row a document: (id, tie, source, size, source_size, target, taken, block, shard, shuffled, shards, places).
 
-    ``tie`` is a hash of the text. ``shard`` is where the partial epoch of its block goes (null: not drawn).
+    ``tie`` is a hash of the text. ``shards`` are where its block goes, one for each epoch that draws it, the partial
+    one last, and ``places`` its place in the order of each of these; ``shard`` and ``shuffled`` are those of the
+    first epoch (null: not drawn).
     """
     sized = settled(_dealt(docs, key, text, source))
     sources = settled(
@@ -95,15 +100,23 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         .drop("has", "_name")
         .withColumn("block", block)
     )
-    # the drawn blocks: those before the end of the partial epoch in the permuted order of their source
+    # the drawn blocks: all in whole epochs, in the partial one those before its end in the permuted order of their source
     permuted = Window.partitionBy("rank").orderBy(_dice("rank", "block", seed=seed + 1), "block")
     blocks = (
-        placed.groupBy("rank", "block", "partial")
+        placed.groupBy("rank", "block", "epochs", "partial")
         .agg(F.sum("size").alias("block_words"))
         .withColumn("left", F.col("partial") - F.sum("block_words").over(permuted) + F.col("block_words"))
+        .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("epochs").cast("int"))))
+    )
+    drawn = (
+        _split(blocks.where("(epoch < epochs OR left > 0) AND block_words > 0"), seed + 2)
+        .groupBy("rank", "block", "block_words")
+        .agg(
+            F.max(F.when(F.col("left") > 0, F.col("left"))).alias("left"),
+            F.array_sort(F.collect_list(F.struct("epoch", "shard")))["shard"].alias("shards"),
+        )
     )
-    drawn = _split(blocks.where("left > 0 AND block_words > 0"), seed + 2)
-    found = placed.join(drawn.select("rank", "block", "left", "block_words", "shard"), ["rank", "block"], "left")
+    found = placed.join(drawn, ["rank", "block"], "left")
     # only the last drawn block of a source is taken in part, in an order of its own
     cut = F.col("left") < F.col("block_words")
     inside = Window.partitionBy("rank", "block").orderBy(_dice("id", "tie", seed=seed + 3), "id", "tie")
@@ -126,34 +139,46 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         "target",
         (F.col("epochs") * F.col("size") + F.col("part")).cast("bigint").alias("taken"),
         "block",
-        "shard",
-        _dice("shard", "id", "tie", seed=seed + 4).alias("shuffled"),
+        F.get("shards", F.lit(0)).alias("shard"),
+        F.when(F.col("shards").isNotNull(), _place(F.get("shards", F.lit(0)), F.lit(0), "id", "tie", seed)).alias("shuffled"),
+        F.coalesce("shards", F.array().cast("array<int>")).alias("shards"),
+        F.coalesce(
+            F.transform("shards", lambda shard, epoch: _place(shard, epoch, "id", "tie", seed)), F.array().cast("array<bigint>")
+        ).alias("places"),
     )
 
 
+def _place(shard: Column, epoch: Column, key: str, tie: str, seed: int) -> Column:
+    """The place of a document in the order of a shard."""
+    return _dice(shard, epoch, key, tie, seed=seed + 4)
+
+
 def _split(drawn: DataFrame, seed: int) -> DataFrame:
-    """``drawn`` blocks with their shard: at each level a random half of a node's blocks goes left."""
+    """``drawn`` blocks with their shard: at each level a random half of a node's blocks of every epoch goes left."""
     nodes = drawn.withColumn("shard", F.lit(0))
     for level in range(LEVELS):
-        turn = Window.partitionBy("shard").orderBy(_dice("rank", "block", seed=seed + 16 * level), "rank", "block")
-        of_node = Window.partitionBy("shard")
+        turn = Window.partitionBy("epoch", "shard").orderBy(_dice("rank", "block", "epoch", seed=seed + 16 * level), "rank", "block")
+        of_node = Window.partitionBy("epoch", "shard")
         left = 2 * F.row_number().over(turn) <= F.count(F.lit(1)).over(of_node)
         nodes = nodes.withColumn("_left", left).withColumn("shard", F.col("shard") * 2 + F.when(F.col("_left"), 0).otherwise(1))
     return nodes.drop("_left")
 
 
-def quotas(mixed: DataFrame) -> DataFrame:
-    """(shard, source, blocks): how many drawn blocks of each source every output shard got."""
-    return mixed.where("shard IS NOT NULL").groupBy("shard", "source").agg(F.countDistinct("block").alias("blocks"))
+def quotas(mixed: DataFrame, epoch: int = 0) -> DataFrame:
+    """(shard, source, blocks): how many blocks of each source, drawn in an epoch, every output shard got."""
+    dealt = mixed.withColumn("shard", F.get("shards", F.lit(epoch))).where("shard IS NOT NULL")
+    return dealt.groupBy("shard", "source").agg(F.countDistinct("block").alias("blocks"))
 
 
 def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 1) -> DataFrame:
     """The mix as rows of ``docs``: a document as often as it is taken whole, and the front of one taken in part.
 
     The words of a part are joined by one space; documents of which nothing is taken go, also those without words.
+    Rows come shard by shard, each in its own order; a shard fills several partitions, one after the other, where
+    shuffles have more partitions than there are shards.
     """
     mixed = mix(docs, key, text, source, seed)
-    takes = mixed.where("taken > 0").groupBy("id", "tie", "source").agg(F.min("size").alias("_size"), F.sum("taken").alias("_taken"), F.count(F.lit(1)).alias("_rows"))
+    takes = mixed.where("taken > 0").groupBy("id", "tie", "source").agg(F.min("size").alias("_size"), F.sum("taken").alias("_taken"), F.count(F.lit(1)).alias("_rows"), F.first("shards").alias("_shards"))
     keyed = docs.withColumn("_tie", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     same = (
         F.col(f"d.{key}").eqNullSafe(F.col("t.id"))
@@ -169,5 +194,15 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", source: s
     )
     front = F.array_join(F.slice(F.regexp_extract_all(F.col(f"d.{text}"), F.lit(f"({WORD})")), 1, F.col("_words")), " ")
     cut = F.when(F.col("_words") < F.col("_size"), front).otherwise(F.col(f"d.{text}"))
-    columns = [cut.alias(c) if c == text else F.col(f"d.{c}") for c in docs.columns]
-    return turned.where("_words > 0").select(*columns)
+    columns = [cut.alias(c) if c == text else F.col(f"d.{c}").alias(c) for c in docs.columns]
+    # a turn is an epoch; places are hashes, so equal ranges of them part a shard evenly
+    shard = F.get("_shards", F.col("_turn") - 1)
+    place = _place(shard, F.col("_turn") - 1, "t.id", "t.tie", seed)
+    rows = turned.where("_words > 0").select(F.struct(*columns).alias("row"), shard.alias("shard"), place.alias("place"))
+    pieces = math.ceil(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) / 2**LEVELS)
+    piece = F.floor((F.shiftright("place", 32) + F.lit(2**31)) * F.lit(pieces) / F.lit(2.0**32)).cast("int")
+    return (
+        rows.repartitionById(pieces * 2**LEVELS, F.col("shard") * pieces + piece)
+        .sortWithinPartitions("shard", "place")
+        .select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    )

@@ -72,7 +72,7 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Draw all sources to their targets."""
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.withColumnRenamed("id", "doc_id").select(
-        "doc_id", "size", "source_size", "target", "taken", "source", "block", "shard", "shuffled"
+        "doc_id", "size", "source_size", "target", "taken", "source", "block", "shard", "shuffled", "shards", "places"
     )
 
 

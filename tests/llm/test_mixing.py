@@ -77,6 +77,35 @@ def test_tree_parts_blocks_exactly(spark, monkeypatch):
         assert sum(per_shard.values()) == len(drawn)
 
 
+def test_every_epoch_is_dealt_and_rows_stand_in_that_order(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"a{i} b c", f"s{i % 3}") for i in range(600)], "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "BLOCKS", 90)
+    shards = 2**mixing.LEVELS
+    mixed = mixing.mix(docs).cache()
+    takings, wanted = {}, defaultdict(list)
+    for r in mixed.collect():
+        assert len(r.shards) == len(r.places) >= -(-r.taken // 3)
+        assert (r.shard, r.shuffled) == ((r.shards[0], r.places[0]) if r.shards else (None, None))
+        takings[r.id] = len(r.shards)
+        for turn in range(-(-r.taken // 3)):
+            wanted[r.shards[turn]].append((r.places[turn], r.id, min(3, r.taken - 3 * turn)))
+    # s0 is taken twice whole, s1 in part, s2 once whole and in part
+    assert all(takings[i] == 2 for i in range(0, 600, 3)) and all(takings[i] >= 1 for i in range(2, 600, 3))
+    for epoch in (0, 1):
+        dealt = mixed.where(F.size("shards") > epoch).select("source", "block").distinct().count()
+        per_shard = Counter()
+        for r in mixing.quotas(mixed, epoch).collect():
+            per_shard[r.shard] += r.blocks
+        assert sum(per_shard.values()) == dealt
+        assert max(per_shard.values()) - min(per_shard[i] for i in range(shards)) <= 1
+    partitions = mixing.repeated(docs).rdd.glom().collect()
+    pieces = len(partitions) // shards
+    assert len(partitions) == pieces * shards
+    for shard in range(shards):
+        rows = [(r.doc_id, len(r.text.split())) for part in partitions[shard * pieces : (shard + 1) * pieces] for r in part]
+        assert rows == [(i, words) for _, i, words in sorted(wanted[shard])]
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.mix(docs).collect() == [] and mixing.repeated(docs).collect() == []
