@@ -7,8 +7,8 @@ sample. Two texts have the same sample with the probability of their generalised
 of the smaller over the sum of the larger weights, so the share of equal positions estimates it. A sample is
 identified by its value, of which 32 bits are kept.
 
-Gamma variates come from tables of equally likely quantiles, so that no logarithm is left to the inner loop. Terms are
-weighed within their row and reduced to the samples before anything is shuffled, so neither common terms nor copies
+Gamma variates are minus the logarithm of a product of two uniforms of 32 hash bits each, so that the far tails, which
+decide the least of many terms, are those of the distribution. Terms are weighed within their row and reduced to the samples before anything is shuffled, so neither common terms nor copies
 meet. Null texts are empty; texts without words have a fingerprint of zeros, equal to each other. Rows that share an id
 are ordered by a hash of their text, wholly repeated rows are one document, and a null id comes last. Extra columns
 are not looked at. Only DataFrame functions are used.
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from shelfsense.shared import settled
 
-#: Words of a term, samples of a fingerprint, entries of a table as a power of two.
-SHINGLE, SAMPLES, TABLE_BITS = 5, 32, 10
+#: Words of a term, samples of a fingerprint.
+SHINGLE, SAMPLES = 5, 32
 #: What stands for a null id: smaller than all others, so the last by descending id.
 NO_ID = -(2**63)
 #: Rows that a range of ids holds when documents are put in order, and the most ranges.
@@ -32,7 +32,7 @@ RANGE_ROWS, RANGES = 5_000, 20_000
 
 
 def gamma_quantiles(n: int) -> list[float]:
-    """Quantiles (i + 1/2) / n of Gamma(2, 1), whose distribution function is 1 - (1 + x) exp(-x)."""
+    """Quantiles (i + 1/2) / n of Gamma(2, 1), whose distribution function is 1 - (1 + x) exp(-x); to test variates by."""
     found = []
     for i in range(n):
         wanted, low, high = (i + 0.5) / n, 0.0, 64.0
@@ -43,8 +43,11 @@ def gamma_quantiles(n: int) -> list[float]:
     return found
 
 
-def _table(values: list[float]) -> Column:
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+def gamma(bits: Column) -> Column:
+    """The Gamma(2, 1) variate of 64 hash bits: the sum of the exponential variates of either half."""
+    low = bits.bitwiseAND(F.lit(2**32 - 1)).cast("double") + F.lit(0.5)
+    high = F.shiftrightunsigned(bits, 32).cast("double") + F.lit(0.5)
+    return -F.log(low * high * F.lit(2.0**-64))
 
 
 def terms(text: Column) -> Column:
@@ -84,17 +87,13 @@ def _let(value: Column, use) -> Column:
 
 def _samples(positions: int) -> list[Column]:
     """The least sample of the rows (term, weight) for every position."""
-    levels = gamma_quantiles(2**TABLE_BITS)
-    r_table, c_table = _table(levels), _table([math.log(x) for x in levels])
-    mask, log_weight = 2**TABLE_BITS - 1, F.log(F.col("weight").cast("double"))
+    log_weight = F.log(F.col("weight").cast("double"))
     found = []
     for position in range(positions):
-        bits = F.xxhash64("term", F.lit(position))
-        r = F.get(r_table, bits.bitwiseAND(mask).cast("int"))
-        log_c = F.get(c_table, F.shiftrightunsigned(bits, TABLE_BITS).bitwiseAND(mask).cast("int"))
-        b = F.shiftrightunsigned(bits, 24).cast("double") * F.lit(2.0**-40)
+        r, c = (gamma(F.xxhash64("term", F.lit(3 * position + draw))) for draw in (0, 1))
+        b = F.shiftrightunsigned(F.xxhash64("term", F.lit(3 * position + 2)), 11).cast("double") * F.lit(2.0**-53)
         t = F.when(F.col("weight") > 1, F.floor(log_weight / r + b).cast("double")).otherwise(F.lit(0.0))
-        found.append(F.min(log_c - r * (t + F.lit(1.0) - b)).alias(f"s{position}"))
+        found.append(F.min(F.log(c) - r * (t + F.lit(1.0) - b)).alias(f"s{position}"))
     return found
 
 

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelfsense.llm import weighted_sampling as ws
 
@@ -24,6 +25,28 @@ def test_quantiles():
     assert levels.mean() == pytest.approx(2, abs=0.01) and levels.var() == pytest.approx(2, abs=0.05)
 
 
+def test_variates_keep_their_tails(spark):
+    bits = spark.range(0, 1_000_000, 1, 8).select(F.xxhash64("id").alias("bits"))
+    x = np.sort(bits.select(ws.gamma(F.col("bits")).alias("x")).toPandas()["x"].to_numpy())
+    assert np.abs(x[500::1000] - ws.gamma_quantiles(1000)).max() < 0.5 and x.mean() == pytest.approx(2, abs=0.01)
+    for far in (1e-2, 3e-3):
+        assert (x < far).mean() == pytest.approx(far**2 / 2, rel=0.3 if far == 1e-2 else 1)
+    assert x[0] < 5e-3 and x[-1] > 13  # 2^10 quantiles reach from 0.03 to 10
+
+
+def test_light_terms_of_long_texts_win_their_share(spark):
+    # n light terms against one term of weight n: either holds the least sample at half of the positions
+    n, positions = 30_000, 128
+    light = spark.range(n).select(F.xxhash64("id").alias("term"), F.lit(1).alias("weight"))
+    heavy = spark.range(1).select(F.lit(-1).alias("term"), F.lit(n).alias("weight"))
+    won = 0
+    for salt in range(3):
+        salted = [d.select(F.xxhash64("term", F.lit(salt)).alias("term"), "weight") for d in (light, heavy)]
+        one, other = (d.agg(*ws._samples(positions)).first() for d in salted)
+        won += sum(a < b for a, b in zip(one, other, strict=True))
+    assert abs(won / (3 * positions) - 0.5) < 4 * (0.25 / (3 * positions)) ** 0.5
+
+
 def test_collisions_follow_generalised_jaccard(spark):
     pick, pairs = random.Random(0), []
     for share in (0.1, 0.3, 0.5, 0.7, 0.9):
