@@ -47,6 +47,21 @@ def test_light_terms_of_long_texts_win_their_share(spark):
     assert abs(won / (3 * positions) - 0.5) < 4 * (0.25 / (3 * positions)) ** 0.5
 
 
+def test_error_of_the_samples_of_production(spark):
+    pick, pairs = random.Random(3), []
+    for i in range(300):
+        share = (0.3, 0.5, 0.7, 0.9)[i % 4]
+        a = [f"w{pick.randrange(10**6)}" for _ in range(200)]
+        pairs.append((" ".join(a), " ".join(a[: int(share * 200)] + [f"v{pick.randrange(10**6)}" for _ in range(200 - int(share * 200))])))
+    rows = [(2 * i + k, p[k]) for i, p in enumerate(pairs) for k in (0, 1)]
+    got = {r.n: np.array(r.signature) for r in ws.fingerprints(spark.createDataFrame(rows, "n long, text string"), ["n"]).collect()}
+    true = np.array([jaccard(*p) for p in pairs])
+    errors = np.array([np.mean(got[2 * i] == got[2 * i + 1]) for i in range(len(pairs))]) - true
+    scaled = errors / np.sqrt(true * (1 - true) / ws.SAMPLES)
+    assert len(got[0]) == ws.SAMPLES and np.abs(scaled).max() < 4.5
+    assert abs(scaled.mean()) < 0.25 and 0.85 < scaled.std() < 1.15
+
+
 def test_collisions_follow_generalised_jaccard(spark):
     pick, pairs = random.Random(0), []
     for share in (0.1, 0.3, 0.5, 0.7, 0.9):
