@@ -1,10 +1,13 @@
 """Near-duplicate vectors by sorted projection passes.
 
-In every pass, vectors are ordered lexicographically by the sign bits of random projections (then by a hash, so
-that equal bits do not pile up), and each is compared with its next ``window`` neighbours; close vectors agree
-in long prefixes and so stand close. Pairs of cosine at least ``least`` are united across all passes. The number of
-passes follows the number of vectors, so that a pair at the threshold itself is met with the same probability
-(``MISSED``) in a corpus of any size. The window ends at a partition's border, which concerns ``window`` rows of each.
+In every pass, vectors are ordered lexicographically by the sign bits of random projections (then by a hash), and each
+is compared with its next ``window`` neighbours; close vectors agree
+in long prefixes and so stand close. Pairs of cosine at least ``least`` are united across all passes. As many passes as
+the number of vectors asks for, were they spread evenly, take all of them. How crowded it is around each vector is then
+measured: the bits after which no more than a window's vectors share its prefix, and so the chance of a pass to show
+it a partner at the threshold. Vectors whose chance is too small go through further passes, as many as bring the chance of
+a miss down to ``MISSED``; only crowded vectors are in those. Of components that would fill the windows, which are
+compared in full anyway, a varying share is in each of these passes. The window ends at a partition's border, which concerns ``window`` rows of each.
 
 A group of more members than a window holds is found as a component, and every component is then compared with
 itself in full, in blocks of bounded size, so that the links counted are all there are between its members.
@@ -29,14 +32,19 @@ from shelfsense.shared import settled
 
 #: Neighbours each vector is compared with in a pass; chance of missing a pair at the threshold; most members a block.
 WINDOW, MISSED, BLOCK = 32, 0.02, 4096
-#: Sign bits of a pass, and bits of the hash behind them.
-SIGNS, HASHED = 40, 23
+#: Sign bits of a pass.
+SIGNS = 63
+
+
+def _alike(least: float) -> float:
+    """The probability that a random plane does not part a pair at ``least``."""
+    return 1 - math.acos(least) / math.pi
 
 
 def passes(n: int, window: int, least: float) -> int:
-    """So many that a pair at ``least`` shares a window's prefix in one of them with probability 1 - MISSED."""
+    """So many that a pair among evenly spread vectors shares a window's prefix in one of them with probability 1 - MISSED."""
     bits = max(1.0, math.log2(max(2, n) / window))
-    alike = (1 - math.acos(least) / math.pi) ** bits
+    alike = _alike(least) ** bits
     return max(2, math.ceil(math.log(MISSED) / math.log(1 - alike)))
 
 
@@ -50,28 +58,69 @@ def _matrix(column) -> np.ndarray:
     return values / np.linalg.norm(values, axis=1, keepdims=True)
 
 
-def _projected(n_passes: int, seed: int):
-    """Arrow batches (h, vector) -> (pass, place, h, vector): where each vector stands in every pass."""
+def _projected(seed: int):
+    """Arrow batches (h, vector, first, turns, share) -> (turn, place, h, vector): where each vector stands in its passes.
+
+    These are the passes from ``first`` up to ``turns``, and of them a random ``share``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
             rows, h = _matrix(batch.column(1)), batch.column(0).to_numpy()
-            for turn in range(n_passes):
+            first, turns, share = (batch.column(i).to_numpy() for i in (2, 3, 4))
+            for turn in range(int(first.min()), int(turns.max())):
+                mixed = (h.view(np.uint64) ^ np.uint64(turn * 0xD1B54A32D192ED03 % 2**64)) * np.uint64(0x9E3779B97F4A7C15)
+                drawn = ((mixed ^ mixed >> np.uint64(32)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(11)) * 2.0**-53
+                there = np.flatnonzero((first <= turn) & (turn < turns) & (drawn < share))
+                if not len(there):
+                    continue
                 planes = np.random.default_rng([seed, turn]).normal(size=(rows.shape[1], SIGNS))
-                place = np.zeros(len(rows), np.int64)
-                for bit in (rows @ planes > 0).T:
+                place = np.zeros(len(there), np.int64)
+                for bit in (rows[there] @ planes > 0).T:
                     place = place << 1 | bit
-                low = (h.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - HASHED)
+                some = pa.array(there)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(rows), turn, np.int32)), pa.array(place << HASHED | low.astype(np.int64)), batch.column(0), batch.column(1)],
+                    [pa.array(np.full(len(there), turn, np.int32)), pa.array(place), batch.column(0).take(some), batch.column(1).take(some)],
                     ["turn", "place", "h", "vector"],
                 )
 
     return run
 
 
+def _chances(window: int, least: float):
+    """Sorted batches (turn, place, h) -> (h, chance) of a vector to meet a partner at ``least`` in that pass."""
+
+    def measured(turn: np.ndarray, place: np.ndarray) -> np.ndarray:
+        bits = np.zeros(len(turn))
+        if len(turn) > window:
+            _, parted = np.frexp((place[window:] ^ place[:-window]).astype(float))
+            shared = np.where(turn[window:] == turn[:-window], SIGNS - parted, 0)
+            bits[:-window] = shared
+            bits[window:] = np.maximum(bits[window:], shared)
+        return _alike(least) ** (bits + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, told = None, 0
+        for batch in batches:
+            now = [column.to_numpy() for column in batch.columns]
+            held = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
+            # the last rows wait for those behind them
+            sure = max(told, len(held[0]) - window)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(held[2][told:sure]), pa.array(measured(*held[:2])[told:sure])], ["h", "chance"]
+            )
+            cut = max(0, sure - window)
+            held, told = [x[cut:] for x in held], sure - cut
+        if held is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(held[2][told:]), pa.array(measured(*held[:2])[told:])], ["h", "chance"]
+            )
+
+    return run
+
+
 def _neighbours(window: int, least: float):
     """Sorted batches (turn, place, h, vector) -> links (a, b) that connect all pairs found in the windows."""
 
@@ -136,18 +185,47 @@ def near_duplicates(
     )
     kind = nodes.schema["vector"].dataType.simpleString()
     turns = passes(nodes.count(), window, least)
-    stood = nodes.select("h", "vector").mapInArrow(
-        _projected(turns, seed), f"turn int, place bigint, h bigint, vector {kind}"
-    )
-    found = (
-        stood.repartitionByRange("turn", "place")
-        .sortWithinPartitions("turn", "place")
-        .mapInArrow(_neighbours(window, least), "a bigint, b bigint")
+
+    def ordered(some: DataFrame, *columns: str) -> DataFrame:
+        """Rows (h, vector, first, turns, share) as they stand in their passes."""
+        stood = some.select("h", "vector", "first", "turns", "share").mapInArrow(
+            _projected(seed), f"turn int, place bigint, h bigint, vector {kind}"
+        )
+        order = ["turn", "place", "h"]
+        return stood.select(*columns).repartitionByRange(*order).sortWithinPartitions(*order)
+
+    def met(some: DataFrame) -> DataFrame:
+        return ordered(some, "turn", "place", "h", "vector").mapInArrow(_neighbours(window, least), "a bigint, b bigint")
+
+    def members(stars: DataFrame) -> DataFrame:
+        return stars.select(F.col("a").alias("h"), F.col("b").alias("root")).unionByName(
+            stars.select(F.col("b").alias("h"), F.col("b").alias("root")).distinct()
+        )
+
+    every = nodes.withColumns({"first": F.lit(0), "turns": F.lit(turns), "share": F.lit(1.0)})
+    stars = settled(components(met(every)))
+    # how crowded it is, the members of a component aside but for half a window of them
+    member = members(stars)
+    shares = member.groupBy("root").agg(F.least(F.lit(1.0), F.lit(window / 2) / F.count(F.lit(1))).alias("share"))
+    rooted = every.drop("share").join(member.join(shares, "root"), "h", "left")
+    shared = rooted.withColumns({"root": F.coalesce("root", "h"), "share": F.coalesce("share", F.lit(1.0))})
+    chances = (
+        ordered(shared, "turn", "place", "h")
+        .mapInArrow(_chances(window, least), "h bigint, chance double")
+        .groupBy("h")
+        .agg(F.avg("chance").alias("chance"))
     )
-    stars = settled(components(found))
-    member = stars.select(F.col("a").alias("h"), F.col("b").alias("root")).unionByName(
-        stars.select(F.col("b").alias("h"), F.col("b").alias("root")).distinct()
+    worst = chances.join(shared.select("h", "root"), "h").groupBy("root").agg(F.min("chance").alias("chance"))
+    needed = F.log(F.lit(MISSED)) / F.log1p(-F.col("chance"))
+    crowded = settled(
+        shared.drop("first", "turns")
+        .join(worst.where(needed > turns), "root")
+        .withColumn("first", F.lit(turns))
+        .withColumn("turns", (turns * F.pow(F.lit(2.0), F.ceil(F.log2(needed / turns)))).cast("int"))
     )
+    if not crowded.isEmpty():
+        stars = settled(components(stars.select("a", "b").unionByName(met(crowded))))
+    member = members(stars)
     parts = member.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
     blocks = (
         nodes.join(member, "h")

@@ -63,3 +63,19 @@ def test_recall_on_pairs_at_the_threshold(spark):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = vectors.near_duplicates(frame).where("n_links > 0").count()
     assert got >= 0.9 * len(rows)
+
+
+def test_recall_in_a_hot_cluster(spark):
+    pick = np.random.default_rng(4)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    n, pairs, cosine = 9000, 400, 0.955
+    centre = unit(pick.normal(size=(1, 64)))
+    hot = unit(np.sqrt(0.8) * centre + np.sqrt(0.2) * unit(pick.normal(size=(n // 3, 64))))
+    apart = pick.normal(size=(pairs, 64))
+    apart -= (hot[:pairs] * apart).sum(1, keepdims=True) * hot[:pairs]
+    hot[pairs : 2 * pairs] = cosine * hot[:pairs] + np.sqrt(1 - cosine**2) * unit(apart)
+    rows = np.vstack([hot, unit(pick.normal(size=(n - len(hot), 64)))])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {r.id: r.component_id for r in vectors.near_duplicates(frame).where("n_links > 0").collect()}
+    found = sum(got.get(i, -1) == got.get(i + pairs, -2) for i in range(pairs))
+    assert found >= 0.96 * pairs
