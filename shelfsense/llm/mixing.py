@@ -75,10 +75,21 @@ def _dealt(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 1) -> DataFrame:
     """One row a document: (id, tie, source, size, source_size, target, taken, block, shard, shuffled, shards, places).
 
-    ``tie`` is a hash of the text. ``shards`` are where its block goes, one for each epoch that draws it, the partial
-    one last, and ``places`` its place in the order of each of these; ``shard`` and ``shuffled`` are those of the
-    first epoch (null: not drawn).
+    ``tie`` is a hash of the text. ``shards`` are where its block goes in each epoch (``epoch0`` and so on; null: not
+    drawn), the partial one last, and ``places`` its place in the order of each of these; ``shard`` and ``shuffled``
+    are those of the first epoch.
     """
+
+    def by_epoch(column: str) -> Column:
+        return F.struct(*(F.get(column, F.lit(i)).alias(f"epoch{i}") for i in range(EPOCHS))).alias(column)
+
+    mixed = _mixed(docs, key, text, source, seed)
+    shards, places = by_epoch("shards"), by_epoch("places")
+    return mixed.select(*(c for c in mixed.columns if c not in ("shards", "places")), shards, places)
+
+
+def _mixed(docs: DataFrame, key: str, text: str, source: str, seed: int) -> DataFrame:
+    """``mix`` with ``shards`` and ``places`` as arrays, as long as epochs draw the block."""
     sized = settled(_dealt(docs, key, text, source))
     sources = settled(
         targets(sized.groupBy("source").agg(F.sum("size").alias("words")))
@@ -166,7 +177,7 @@ def _split(drawn: DataFrame, seed: int) -> DataFrame:
 
 def quotas(mixed: DataFrame, epoch: int = 0) -> DataFrame:
     """(shard, source, blocks): how many blocks of each source, drawn in an epoch, every output shard got."""
-    dealt = mixed.withColumn("shard", F.get("shards", F.lit(epoch))).where("shard IS NOT NULL")
+    dealt = mixed.withColumn("shard", F.col("shards")[f"epoch{epoch}"]).where("shard IS NOT NULL")
     return dealt.groupBy("shard", "source").agg(F.countDistinct("block").alias("blocks"))
 
 
@@ -177,7 +188,7 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", source: s
     Rows come shard by shard, each in its own order; a shard fills several partitions, one after the other, where
     shuffles have more partitions than there are shards.
     """
-    mixed = mix(docs, key, text, source, seed)
+    mixed = _mixed(docs, key, text, source, seed)
     takes = mixed.where("taken > 0").groupBy("id", "tie", "source").agg(F.min("size").alias("_size"), F.sum("taken").alias("_taken"), F.count(F.lit(1)).alias("_rows"), F.first("shards").alias("_shards"))
     keyed = docs.withColumn("_tie", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     same = (
