@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import bpe, html, languages, mixing, quality, simhash, substrings, urls, vectors, weighted_sampling
+from shelfsense.llm import (
+    bpe,
+    centroids,
+    codes,
+    exact,
+    html,
+    languages,
+    mixing,
+    quality,
+    simhash,
+    substrings,
+    urls,
+    vectors,
+    weighted_sampling,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -189,3 +203,94 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     evidence = languages.learn(docs, pages, document_number(F.col("url")))
     found = languages.identify(pages, evidence)
     return found.select(F.col("id").alias("page_id"), "host", "lang", F.round("score", 6).alias("score"))
+
+
+@_query
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector of 64 finite components after five rounds from 40 drawn centroids."""
+    found, final = centroids.cluster(_table(spark, sf_dir, "embeddings"))
+    digests = F.array(*(F.lit(centroids.digest(c)) for c in final)).cast("array<string>")
+    return found.withColumn("centroid_sha256", F.get(digests, F.col("cluster"))).withColumnRenamed("id", "vec_id")
+
+
+#: Whether a vector of ``embeddings`` has finite components only; null for a null vector.
+_FINITE = "len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)"
+
+
+def _floored(total: str, n: str) -> str:
+    """Integer division rounding down."""
+    return f"(({total}) - ((({total}) % {n}) + {n}) % {n}) // {n}"
+
+
+def _cluster_oracle(k: int = 40, rounds: int = 5) -> str:
+    steps = [f"""v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+      FROM embeddings WHERE len(embedding) = 64 AND {_FINITE}),
+    x AS MATERIALIZED (SELECT vec_id, unnest(q) AS x, generate_subscripts(q, 1) AS i FROM v),
+    drawn AS (SELECT vec_id, q, row_number() OVER (ORDER BY sha256('2:' || vec_id), q) - 1 AS k FROM v),
+    c0 AS MATERIALIZED (SELECT k, unnest(q) AS x, generate_subscripts(q, 1) AS i FROM drawn WHERE k < {k})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""d{r} AS (SELECT vec_id, k, CAST(sum((x.x - c.x) * (x.x - c.x)) AS BIGINT) AS d
+          FROM x JOIN c{r} c USING (i) GROUP BY vec_id, k),
+        a{r} AS MATERIALIZED (SELECT vec_id, min_by(k, d * 64 + k) AS k, min(d) AS d FROM d{r} GROUP BY vec_id)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (SELECT k, i, {_floored("sum(x)", "count(*)")} AS x FROM a{r} JOIN x USING (vec_id) GROUP BY k, i),
+            c{r + 1} AS MATERIALIZED (SELECT k, i, CAST(coalesce(m.x, c.x) AS BIGINT) AS x FROM c{r} c LEFT JOIN m{r} m USING (k, i))""")
+    return f"""WITH {", ".join(steps)}, s AS (SELECT k, sha256(string_agg(x, ',' ORDER BY i)) AS sha FROM c{rounds} GROUP BY k)
+    SELECT vec_id, CAST(k AS INT) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+      CAST(sum(d) OVER () AS BIGINT) AS inertia, sha AS centroid_sha256
+    FROM a{rounds} JOIN s USING (k)"""
+
+
+ORACLES["op11_centroid_clusters"] = _cluster_oracle()
+
+
+@_query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of every finite vector from four codebooks of 256 entries."""
+    coded, books = codes.compress(_table(spark, sf_dir, "embeddings"))
+    return coded.select(
+        F.col("id").alias("vec_id"),
+        codes.as_hex(F.col("entries")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(codes.digest(books)).alias("codebooks_sha256"),
+    )
+
+
+def _code_oracle(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    steps = [f"""v AS MATERIALIZED (SELECT vec_id, label, len(embedding) // {parts} AS w, row_number() OVER (ORDER BY vec_id) - 1 AS k,
+        list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+      FROM embeddings WHERE embedding IS NOT NULL AND {_FINITE}),
+    u AS (SELECT vec_id, w, k, unnest(q) AS x, generate_subscripts(q, 1) - 1 AS i FROM v),
+    x AS MATERIALIZED (SELECT vec_id, k, i // w AS p, i % w AS i, x FROM u),
+    y AS MATERIALIZED (SELECT vec_id, p, list(x ORDER BY i) AS x FROM x GROUP BY vec_id, p),
+    c0 AS MATERIALIZED (SELECT p, k, i, x FROM x WHERE k < {entries})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""b{r} AS MATERIALIZED (SELECT p, k, list(x ORDER BY i) AS x FROM c{r} GROUP BY p, k),
+        d{r} AS (SELECT vec_id, p, k, CAST(list_sum(list_transform(list_zip(y.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+          FROM y JOIN b{r} b USING (p)),
+        a{r} AS MATERIALIZED (SELECT vec_id, p, min_by(k, d * {entries} + k) AS k, min(d) AS d FROM d{r} GROUP BY vec_id, p)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (SELECT p, a.k, i, {_floored("sum(x)", "count(*)")} AS x
+              FROM a{r} a JOIN x USING (vec_id, p) GROUP BY p, a.k, i),
+            c{r + 1} AS MATERIALIZED (SELECT p, k, i, CAST(coalesce(m.x, c.x) AS BIGINT) AS x
+              FROM c{r} c LEFT JOIN m{r} m USING (p, k, i))""")
+    return f"""WITH {", ".join(steps)},
+    s AS (SELECT sha256(string_agg(x, ',' ORDER BY p, k, i)) AS sha FROM c{rounds}),
+    e AS (SELECT vec_id, string_agg(printf('%02x', k), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, sha AS codebooks_sha256
+    FROM e JOIN v USING (vec_id) CROSS JOIN s"""
+
+
+ORACLES["op12_vector_codes"] = _code_oracle()
+
+
+@_query
+def op13_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one that stays of those with its text: that with the largest id."""
+    return exact.groups(_table(spark, sf_dir, "documents"), keep="largest").withColumnRenamed("id", "doc_id")
+
+
+ORACLES["op13_exact_groups"] = """SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+  doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"""

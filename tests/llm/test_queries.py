@@ -8,7 +8,7 @@ import corpus_pipeline
 from shelfsense.llm.queries import QUERIES
 
 DATA = "/root/testdata/sf0.001"
-NATIVE = ("op4_", "op8_")
+NATIVE = ("op4_", "op8_", "op13_")
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -19,11 +19,12 @@ def test_query(spark, name):
     if name.startswith(NATIVE):
         assert "Python" not in plan and "Arrow" not in plan
     got = df.toPandas()
-    table = {"op5": "pages", "op6": "embeddings", "op9": "pages", "op10": "pages"}.get(name.split("_")[0], "documents")
+    tables = {"op5": "pages", "op9": "pages", "op10": "pages"} | dict.fromkeys(("op6", "op11", "op12"), "embeddings")
+    table = tables.get(name.split("_")[0], "documents")
     assert len(got) == spark.read.parquet(f"{DATA}/{table}.parquet").count()
     if name in entry.oracle_sql():
         con = duckdb.connect()
-        for t in ("documents", "pages", "labels"):
+        for t in ("documents", "embeddings", "pages", "labels"):
             con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
         wanted = con.sql(entry.oracle_sql()[name]).df()
         order = sorted(wanted.columns)
