@@ -34,8 +34,9 @@ from pyspark.sql import functions as F
 from shelfsense.llm.centroids import integers, lists, usable
 from shelfsense.shared import settled
 
-#: Transformed coordinates added between two eliminations; parts searched at once.
-STEP, AT_ONCE = 4, 2048
+#: Transformed coordinates added between two eliminations; parts searched at once; share of pairs left below which
+#: they are picked one by one.
+STEP, AT_ONCE, MOSTLY = 4, 256, 0.2
 
 
 def walsh(width: int) -> np.ndarray:
@@ -61,22 +62,36 @@ def transformed(rows: np.ndarray, parts: int) -> np.ndarray:
 
 
 def nearest(points: np.ndarray, entries: np.ndarray, step: int = STEP) -> tuple[np.ndarray, np.ndarray, int]:
-    """Of transformed points: index of the nearest entry, width times the squared distance, coordinates compared."""
+    """Of transformed points: index of the nearest entry, width times the squared distance, coordinates compared.
+
+    While most pairs of a block are still in, all are added up column by column, which is cheaper than picking them.
+    """
     index, total, seen = np.zeros(len(points), np.int64), np.zeros(len(points), np.int64), 0
     width = points.shape[1]
     for start in range(0, len(points), AT_ONCE):
         some = points[start : start + AT_ONCE]
-        partial = np.zeros((len(some), len(entries)), np.int64)
-        for t in range(min(step, width)):
-            difference = some[:, t, None] - entries[None, :, t]
-            partial += difference * difference
-        best = partial.argmin(1)
-        known = ((some - entries[best]) ** 2).sum(1)
-        row, entry = np.nonzero(partial <= known[:, None])
+        here = slice(start, start + len(some))
+        partial, known = np.zeros((len(some), len(entries)), np.int64), None
+        for at in range(0, width, step):
+            for t in range(at, min(at + step, width)):
+                difference = some[:, t, None] - entries[None, :, t]
+                difference *= difference
+                partial += difference
+            seen += partial.size * min(step, width - at)
+            if known is None:
+                known = ((some - entries[partial.argmin(1)]) ** 2).sum(1)
+            left = partial <= known[:, None]
+            if np.count_nonzero(left) < MOSTLY * left.size:
+                break
+        if at + step >= width:
+            # the first of equal sums has the lowest index
+            index[here] = partial.argmin(1)
+            total[here] = partial[np.arange(len(some)), index[here]]
+            continue
+        row, entry = np.nonzero(left)
         sums = partial[row, entry]
-        seen += partial.size * min(step, width)
-        for at in range(step, width, step):
-            difference = some[row, at : at + step] - entries[entry, at : at + step]
+        for begin in range(at + step, width, step):
+            difference = some[row, begin : begin + step] - entries[entry, begin : begin + step]
             sums = sums + (difference * difference).sum(1)
             seen += difference.size
             still = sums <= known[row]
@@ -84,7 +99,7 @@ def nearest(points: np.ndarray, entries: np.ndarray, step: int = STEP) -> tuple[
         # rows ascend, and within a row the entries; the known entry of every row is still in
         order = np.lexsort((entry, sums, row))
         first = order[np.unique(row[order], return_index=True)[1]]
-        index[start : start + len(some)], total[start : start + len(some)] = entry[first], sums[first]
+        index[here], total[here] = entry[first], sums[first]
     return index, total, seen
 
 
