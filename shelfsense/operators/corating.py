@@ -1,9 +1,12 @@
 """Item-to-item similarity by co-rating: both / sqrt(raters of one * raters of the other).
 
-Items are dealt to blocks of a bounded size and every basket (one user's items) is cut along them,
-so no row ever holds more than a block of items, however much one user has rated. A tile is one
-pair of blocks; a task counts all pairs of a tile in one matrix while the cut baskets stream past,
-and hands on the best k per item. Pairs are thus counted, never emitted.
+A self-join on the user would emit every pair of a basket (one user's items) as a row. Here a basket is one row, and a
+task counts the pairs of many baskets before it hands any on: pairs (smaller item, larger item) with a partial count.
+A plain ``groupBy`` adds the partial counts up, and only the sums are mirrored to both directions. Popular pairs,
+which make up most of the work, so leave a task once a step and not once a user.
+
+The basket of a heavy user is cut into parts of about ``PART_ITEMS`` items, and its row becomes a row a pair of parts,
+which any task may take: neither the items nor the pairs of one user meet in one task.
 """
 
 from __future__ import annotations
@@ -13,174 +16,127 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsense.functions.vectors import co_rating_similarity
 from shelfsense.operators.ranking import top_per_key
-from shelfsense.operators.strips import MAX_PARTITIONS, best_columns, runs, spans
-
-BLOCK_ITEMS = 4096
-SMALLEST_BLOCK = 256
-BASKETS_PER_TILE = 20_000_000
-RATINGS_PER_TASK = 250_000
-BLOCKS_PER_SALT = 64
-INCREMENTS_AT_ONCE = 4_000_000
-SPARSE_BELOW = 8
-STRIPE = 512
-SHARE_STEP = 7919
-SHARED_ROW_ITEMS, ROW_ITEMS, COLUMN_ITEMS, BASKET = -1, 0, 1, 2
-PAIR_SCHEMA = "product1 bigint, product2 bigint, common bigint, nor1 bigint, nor2 bigint"
-
-
-class PairCounts:
-    """Co-rating counts of one tile."""
-
-    def __init__(
-        self, rows: tuple[np.ndarray, np.ndarray], cols: tuple[np.ndarray, np.ndarray], weighted: bool
-    ):
-        self.row_ids, self.row_raters = rows
-        self.col_ids, self.col_raters = cols
-        self.weighted = weighted
-        # unweighted, a cell counts users at most once each
-        kind = np.int64 if weighted else np.uint32
-        self.counts = np.zeros((len(self.row_ids), len(self.col_ids)), dtype=kind)
-
-    def add(self, batch: pa.RecordBatch) -> None:
-        left, n_left = _flat(batch.column("l"))
-        right, n_right = _flat(batch.column("r"))
-        left = np.searchsorted(self.row_ids, left)
-        right = np.searchsorted(self.col_ids, right)
-        one = self.counts.dtype.type(1)
-        lw = _flat(batch.column("lw"))[0] if self.weighted else None
-        rw = _flat(batch.column("rw"))[0] if self.weighted else None
-        left_at = np.concatenate([[0], np.cumsum(n_left)])
-        right_at = np.concatenate([[0], np.cumsum(n_right)])
-        done = np.concatenate([[0], np.cumsum(n_left * n_right)])
-        flat = self.counts.ravel()
-        start = 0
-        while start < len(n_left):
-            # as many baskets as fit one vectorised step, but always at least one
-            stop = max(start + 1, int(np.searchsorted(done, done[start] + INCREMENTS_AT_ONCE, "right")) - 1)
-            ls = slice(left_at[start], left_at[stop])
-            if stop == start + 1:
-                rs = slice(right_at[start], right_at[stop])
-                step = np.multiply.outer(lw[ls], rw[rs]) if self.weighted else one
-                # the items of a basket are distinct, so every cell is hit once
-                self.counts[np.ix_(left[ls], right[rs])] += step
-            else:
-                basket = np.repeat(np.arange(start, stop), n_left[start:stop])
-                entry, at = spans(right_at[basket], n_right[basket])
-                cell = left[ls][entry] * len(self.col_ids) + right[at]
-                np.add.at(flat, cell, lw[ls][entry] * rw[at] if self.weighted else one)
-            start = stop
-
-    def _batch(self, one: np.ndarray, two: np.ndarray, flipped: bool) -> pa.RecordBatch:
-        first = [self.row_ids[one], self.row_raters[one]]
-        second = [self.col_ids[two], self.col_raters[two]]
-        common = self.counts[one, two].astype(np.int64)
-        if flipped:
-            first, second = second, first
-        columns = [first[0], second[0], common, first[1], second[1]]
+from shelfsense.operators.strips import spans
+from shelfsense.shared import settled
+
+#: Items that a part of a basket holds about; users whose baskets are cut at most, which bounds the list of them.
+PART_ITEMS, MOST_HEAVY = 2048, 100_000
+#: Pairs that a task counts before it hands them on; pairs that a task should have to count in all.
+PAIRS_AT_ONCE, PAIRS_PER_TASK = 4_000_000, 20_000_000
+#: Tasks for counting at most, whatever the number of pairs.
+MOST_TASKS = 100_000
+PARTIAL_SCHEMA = "product1 bigint, product2 bigint, common bigint, nor1 bigint, nor2 bigint"
+
+
+def _flat(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    return lists.flatten(), np.diff(lists.offsets.to_numpy())
+
+
+def _steps(n_pairs: np.ndarray, limit: int) -> Iterator[slice]:
+    """Runs of rows with at most ``limit`` pairs together, but at least one row each."""
+    done = np.concatenate([[0], np.cumsum(n_pairs)])
+    start = 0
+    while start < len(n_pairs):
+        stop = max(start + 1, int(np.searchsorted(done, done[start] + limit, "right")) - 1)
+        yield slice(start, stop)
+        start = stop
+
+
+def _pairs_of(n_left: np.ndarray, n_right: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in the flat left and right items of all pairs of every row; of a ``whole`` basket each pair once."""
+    left_at = np.cumsum(n_left) - n_left
+    right_at = np.cumsum(n_right) - n_right
+    row = np.repeat(np.arange(len(n_left)), n_left)
+    inside = np.arange(len(row)) - left_at[row]
+    first = right_at[row] + np.where(whole[row], inside + 1, 0)
+    entry, at = spans(first, right_at[row] + n_right[row] - first)
+    return entry, at
+
+
+def partial_counts(weighted: bool, limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Arrow batches (l, r) of basket rows -> counted pairs, smaller item first, at most ``limit`` pairs at a time.
+
+    ``l`` and ``r`` list (item, raters, times); an empty ``r`` stands for the pairs within ``l``.
+    """
+
+    def counted(items: np.ndarray, raters: np.ndarray, times: np.ndarray, one: np.ndarray, two: np.ndarray):
+        known, place = np.unique(items, return_inverse=True)
+        of = np.empty(len(known), np.int64)
+        of[place] = raters
+        a, b = place[one], place[two]
+        key = np.minimum(a, b) * len(known) + np.maximum(a, b)
+        if weighted:
+            order = np.argsort(key, kind="stable")
+            key, step = key[order], (times[one] * times[two])[order]
+            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            key, common = key[starts], np.add.reduceat(step, starts)
+        elif len(known) ** 2 <= 4 * len(key):
+            common = np.bincount(key)
+            key = np.flatnonzero(common)
+            common = common[key]
+        else:
+            key.sort()
+            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            key, common = key[starts], np.diff(np.append(starts, len(key)))
+        a, b = np.divmod(key, len(known))
+        columns = [known[a], known[b], common, of[a], of[b]]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in columns], names=["product1", "product2", "common", "nor1", "nor2"]
+            [pa.array(c) for c in columns], ["product1", "product2", "common", "nor1", "nor2"]
         )
 
-    def result(self, k: int | None, same_block: bool) -> Iterator[pa.RecordBatch]:
-        """All counted pairs, or only the best k per item, in both directions."""
-        if same_block:
-            np.fill_diagonal(self.counts, 0)
-        if k is None:
-            one, two = self._cells()
-            for at in range(0, len(one), 100_000):
-                some = slice(at, at + 100_000)
-                yield self._batch(one[some], two[some], False)
-                if not same_block:
-                    yield self._batch(one[some], two[some], True)
-            return
-        raters = (self.row_raters.astype(float), self.col_raters.astype(float))
-        if np.count_nonzero(self.counts) * SPARSE_BELOW < self.counts.size:
-            one, two = self._cells()
-            scores = self.counts[one, two] / np.sqrt(raters[0][one] * raters[1][two])
-            kept = best_per_group(one, scores, two, k)
-            yield self._batch(one[kept], two[kept], False)
-            if not same_block:
-                kept = best_per_group(two, scores, one, k)
-                yield self._batch(one[kept], two[kept], True)
-            return
-        # a stripe at a time; ids ascend along both axes, so the first of equal scores is the smaller id
-        for start in range(0, len(self.row_ids), STRIPE):
-            stripe = slice(start, start + STRIPE)
-            row, col = _best_cells(self.counts[stripe], raters[0][stripe], raters[1], k)
-            yield self._batch(row + start, col, False)
-        if same_block:
-            return
-        for start in range(0, len(self.col_ids), STRIPE):
-            stripe = slice(start, start + STRIPE)
-            col, row = _best_cells(self.counts[:, stripe].T, raters[1][stripe], raters[0], k)
-            yield self._batch(row, col + start, True)
-
-    def _cells(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.divmod(np.flatnonzero(self.counts), max(1, len(self.col_ids)))
-
-
-def _best_cells(
-    counts: np.ndarray, own: np.ndarray, others: np.ndarray, k: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column of the k most similar others of every row."""
-    scores = np.ascontiguousarray(counts) / np.sqrt(own[:, None] * others[None, :])
-    scores[scores == 0] = -np.inf
-    found, at = best_columns(scores, k)
-    row, n = np.nonzero(~np.isneginf(found))
-    return row, at[row, n]
-
-
-def best_per_group(group: np.ndarray, scores: np.ndarray, tie: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k highest scores per group, equal ones by ascending ``tie``."""
-    order = np.lexsort((tie, -scores, group))
-    grouped = group[order]
-    first = np.flatnonzero(np.concatenate([[True], grouped[1:] != grouped[:-1]]))
-    place = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
-    return order[place < k]
-
-
-def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.diff(lists.offsets.to_numpy())
-    return lists.flatten().to_numpy(zero_copy_only=False), lengths
-
-
-def count_tiles(
-    k: int | None, weighted: bool
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The task body: rows arrive sorted by (tile, kind).
-
-    The first kinds list the items (``l``) and rater counts (``r``) of the tile's two blocks, BASKET
-    rows the parts of one basket that lie in either block. The best ``k`` can only be told where a
-    task sees all baskets of its tile; of a shared tile it hands on all counts, to be summed.
-    """
+    def numbers(entries: pa.Array) -> tuple[np.ndarray, ...]:
+        return tuple(entries.field(i).to_numpy(zero_copy_only=False) for i in range(3))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, items, counts, best = None, {}, None, None
+        held: list[pa.RecordBatch] = []
+        waiting = 0
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held).combine_chunks()
+            (left, n_left), (right, n_right) = (_flat(table[c].chunk(0)) for c in ("l", "r"))
+            whole = n_right == 0
+            n_pairs = np.where(whole, n_left * (n_left - 1) // 2, n_left * n_right)
+            left_end, right_end = (np.concatenate([[0], np.cumsum(n)]) for n in (n_left, n_right))
+            left, right = numbers(left), numbers(right)
+            for some in _steps(n_pairs, limit):
+                ls = slice(left_end[some.start], left_end[some.stop])
+                rs = slice(right_end[some.start], right_end[some.stop])
+                # within a whole basket the right items are its own
+                alone = whole[some]
+                n_l, n_r = n_left[some], n_right[some]
+                items = [np.concatenate([a[ls], b[rs]]) for a, b in zip(left, right, strict=True)]
+                one, two = [], []
+                if alone.any():
+                    n = np.where(alone, n_l, 0)
+                    at = np.flatnonzero(np.repeat(alone, n_l))
+                    e, p = _pairs_of(n[alone], n[alone], np.ones(int(alone.sum()), bool))
+                    one.append(at[e])
+                    two.append(at[p])
+                if not alone.all():
+                    crossed = np.flatnonzero(np.repeat(~alone, n_l))
+                    e, p = _pairs_of(n_l[~alone], n_r[~alone], np.zeros(int((~alone).sum()), bool))
+                    one.append(crossed[e])
+                    two.append(int(n_l.sum()) + p)
+                one, two = np.concatenate(one), np.concatenate(two)
+                if len(one):
+                    yield counted(*items, one, two)
+
         for batch in batches:
-            tiles = batch.column("tile").to_numpy()
-            kinds = batch.column("kind").to_numpy()
-            for lo, hi in runs([tiles, kinds]):
-                if tiles[lo] != tile:
-                    if counts is not None:
-                        yield from counts.result(best, COLUMN_ITEMS not in items)
-                    tile, items, counts = tiles[lo], {}, None
-                part = batch.slice(lo, hi - lo)
-                if kinds[lo] != BASKET:
-                    items[kinds[lo]] = (_flat(part.column("l"))[0], _flat(part.column("r"))[0])
-                    continue
-                if counts is None:
-                    shared = SHARED_ROW_ITEMS in items
-                    best = None if shared else k
-                    rows = items[SHARED_ROW_ITEMS if shared else ROW_ITEMS]
-                    counts = PairCounts(rows, items.get(COLUMN_ITEMS, rows), weighted)
-                counts.add(part)
-        if counts is not None:
-            yield from counts.result(best, COLUMN_ITEMS not in items)
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                (_, n_left), (_, n_right) = (_flat(part.column(c)) for c in ("l", "r"))
+                held.append(part)
+                waiting += int(np.where(n_right == 0, n_left * (n_left - 1) // 2, n_left * n_right).sum())
+                if waiting >= limit:
+                    yield from flushed()
+                    held, waiting = [], 0
+        if held:
+            yield from flushed()
 
     return run
 
@@ -194,159 +150,79 @@ def _incidence(ratings: DataFrame, dedupe: bool) -> DataFrame:
     return pairs.agg(F.count(F.lit(1)).alias("w"))
 
 
-class _Tiles:
-    """Which pairs of blocks there are, and among how many tasks the users of each are shared out."""
-
-    def __init__(self, ratings: DataFrame, block_items: int, shares: int | None):
-        size = ratings.agg(
-            F.approx_count_distinct("productId").alias("items"), F.count(F.lit(1)).alias("rows")
-        ).first()
-        cores = ratings.sparkSession.sparkContext.defaultParallelism
-        # more blocks than the bound asks for, down to a smallest size, so that every core gets a tile
-        self.blocks = max(
-            1,
-            math.ceil(size["items"] / block_items),
-            min(math.ceil(size["items"] / SMALLEST_BLOCK), math.ceil(math.sqrt(2 * cores))),
-        )
-        self.pairs = self.blocks * (self.blocks + 1) // 2
-        # with still fewer tiles than cores, users are shared out if there are ratings to go round
-        ratings_per_tile = math.ceil(size["rows"] / RATINGS_PER_TASK / self.pairs)
-        self.least = shares or max(1, min(cores // self.pairs, ratings_per_tile))
-        self.most, self.heat = self.least, None
-        if size["rows"] > BASKETS_PER_TILE:
-            # a tile sees no more baskets than its lesser block has ratings: popular items, alone or
-            # together, only ever make more tasks
-            rows = ratings.groupBy(self.block(F.col("productId").cast("bigint"))).count().collect()
-            heat = {row["block"]: row["count"] for row in rows}  # one entry per block
-            self.heat = [math.ceil(heat.get(b, 0) / BASKETS_PER_TILE) for b in range(self.blocks)]
-            self.most = max(self.least, *self.heat)
-
-    def block(self, item: Column) -> Column:
-        # never null, so that no null filter is derived from it and all uses share one shuffle
-        dealt = F.pmod(F.xxhash64(item), F.lit(self.blocks)).cast("int")
-        return F.coalesce(dealt, F.lit(0)).alias("block")
-
-    def shares(self, row_block: Column, col_block: Column) -> Column:
-        if self.heat is None:
-            return F.lit(self.least)
-        heat = F.lit(self.heat)
-        cooler = F.least(F.get(heat, row_block), F.get(heat, col_block))
-        return F.greatest(cooler, F.lit(self.least))
-
-    def number(self, row_block: Column, col_block: Column, share: Column) -> Column:
-        """Dense over (row block <= column block, share)."""
-        pair = (col_block.cast("bigint") * (col_block + 1) / 2).cast("bigint") + row_block
-        return (pair * self.most + share).cast("bigint")
-
-
-    def partition(self, n_parts: int) -> Column:
-        """One partition per tile; if they are too many, neighbours share one, but not a tile's shares.
-
-        Neighbours mostly have a block in common, so its lists are merged before the last shuffle.
-        """
-        if self.pairs * self.most <= n_parts:
-            return F.col("tile").cast("int")
-        together = math.ceil(self.pairs / n_parts)
-        spread = F.pmod("tile", F.lit(self.most)) * SHARE_STEP
-        return F.pmod(F.floor(F.col("tile") / (self.most * together)) + spread, F.lit(n_parts)).cast("int")
-
-
-def _counted(
-    ratings: DataFrame, k: int | None, dedupe: bool, block_items: int, shares: int | None
-) -> tuple[DataFrame, bool]:
-    """Counted pairs, and whether those of shared tiles are still to be summed."""
-    layout = _Tiles(ratings, block_items, shares)
-    incidence = _incidence(ratings, dedupe)
-    block = layout.block(F.col("item"))
-
-    # no null arrays anywhere: an Arrow writer is slow at runs of them
-    weights = [] if dedupe else ["lw", "rw"]
-    columns = ["tile", "kind", "l", "r", *weights]
-    entry = F.col("item") if dedupe else F.struct("item", "w")
-    baskets = incidence.groupBy("userId", block).agg(F.collect_list(entry).alias("_e"))
-
-    def part(number: str, items: str, w: str) -> DataFrame:
-        fields = [F.col("_e").alias(items)]
-        if not dedupe:
-            fields = [F.col("_e.item").alias(items), F.col("_e.w").alias(w)]
-        return baskets.select("userId", F.col("block").alias(number), *fields)
-
-    rows = part("b1", "l", "lw")
-    if layout.blocks == 1:
-        cut = rows.withColumn("b2", F.col("b1")).withColumn("r", F.col("l"))
-        if not dedupe:
-            cut = cut.withColumn("rw", F.col("lw"))
-    else:
-        cols = part("b2", "r", "rw")
-        on = ["userId"]
-        if layout.blocks > BLOCKS_PER_SALT:
-            # a user present in many blocks is joined in several places
-            parts = F.count(F.lit(1)).over(Window.partitionBy("userId"))
-            ways = F.ceil(parts / BLOCKS_PER_SALT).cast("int")
-            rows = rows.withColumn("ways", ways).withColumn("salt", F.expr("pmod(b1, ways)"))
-            cols = cols.withColumn("ways", ways).withColumn("salt", F.explode(F.expr("sequence(0, ways - 1)")))
-            rows, cols = rows.drop("ways"), cols.drop("ways")
-            on = ["userId", "salt"]
-        cut = rows.join(cols, on).where("b1 <= b2")
-    b1, b2 = F.col("b1"), F.col("b2")
-    share = F.pmod(F.xxhash64("userId", F.lit("share")), layout.shares(b1, b2))
+def _baskets(incidence: DataFrame, part_items: int, tasks: int | None) -> DataFrame:
+    """(l, r): a row for the basket of a user, or for every pair of its parts where it has several."""
+    raters = incidence.groupBy("item").agg(F.sum("w").alias("raters"))
+    sizes = incidence.groupBy("userId").agg(F.count(F.lit(1)).alias("n"))
+    n = F.col("n").cast("double")
+    known = sizes.agg(
+        F.sum(n * (n - 1) / 2).alias("pairs"), F.sum(F.when(F.col("n") > part_items, F.col("n"))).alias("in_heavy")
+    ).first()
+    # a listed user holds more than one in MOST_HEAVY of the items of all heavy users, so that they are at most so many
+    least = max(part_items, -(-(known["in_heavy"] or 0) // MOST_HEAVY))
+    listed = sizes.where(F.col("n") > least).select("userId", F.ceil(F.col("n") / part_items).cast("int").alias("parts"))
+    if tasks is None:
+        cores = incidence.sparkSession.sparkContext.defaultParallelism
+        tasks = min(MOST_TASKS, max(cores, math.ceil((known["pairs"] or 0) / PAIRS_PER_TASK)))
+    parts = F.coalesce("parts", F.lit(1))
     cut = (
-        # an item alone in its block makes no pair there
-        cut.where("b1 < b2 OR size(l) > 1")
-        .withColumn("tile", layout.number(b1, b2, share))
-        .withColumn("kind", F.lit(BASKET))
-        .select(*columns)
+        incidence.join(raters, "item")
+        .join(F.broadcast(listed), "userId", "left")
+        .withColumn("part", F.pmod(F.xxhash64("item"), parts).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .select(
+            "userId",
+            F.least("part", "other").alias("low"),
+            F.greatest("part", "other").alias("high"),
+            (F.col("part") <= F.col("other")).alias("is_left"),
+            F.struct("item", "raters", "w").alias("entry"),
+        )
     )
-
-    raters = incidence.groupBy("item").agg(F.sum("w").alias("n"))
-    named = raters.groupBy(block).agg(
-        F.array_sort(F.collect_list(F.struct("item", "n"))).alias("_e")
+    lists = (
+        cut.repartition(tasks, "userId", "low", "high")
+        .groupBy("userId", "low", "high")
+        .agg(
+            F.collect_list(F.when(F.col("is_left"), F.col("entry"))).alias("l"),
+            F.collect_list(F.when(~F.col("is_left"), F.col("entry"))).alias("r"),
+        )
     )
+    # an empty side of two parts has no pairs; a basket of one item has none either
+    return lists.where("(low = high AND size(l) > 1) OR (size(l) > 0 AND size(r) > 0)").select("l", "r")
+
+
+def partial_pairs(
+    ratings: DataFrame, dedupe: bool = True, part_items: int | None = None, tasks: int | None = None
+) -> DataFrame:
+    """(product1 < product2, common, nor1, nor2) with the counts still to be added up."""
+    incidence = settled(_incidence(ratings, dedupe))
+    baskets = _baskets(incidence, part_items or PART_ITEMS, tasks)
+    return baskets.mapInArrow(partial_counts(not dedupe, PAIRS_AT_ONCE), PARTIAL_SCHEMA)
 
-    def naming(others: str, row_block: Column, col_block: Column, kind: Column) -> DataFrame:
-        empty = [F.array().cast("array<bigint>").alias(w) for w in weights]
-        return (
-            named.select("block", "_e", F.explode(F.expr(others)).alias("other"))
-            .withColumn("shares", layout.shares(row_block, col_block))
-            .select("*", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
-            .select(
-                layout.number(row_block, col_block, F.col("share")).alias("tile"),
-                kind.alias("kind"),
-                F.col("_e.item").alias("l"),
-                F.col("_e.n").alias("r"),
-                *empty,
-            )
-        )
 
-    here, there = F.col("block"), F.col("other")
-    row_kind = F.when(F.col("shares") > 1, F.lit(SHARED_ROW_ITEMS)).otherwise(F.lit(ROW_ITEMS))
-    tiles = naming(f"sequence(block, {layout.blocks - 1})", here, there, row_kind).unionByName(cut)
-    if layout.blocks > 1:
-        before = "CASE WHEN block > 0 THEN sequence(0, block - 1) END"
-        tiles = tiles.unionByName(naming(before, there, here, F.lit(COLUMN_ITEMS)))
-    n_parts = min(layout.pairs * layout.most, MAX_PARTITIONS)
-    counted = (
-        tiles.withColumn("_part", layout.partition(n_parts))
-        .repartitionById(n_parts, "_part")
-        .drop("_part")
-        .sortWithinPartitions("tile", "kind")
-        .mapInArrow(count_tiles(k, not dedupe), PAIR_SCHEMA)
+def _both_ways(
+    ratings: DataFrame, dedupe: bool, part_items: int | None, tasks: int | None
+) -> DataFrame:
+    summed = (
+        partial_pairs(ratings, dedupe, part_items, tasks)
+        .groupBy("product1", "product2")
+        .agg(F.sum("common").alias("common"), F.first("nor1").alias("nor1"), F.first("nor2").alias("nor2"))
+    )
+    one, two = F.col("product1"), F.col("product2")
+    names = ("product1", "product2", "nor1", "nor2")
+    ways = [F.struct(*(c.alias(n) for c, n in zip(cols, names, strict=True))) for cols in (
+        (one, two, F.col("nor1"), F.col("nor2")),
+        (two, one, F.col("nor2"), F.col("nor1")),
+    )]
+    return summed.select(F.explode(F.array(*ways)).alias("p"), "common").select(
+        "p.product1", "p.product2", "common", "p.nor1", "p.nor2"
     )
-    return counted, layout.most > 1
 
 
 def co_rating_counts(
-    ratings: DataFrame, dedupe: bool = True, block_items: int = BLOCK_ITEMS, shares: int | None = None
+    ratings: DataFrame, dedupe: bool = True, part_items: int | None = None, tasks: int | None = None
 ) -> DataFrame:
     """(product1, product2, common, nor1, nor2) for every ordered pair rated by a common user."""
-    counted, partial = _counted(ratings, None, dedupe, block_items, shares)
-    return _summed(counted) if partial else counted
-
-
-def _summed(counted: DataFrame) -> DataFrame:
-    return counted.groupBy("product1", "product2").agg(
-        F.sum("common").alias("common"), F.first("nor1").alias("nor1"), F.first("nor2").alias("nor2")
-    )
+    return _both_ways(ratings, dedupe, part_items, tasks)
 
 
 def with_similarity(pairs: DataFrame) -> DataFrame:
@@ -359,15 +235,14 @@ def similar_by_co_rating(
     ratings: DataFrame,
     k: int = 5,
     dedupe: bool = True,
-    block_items: int = BLOCK_ITEMS,
-    shares: int | None = None,
+    part_items: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """(productId, rid, r, rank): the ``k`` most similar items of every item.
 
     ``dedupe`` counts a user once per item; without it every rating row counts, as do all row pairs.
     """
-    counted, partial = _counted(ratings, k, dedupe, block_items, shares)
-    pairs = with_similarity(_summed(counted) if partial else counted)
+    pairs = with_similarity(_both_ways(ratings, dedupe, part_items, tasks))
     return top_per_key(
         pairs.select(F.col("product1").alias("productId"), F.col("product2").alias("rid"), "r"),
         "productId",

@@ -46,57 +46,25 @@ def ranked(df):
     return dict(lists)
 
 
-LAYOUTS = [(4096, None), (8, None), (8, 3), (4, None), (100, 5)]
+LAYOUTS = [(None, None), (8, None), (8, 3), (1, 5), (100, 1)]
 
 
 @pytest.mark.parametrize("dedupe", [True, False])
-@pytest.mark.parametrize("block_items, shares", LAYOUTS)
-def test_equals_brute_force(spark, ratings_of, dedupe, block_items, shares):
-    rows = skewed(block_items)
+@pytest.mark.parametrize("part_items, tasks", LAYOUTS)
+def test_equals_brute_force(spark, ratings_of, dedupe, part_items, tasks):
+    rows = skewed(part_items)
     ratings = ratings_of([(u, i, 1.0, 0) for u, i in rows])
     best, pairs = brute_force(rows, 5, dedupe)
-    got = ranked(corating.similar_by_co_rating(ratings, 5, dedupe, block_items, shares))
+    got = ranked(corating.similar_by_co_rating(ratings, 5, dedupe, part_items, tasks))
     assert got == best
-    counted = corating.co_rating_counts(ratings, dedupe, block_items, shares).collect()
+    counted = corating.co_rating_counts(ratings, dedupe, part_items, tasks).collect()
     assert {(r.product1, r.product2): (r.common, r.nor1, r.nor2) for r in counted} == pairs
     assert len(counted) == len(pairs)
 
 
-def test_hot_user_is_spread_over_joins(spark, ratings_of, monkeypatch):
-    monkeypatch.setattr(corating, "BLOCKS_PER_SALT", 2)
-    rows = skewed(5)
-    ratings = ratings_of([(u, i, 1.0, 0) for u, i in rows])
-    got = ranked(corating.similar_by_co_rating(ratings, 5, True, 6))
-    assert got == brute_force(rows, 5, True)[0]
-
-
-@pytest.mark.parametrize("dedupe", [True, False])
-def test_hot_tiles_are_shared_out(spark, ratings_of, monkeypatch, dedupe):
-    monkeypatch.setattr(corating, "BASKETS_PER_TILE", 40)
-    rows = skewed(9) + [(u, i) for u in range(200) for i in (7, 8)]
-    ratings = ratings_of([(u, i, 1.0, 0) for u, i in rows])
-    layout = corating._Tiles(ratings, 16, None)
-    assert layout.most > min(layout.heat)
-    best, pairs = brute_force(rows, 5, dedupe)
-    assert ranked(corating.similar_by_co_rating(ratings, 5, dedupe, 16)) == best
-    counted = corating.co_rating_counts(ratings, dedupe, 16).collect()
-    assert {(r.product1, r.product2): (r.common, r.nor1, r.nor2) for r in counted} == pairs
-
-
-@pytest.mark.parametrize("shares", [None, 4])
-@pytest.mark.parametrize("partitions", [3, 11])
-def test_several_tiles_in_a_partition(spark, ratings_of, monkeypatch, partitions, shares):
-    monkeypatch.setattr(corating, "MAX_PARTITIONS", partitions)
-    rows = skewed(partitions)
-    ratings = ratings_of([(u, i, 1.0, 0) for u, i in rows])
-    for dedupe in (True, False):
-        got = ranked(corating.similar_by_co_rating(ratings, 5, dedupe, 12, shares))
-        assert got == brute_force(rows, 5, dedupe)[0]
-
-
-@pytest.mark.parametrize("limit", [1, 50])
+@pytest.mark.parametrize("limit", [1, 50, 1000])
 def test_steps_of_any_size(spark, ratings_of, monkeypatch, limit):
-    monkeypatch.setattr(corating, "INCREMENTS_AT_ONCE", limit)
+    monkeypatch.setattr(corating, "PAIRS_AT_ONCE", limit)
     rows = skewed(6)
     ratings = ratings_of([(u, i, 1.0, 0) for u, i in rows])
     for dedupe in (True, False):
@@ -104,14 +72,43 @@ def test_steps_of_any_size(spark, ratings_of, monkeypatch, limit):
         assert got == brute_force(rows, 3, dedupe)[0]
 
 
-@pytest.mark.parametrize("below", [0, 10**9])
-def test_full_and_sparse_tiles_agree(spark, ratings_of, monkeypatch, below):
-    monkeypatch.setattr(corating, "SPARSE_BELOW", below)
-    rows = skewed(8)
+def test_few_users_are_listed(spark, ratings_of, monkeypatch):
+    """A list of users cut in parts that may hold only two of them: the others keep whole baskets."""
+    monkeypatch.setattr(corating, "MOST_HEAVY", 2)
+    rows = skewed(4)
     ratings = ratings_of([(u, i, 1.0, 0) for u, i in rows])
-    # longer lists than an item has partners
-    for k in (1, 5, 200):
-        assert ranked(corating.similar_by_co_rating(ratings, k, True, 16)) == brute_force(rows, k, True)[0]
+    assert ranked(corating.similar_by_co_rating(ratings, 5, True, 3)) == brute_force(rows, 5, True)[0]
+
+
+def test_a_heavy_basket_is_spread(spark, ratings_of):
+    """One user with all ratings of 900 items: no task gets more than a few pairs of parts."""
+    ratings = ratings_of([(1, i, 1.0, 0) for i in range(900)])
+    baskets = corating._baskets(corating._incidence(ratings, True), 50, 30)
+    work = baskets.select(
+        F.spark_partition_id().alias("task"),
+        F.expr("CASE WHEN size(r) = 0 THEN size(l) * (size(l) - 1) / 2 ELSE size(l) * size(r) END").alias("pairs"),
+        F.greatest(F.size("l"), F.size("r")).alias("items"),
+    )
+    by_task = [r["n"] for r in work.groupBy("task").agg(F.sum("pairs").alias("n")).collect()]
+    assert sum(by_task) == 900 * 899 / 2
+    assert max(by_task) < 0.15 * sum(by_task) and len(by_task) > 20
+    assert work.agg(F.max("items")).first()[0] < 100
+
+
+def test_fewer_rows_are_shuffled_than_pairs_counted(spark):
+    """A million items, popular ones among them, in baskets of 24 (244 blocks of 4,096 items)."""
+    ratings = spark.range(0, 240_000, 1, 8).selectExpr(
+        "id % 10000 AS userId",
+        "CASE WHEN id % 24 < 12 THEN pmod(xxhash64(id), 60) ELSE pmod(xxhash64(id), 1000000) END AS productId",
+        "1.0D AS score",
+        "id AS ts",
+    )
+    incidence = corating._incidence(ratings, True)
+    emitted = incidence.groupBy("userId").count().selectExpr("sum(count * (count - 1))").first()[0]
+    shuffled = corating.partial_pairs(ratings).count()
+    distinct = corating.co_rating_counts(ratings).count()
+    # both directions of a pair are one row, and repeated pairs are one a task at most
+    assert distinct / 2 <= shuffled < 0.42 * emitted
 
 
 def test_golden(spark, ratings_of):
@@ -145,11 +142,11 @@ def test_plan(spark, ratings_of):
         "id % 50 AS userId", "id % 333 AS productId", "1.0D AS score", "id AS ts"
     )
     df = corating.similar_by_co_rating(ratings, 5, True, 64)
-    plan = df._jdf.queryExecution().toString()
-    assert "WindowGroupLimit" in plan
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and plan.count("MapInArrow") == 1
     for bad in ("CartesianProduct", "NestedLoop", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan
-    df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange" in final
+    # partial counts are added up by Spark, before and after the shuffle, and mirrored only then
+    above = plan[: plan.index("MapInArrow")]
+    assert "partial_sum(common" in above and above.index("Generate explode") < above.index("partial_sum(common")
     assert df.agg(F.max("rank")).first()[0] <= 5
