@@ -13,11 +13,11 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from shelfsense import schemas as S  # noqa: E402
 from shelfsense.functions import scalars as sc  # noqa: E402
-from shelfsense.functions.vectors import cosine  # noqa: E402
+from shelfsense.functions.vectors import cosine, dot  # noqa: E402
 from shelfsense.operators import content, corating, latent, popularity, ranking, recent, serving  # noqa: E402
 from shelfsense.operators.upsert import newest_ratings, update_users, upsert_ratings  # noqa: E402
 from shelfsense.plans import bindings as B  # noqa: E402
-from shelfsense.shared import run_dir  # noqa: E402
+from shelfsense.shared import run_dir, settled  # noqa: E402
 from shelfsense.sources import text  # noqa: E402
 from shelfsense.sources.catalog import Catalog  # noqa: E402
 from shelfsense.streaming.recent import current_recent_lists, start_recent_lists  # noqa: E402
@@ -293,7 +293,45 @@ def _content_whole(spark, sf):
     return content.similar_by_content(B.products(spark, sf), 5, separator=None)
 
 
-@_query("content_top5_hashed")
+def _murmur3(word: str) -> str:
+    """The 32-bit Murmur3 hash, seed 42, of an ASCII word, as an unsigned number."""
+    byte = f"unicode({word}[{{}}])::HUGEINT"
+    rotated = "(({0} << {1}) % 4294967296 + ({0} >> {2}))"
+    mixed = lambda k: f"({rotated.format(f'(({k}) * 3432918353 % 4294967296)', 15, 17)} * 461845907 % 4294967296)"
+    block = " + ".join(f"({byte.format(f'4 * i + {b + 1}')} << {8 * b})" for b in range(4))
+    tail = " + ".join(
+        f"(CASE WHEN len({word}) % 4 > {b} THEN {byte.format(f'len({word}) // 4 * 4 + {b + 1}')} << {8 * b} ELSE 0 END)"
+        for b in range(3)
+    )
+    body = f"""list_reduce(list_prepend(42::HUGEINT, list_transform(range(len({word}) // 4), lambda i: {mixed(block)})),
+        lambda h, k: ({rotated.format("xor(h, k)", 13, 19)} * 5 + 3864292196) % 4294967296)"""
+    steps = [f"{body} AS h0", f"xor(xor(h0, {mixed(tail)}), len({word})::HUGEINT) AS h1"]
+    steps += ["xor(h1, h1 >> 16) * 2246822507 % 4294967296 AS h2", "xor(h2, h2 >> 13) * 3266489909 % 4294967296 AS h3"]
+    return ", ".join([*steps, "xor(h3, h3 >> 16) AS hash"])
+
+
+@_query(
+    "content_top5_hashed",
+    f"""WITH {P},
+    tok AS (SELECT "productId", unnest(string_split(lower(tags), '|')) AS term FROM p),
+    words AS (SELECT DISTINCT term FROM tok),
+    hashed AS (SELECT term, {_murmur3("term")} FROM words),
+    bucket AS (SELECT term, ((CASE WHEN hash >= 2147483648 THEN hash - 4294967296 ELSE hash END) % 189 + 189) % 189 AS b
+               FROM hashed),
+    tf AS (SELECT "productId", b, count(*) AS tf FROM tok JOIN bucket USING (term) GROUP BY 1, 2),
+    df AS (SELECT b, count(*) AS df FROM tf GROUP BY 1),
+    w AS (SELECT "productId", b, tf * ln(((SELECT count(*) FROM p) + 1) / (df + 1)) AS weight FROM tf JOIN df USING (b)),
+    norms AS (SELECT "productId" AS id, sqrt(sum(weight * weight)) AS norm FROM w GROUP BY 1),
+    dots AS (SELECT x."productId" AS id, y."productId" AS rid, sum(x.weight * y.weight) AS dot
+             FROM w x JOIN w y ON x.b = y.b GROUP BY 1, 2),
+    sims AS (SELECT n1.id, n2.id AS rid, round(coalesce(dot, 0) / (n1.norm * n2.norm), 6) AS r
+             FROM norms n1 JOIN norms n2 ON n1.id <> n2.id AND n1.norm > 0 AND n2.norm > 0
+             LEFT JOIN dots ON dots.id = n1.id AND dots.rid = n2.id),
+    ranked AS (SELECT id AS "productId", rid, r,
+                      CAST(row_number() OVER (PARTITION BY id ORDER BY r DESC, rid) AS INTEGER) AS rank
+               FROM sims)
+    SELECT * FROM ranked WHERE rank <= 5""",
+)
 def _content_hashed(spark, sf):
     return content.similar_by_content(B.products(spark, sf), 5, hashed=True)
 
@@ -357,6 +395,113 @@ def _als_item_sim(spark, sf):
     return latent.similar_by_factors(latent.factors(model.itemFactors))
 
 
+_TRAINED = f"""{EV}, pairs AS (SELECT DISTINCT "userId", "productId" FROM ev)"""
+
+
+@_query(
+    "als_predictions",
+    f"""WITH {_TRAINED} SELECT *, true AS "isDotProduct" FROM pairs""",
+)
+def _als_predictions(spark, sf):
+    """All rated pairs, and as many with an unknown user or product, which must vanish."""
+    ratings = B.event_ratings(spark, sf)
+    model = latent.fit_als(ratings)
+    rated = ratings.select("userId", "productId").distinct()
+    asked = rated.unionByName(rated.select(-1 - F.col("userId"), "productId").toDF(*rated.columns)).unionByName(
+        rated.select("userId", -1 - F.col("productId")).toDF(*rated.columns)
+    )
+    users, items = latent.factors(model.userFactors), latent.factors(model.itemFactors)
+    own = dot(F.col("user_vec"), F.col("item_vec"))
+    return (
+        latent.predict(model, asked)
+        .join(users.toDF("userId", "user_vec"), "userId")
+        .join(items.toDF("productId", "item_vec"), "productId")
+        .select("userId", "productId", (F.abs(own - F.col("prediction")) < 1e-3).alias("isDotProduct"))
+    )
+
+
+@_query(
+    "als_user_solutions",
+    f"""WITH {_TRAINED} SELECT "userId", count(*) AS n, true AS solved FROM pairs GROUP BY 1""",
+)
+def _als_user_solutions(spark, sf):
+    """Every user's factors solve the regularised least squares of the ratings, given the products' factors."""
+    ratings = latent.newest_per_pair(B.event_ratings(spark, sf))
+    model = latent.fit_als(ratings, dedupe=False)
+    return latent.user_residuals(ratings, model).select(
+        "userId", "n", (F.col("residual") <= 1e-3 * F.col("scale")).alias("solved")
+    )
+
+
+@_query(
+    "als_user_lists",
+    f"""WITH {_TRAINED} SELECT DISTINCT "userId", true AS bounded, true AS positive, true AS descending, true AS "distinct",
+      true AS in_catalogue, true AS predicted FROM pairs""",
+)
+def _als_user_lists(spark, sf):
+    """What must hold of every trained user's list; one without positive predictions has an empty list."""
+    ratings, products = B.event_ratings(spark, sf), B.products(spark, sf)
+    model = latent.fit_als(ratings)
+    rows = (
+        latent.recommend_to_users(model, products)
+        .join(products.select(F.col("productId").alias("rid"), F.lit(True).alias("known")), "rid", "left")
+        .join(latent.factors(model.userFactors).toDF("userId", "user_vec"), "userId", "left")
+        .join(latent.factors(model.itemFactors).toDF("rid", "item_vec"), "rid", "left")
+        .withColumn("error", F.abs(dot(F.col("user_vec"), F.col("item_vec")) - F.col("r")))
+    )
+    in_order = F.array_sort(F.collect_list(F.struct("rank", "r", "rid")))
+    lists = rows.groupBy("userId").agg(
+        in_order.alias("l"), F.min("r").alias("least"), F.count("known").alias("n_known"),
+        F.countDistinct("rid").alias("n_rid"), F.max("error").alias("error"), F.count("error").alias("n_error"),
+    )
+    n = F.size("l")
+    falling = F.forall(
+        F.sequence(F.lit(1), n),
+        lambda i: (F.get("l", i - 1)["rank"] == i) & ((i == 1) | (F.get("l", i - 2)["r"] >= F.get("l", i - 1)["r"])),
+    )
+    checks = {
+        "bounded": n <= latent.USER_LIST, "positive": F.col("least") > 0, "descending": falling,
+        "distinct": F.col("n_rid") == n, "in_catalogue": F.col("n_known") == n,
+        "predicted": (F.col("n_error") == n) & (F.col("error") < 1e-5),
+    }
+    trained = ratings.select("userId").distinct()
+    return trained.join(lists, "userId", "left").select(
+        "userId", *(F.coalesce(c, F.lit(True)).alias(name) for name, c in checks.items())
+    )
+
+
+@_query(
+    "als_item_lists",
+    f"""WITH {_TRAINED} SELECT DISTINCT "productId", true AS bounded, true AS strong, true AS cosines, true AS mutual FROM pairs""",
+)
+def _als_item_lists(spark, sf):
+    """What must hold of every trained product's list, which is empty where nothing is alike enough."""
+    ratings = B.event_ratings(spark, sf)
+    items = latent.factors(latent.fit_als(ratings).itemFactors)
+    found = settled(latent.similar_by_factors(items))
+    lists = found.groupBy("productId").agg(F.count(F.lit(1)).alias("n"), F.min("r").alias("least"))
+    back = found.select(F.col("rid").alias("productId"), F.col("productId").alias("rid"), F.lit(True).alias("listed"))
+    ends = lists.select(F.col("productId").alias("rid"), F.col("n").alias("other_n"), F.col("least").alias("other_least"))
+    # where a partner's list has room, or ends below this similarity, the product must stand in it
+    room = (F.col("other_n") < latent.ITEM_LIST) | (F.col("other_least") < F.col("r"))
+    rows = (
+        found.join(items.toDF("productId", "v1"), "productId")
+        .join(items.toDF("rid", "v2"), "rid")
+        .join(ends, "rid", "left")
+        .join(back, ["productId", "rid"], "left")
+        .withColumn("mutual", F.coalesce("listed", ~F.coalesce(room, F.lit(True))))
+        .withColumn("exact", F.abs(cosine(F.col("v1"), F.col("v2")) - F.col("r")) < 1e-5)
+    )
+    checked = rows.groupBy("productId").agg(
+        (F.max("rank") <= latent.ITEM_LIST).alias("bounded"), (F.min("r") >= latent.STRONG).alias("strong"),
+        F.every("exact").alias("cosines"), F.every("mutual").alias("mutual"),
+    )
+    trained = ratings.select("productId").distinct()
+    return trained.join(checked, "productId", "left").select(
+        "productId", *(F.coalesce(c, F.lit(True)).alias(c) for c in ("bounded", "strong", "cosines", "mutual"))
+    )
+
+
 # ---- serving ----------------------------------------------------------------------------------
 
 _AVG = """av AS (SELECT "productId", avg(score) AS avg FROM {0} GROUP BY 1)"""
@@ -457,6 +602,84 @@ def _stream_recs_for_usernames(spark, sf):
     return serving.recs_for_usernames(users.select("username"), users, recs, first=6)
 
 
+@_query(
+    "detailed_recs_for_usernames",
+    f"""WITH {P}, {_CUSTOMER_RECS}, {_AVG.format('li')}
+    SELECT username, rank, rid, r, name, categories, "imageUrl", tags, round(coalesce(avg, 0.0), 9) AS score
+    FROM ranked JOIN u ON c_custkey = k JOIN p ON p."productId" = rid LEFT JOIN av ON av."productId" = rid WHERE rank <= 6""",
+)
+def _detailed_recs(spark, sf):
+    """Names to ids, lists, product details and scores."""
+    users = B.users(spark, sf)
+    averages = popularity.average_scores(B.order_ratings(spark, sf))
+    full = serving.detailed_recs_for_usernames(
+        users.select("username"), users, _customer_recs(spark, sf, "userId"), B.products(spark, sf), averages, first=6
+    )
+    return full.withColumn("score", F.round("score", 9))
+
+
+@_query(
+    "scored_products_by_ids",
+    f"""WITH {P}, {EV}, {_AVG.format('ev')}
+    SELECT p.*, round(coalesce(avg, 0.0), 9) AS score FROM p LEFT JOIN av USING ("productId")
+    WHERE "productId" IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 25)""",
+)
+def _scored_products(spark, sf):
+    """Products ordered in large quantities; most of them have no rating among the events."""
+    ids = B.table(spark, sf, "lineitem").where("l_quantity > 25").select(F.col("l_partkey").alias("productId"))
+    averages = popularity.average_scores(B.event_ratings(spark, sf))
+    found = serving.scored_products_by_ids(B.products(spark, sf), averages, ids)
+    return found.withColumn("score", F.round("score", 9))
+
+
+@_query(
+    "ratings_from_requests",
+    f"""WITH {U} SELECT "userId", l_partkey AS "productId", l_linenumber / 2 AS score, epoch_us(l_shipdate) // 1000000 AS ts,
+      'userId:' || "userId" AS queue, l_partkey || ':' || CAST(l_linenumber / 2 AS VARCHAR) AS entry
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN u ON c_custkey = o_custkey WHERE l_returnflag <> 'R'""",
+)
+def _ratings_from_requests(spark, sf):
+    """An order line as a request of its customer; those of returned goods come under a name nobody has."""
+    users = B.users(spark, sf)
+    lines, orders = B.table(spark, sf, "lineitem"), B.table(spark, sf, "orders")
+    named = orders.join(users, orders.o_custkey == users.c_custkey).select("o_orderkey", "username")
+    name = F.when(F.col("l_returnflag") == "R", F.concat("username", F.lit("?"))).otherwise(F.col("username"))
+    requests = lines.join(named, lines.l_orderkey == named.o_orderkey).select(
+        name.alias("username"), F.col("l_partkey").alias("productId"), F.col("l_linenumber").alias("stars"),
+        sc.wall_clock_seconds(F.col("l_shipdate")).alias("ts"),
+    )
+    rated = serving.ratings_from_requests(requests, users)
+    return rated.select(
+        F.col("userId").cast("int").alias("userId"), "productId", "score", "ts",
+        sc.queue_key(F.col("userId")).alias("queue"), sc.queue_entry(F.col("productId"), F.col("score")).alias("entry"),
+    )
+
+
+@_query(
+    "register_users",
+    f"""WITH {U}, n AS (SELECT DISTINCT {HASH.format(c="s_name")} AS h, s_name AS username FROM supplier)
+    SELECT CAST("userId" AS BIGINT) AS "userId", username, false AS is_new, true AS "first", true AS timely FROM u
+    UNION ALL
+    SELECT CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END, username, true, true, true FROM n""",
+)
+def _register_users(spark, sf):
+    """Customers are users already; all of them and all suppliers ask to be registered, some twice."""
+    users = B.users(spark, sf).drop("c_custkey")
+    names = B.table(spark, sf, "supplier").select(F.col("s_name").alias("username"))
+    asked = names.unionByName(names).unionByName(users.select("username"))
+    catalog = Catalog(spark, run_dir(spark, "catalog"))
+    shape = [F.col(f.name).cast(f.dataType).alias(f.name) for f in S.USER.fields]
+    catalog.overwrite(S.USER_COLLECTION, users.select(*shape))
+    catalog.append(S.USER_COLLECTION, serving.new_users(asked, users).select(*shape))
+    is_new = F.col("prefGenres").isNull()
+    # registered within the last day, by either clock column
+    age = sc.now_seconds() - F.floor(F.col("created_ms") / 1000)
+    timely = ~is_new | ((age >= 0) & (age < 86_400) & (sc.now_millis() - F.col("created_ms") < 86_400_000))
+    return catalog.read(S.USER_COLLECTION).select(
+        F.col("userId").cast("bigint").alias("userId"), "username", is_new.alias("is_new"), "first", timely.alias("timely")
+    )
+
+
 @_query("product_search", f"WITH {P} SELECT * FROM p WHERE regexp_matches(name, '^(red|small) .*[gt]')")
 def _search(spark, sf):
     return serving.search(B.products(spark, sf), "^(red|small) .*[gt]")
@@ -581,18 +804,20 @@ def _recent(spark, sf):
     return recent.unnest_recent(recent.recent_lists(B.event_ratings(spark, sf)))
 
 
+_HALF = "(CAST(round(score * 100) AS BIGINT) + 1) // 2 / 100.0"
+
+
 @_query(
     "recent_queue_entries",
-    f"""WITH {_RECENT} SELECT 'userId:' || "userId" AS queue, pos, "productId" || ':' || ts AS entry FROM recent""",
+    f"""WITH {_RECENT} SELECT 'userId:' || "userId" AS queue, pos,
+        "productId" || ':' || CAST({_HALF} AS VARCHAR) AS entry FROM recent""",
 )
 def _queue(spark, sf):
     rows = recent.recent_ratings(B.event_ratings(spark, sf))
-    # the time stands in for the score, whose text form differs between the engines
-    return recent.queue_entries(rows.withColumn("score", F.col("ts")))
+    return recent.queue_entries(rows.withColumn("score", sc.halved_score(F.col("score"))))
 
 
 _LOG_HEAD = "2024-02-01 10:00:00,000   INFO --- [main]  rating  :  "
-_HALF = "(CAST(round(score * 100) AS BIGINT) + 1) // 2 / 100.0"
 
 
 def _write_log(spark, sf, files: int | None = None) -> str:
@@ -614,11 +839,11 @@ def _log_parse(spark, sf):
 
 @_query(
     "rating_log_lines",
-    f"""WITH {EV} SELECT "userId", 'PRODUCT_RATING_PREFIX:' || "userId" || '|' || "productId" || '|' || "productId"
-        || '|' || ts AS value FROM ev""",
+    f"""WITH {EV} SELECT "userId", 'PRODUCT_RATING_PREFIX:' || "userId" || '|' || "productId" || '|'
+        || CAST({_HALF} AS VARCHAR) || '|' || ts AS value FROM ev""",
 )
 def _log_lines(spark, sf):
-    event = sc.rating_event(F.col("userId"), F.col("productId"), F.col("productId"), F.col("ts"))
+    event = sc.rating_event(F.col("userId"), F.col("productId"), sc.halved_score(F.col("score")), F.col("ts"))
     return B.event_ratings(spark, sf).select("userId", event.alias("value"))
 
 
@@ -713,7 +938,8 @@ try:  # the subpackage and the pipeline can be left out together
     import corpus_pipeline
     from shelfsense.llm import queries as llm
 except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "shelfsense.llm"):
+    # or what only they need is not installed
+    if missing.name not in ("corpus_pipeline", "shelfsense.llm", "public_tokenizers", "regex", "xxhash", "tiktoken"):
         raise
 else:
     _QUERIES.update(llm.QUERIES)

@@ -6,7 +6,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfsense.functions.vectors import unit
+from shelfsense.functions.vectors import dot, unit
 from shelfsense.operators.strips import DenseStrip, top_by_product
 from shelfsense.operators.upsert import newest_ratings
 from shelfsense.shared import settled
@@ -51,6 +51,36 @@ def fit_als(
     return als.fit(settled(rows))
 
 
+def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
+    """``pairs`` (userId, productId) with their ``prediction``; pairs of an untrained user or product vanish."""
+    asked = pairs.select(F.col("userId").cast("int").alias("userId"), F.col("productId").cast("int").alias("productId"))
+    return model.transform(asked).select(
+        F.col("userId").cast("bigint").alias("userId"), F.col("productId").cast("bigint").alias("productId"), "prediction"
+    )
+
+
+def user_residuals(ratings: DataFrame, model: ALSModel, regularisation: float = REGULARISATION) -> DataFrame:
+    """(userId, n, residual, scale): how far users' factors are from the solution of their own least squares.
+
+    Users are solved last in training, so x of a user with ratings s of products with factors v satisfies
+    sum (s - x.v) v = regularisation * n * x. ``residual`` is the largest component of the difference, ``scale`` the
+    largest of sum |s| |v|. Sums are reduced by component before the shuffle, so a user may have any share of the rows.
+    """
+    users, items = factors(model.userFactors).toDF("userId", "x"), factors(model.itemFactors).toDF("productId", "v")
+    error = F.col("score") - dot(F.col("x"), F.col("v"))
+    parts = ratings.join(users, "userId").join(items, "productId").select(
+        "userId", "x", error.alias("e"), "score", F.posexplode("v").alias("at", "c")
+    )
+    sums = parts.groupBy("userId", "at").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("e") * F.col("c")).alias("pulled"),
+        F.sum(F.abs(F.col("score") * F.col("c"))).alias("scale"),
+        F.any_value(F.get("x", F.col("at"))).alias("x"),
+    )
+    off = F.abs(F.col("pulled") - regularisation * F.col("n") * F.col("x"))
+    return sums.groupBy("userId").agg(F.max("n").alias("n"), F.max(off).alias("residual"), F.max("scale").alias("scale"))
+
+
 def factors(df: DataFrame, id_col: str = "id", vec_col: str = "features") -> DataFrame:
     """(id, vec) with a bigint id and doubles, as the tile operators take them."""
     return df.select(
