@@ -9,7 +9,8 @@ identified by its value, of which 32 bits are kept.
 
 Gamma variates are minus the logarithm of a product of two uniforms of 32 hash bits each, so that the far tails, which
 decide the least of many terms, are those of the distribution. An estimate of likeness J has a standard error of
-sqrt(J (1 - J) / SAMPLES), at most 0.088. Terms are weighed within their row and reduced to the samples before anything is shuffled, so neither common terms nor copies
+sqrt(J (1 - J) / SAMPLES), at most 0.088. A text and its edited version share most of their terms, so both are
+fingerprinted together: a term is one row with its weight in either, and its draws serve both. Terms are weighed within their row and reduced to the samples before anything is shuffled, so neither common terms nor copies
 meet. Null texts are empty; texts without words have a fingerprint of zeros, equal to each other. Rows that share an id
 are ordered by a hash of their text, wholly repeated rows are one document, and a null id comes last. Extra columns
 are not looked at. Only DataFrame functions are used.
@@ -30,55 +31,78 @@ SHINGLE, SAMPLES = 5, 32
 NO_ID = -(2**63)
 #: Rows that a range of ids holds when documents are put in order, and the most ranges.
 RANGE_ROWS, RANGES = 5_000, 20_000
+#: An odd number that spreads the numbers of draws over 63 bits.
+DRAWS = 0x9E3779B97F4A7C15
 
 
-def gamma_quantiles(n: int) -> list[float]:
-    """Quantiles (i + 1/2) / n of Gamma(2, 1), whose distribution function is 1 - (1 + x) exp(-x); to test variates by."""
-    found = []
-    for i in range(n):
-        wanted, low, high = (i + 0.5) / n, 0.0, 64.0
-        for _ in range(60):
-            middle = (low + high) / 2
-            low, high = (middle, high) if 1 - (1 + middle) * math.exp(-middle) < wanted else (low, middle)
-        found.append(low)
-    return found
+#: The Gamma(2, 1) variate of 64 hash bits: the sum of the exponential variates of either half.
+GAMMA = (
+    "(-ln((CAST({bits} & 4294967295 AS DOUBLE) + 0.5D) * (CAST(shiftrightunsigned({bits}, 32) AS DOUBLE) + 0.5D) * "
+    + f"{2.0**-64!r}D))"
+)
 
 
-def gamma(bits: Column) -> Column:
-    """The Gamma(2, 1) variate of 64 hash bits: the sum of the exponential variates of either half."""
-    low = bits.bitwiseAND(F.lit(2**32 - 1)).cast("double") + F.lit(0.5)
-    high = F.shiftrightunsigned(bits, 32).cast("double") + F.lit(0.5)
-    return -F.log(low * high * F.lit(2.0**-64))
+def _hashed_words(text: Column) -> Column:
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def terms(text: Column) -> Column:
-    """array<struct<term bigint, weight int>>: the distinct terms of a text; by sorting, so in n log n."""
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
+def _shingles(hashes: Column) -> Column:
+    """Hashes of all sequences of ``SHINGLE`` words, of all words where they are fewer, none without words."""
+    n = F.greatest(F.size(hashes) - (SHINGLE - 1), F.lit(1))
+    found = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(*(F.get(hashes, i + j) for j in range(SHINGLE))))
+    return F.when(F.size(hashes) > 0, found).otherwise(F.array().cast("array<bigint>"))
 
-    def shingles(hashes: Column) -> Column:
-        n = F.greatest(F.size(hashes) - (SHINGLE - 1), F.lit(1))
-        return F.transform(
-            F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(*(F.get(hashes, i + j) for j in range(SHINGLE)))
-        )
 
-    def weighed(ordered: Column) -> Column:
+def terms(shared: Column, own: Column, other: Column) -> Column:
+    """array<struct<term bigint, weight int, other_weight int>>: the distinct terms of two texts.
+
+    The texts are ``shared`` followed by ``own`` and by ``other``; ``shared`` is empty or ends with white space. The
+    terms within the shared words are made once. By sorting, so in n log n.
+    """
+
+    def tagged(hashes: Column, tag: int) -> Column:
+        return F.transform(hashes, lambda x: x.bitwiseAND(F.lit(-4)).bitwiseOR(F.lit(tag)))
+
+    def of_rest(head: Column, rest: Column) -> Column:
+        last = F.slice(head, F.greatest(F.size(head) - (SHINGLE - 2), F.lit(1)), SHINGLE - 1)
+
+        def made(hashes: Column) -> Column:
+            done = (F.size(head) >= SHINGLE) & (F.size(hashes) < SHINGLE)
+            return F.when(done, F.array().cast("array<bigint>")).otherwise(_shingles(hashes))
+
+        return _let(F.concat(last, _hashed_words(rest)), made)
+
+    def ordered(head: Column) -> Column:
+        whole = F.when(F.size(head) >= SHINGLE, _shingles(head)).otherwise(F.array().cast("array<bigint>"))
+        rests = [of_rest(head, rest) for rest in (own, other)]
+        return F.sort_array(F.concat(tagged(whole, 0), tagged(rests[0], 1), tagged(rests[1], 2)))
+
+    def weighed(found: Column) -> Column:
+        # of a run of one term, those tagged 1 are not in the other text and those tagged 2 not in the own
+        def base(i: Column) -> Column:
+            return F.shiftright(F.get(found, i), 2)
+
         first = F.filter(
-            F.sequence(F.lit(0), F.size(ordered) - 1), lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))
-        )
-        return _let(
-            first,
-            lambda starts: F.transform(
-                starts,
-                lambda start, at: F.struct(
-                    F.get(ordered, start).alias("term"),
-                    (F.coalesce(F.get(starts, at + 1), F.size(ordered)) - start).alias("weight"),
-                ),
-            ),
+            F.sequence(F.lit(0), F.size(found) - 1), lambda i: (i == 0) | (base(i) != base(i - 1))
         )
 
-    some = _let(hashed, lambda hashes: _let(F.sort_array(shingles(hashes)), weighed))
-    return F.when(text.rlike(r"[^\x20\x09-\x0D]"), some)
+        def run(starts: Column, start: Column, at: Column) -> Column:
+            n = F.coalesce(F.get(starts, at + 1), F.size(found)) - start
+
+            def count(tag: int) -> Column:
+                single = F.when(F.get(found, start).bitwiseAND(F.lit(3)) == tag, 1).otherwise(0)
+                several = F.size(F.filter(F.slice(found, start + 1, n), lambda x: x.bitwiseAND(F.lit(3)) == tag))
+                return F.when(n == 1, single).otherwise(several)
+
+            return F.struct(base(start).alias("term"), (n - count(2)).alias("weight"), (n - count(1)).alias("other_weight"))
+
+        return _let(first, lambda starts: F.transform(starts, lambda start, at: run(starts, start, at)))
+
+    def some(found: Column) -> Column:
+        return F.when(F.size(found) > 0, weighed(found))
+
+    return _let(_hashed_words(shared), lambda head: _let(ordered(head), some))
 
 
 def _let(value: Column, use) -> Column:
@@ -86,26 +110,39 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _samples(positions: int) -> list[Column]:
-    """The least sample of the rows (term, weight) for every position."""
-    log_weight = F.log(F.col("weight").cast("double"))
+def _samples(positions: int, *weights: str) -> list[Column]:
+    """The least sample of the rows (term, weights...) for every position and weight; null without a positive weight.
+
+    Written without branches around the draws, so that code generation shares them between the weights.
+    """
     found = []
-    for position in range(positions):
-        r, c = (gamma(F.xxhash64("term", F.lit(3 * position + draw))) for draw in (0, 1))
-        b = F.shiftrightunsigned(F.xxhash64("term", F.lit(3 * position + 2)), 11).cast("double") * F.lit(2.0**-53)
-        t = F.when(F.col("weight") > 1, F.floor(log_weight / r + b).cast("double")).otherwise(F.lit(0.0))
-        found.append(F.min(F.log(c) - r * (t + F.lit(1.0) - b)).alias(f"s{position}"))
+    for weight in weights:
+        for position in range(positions):
+            bits = [f"xxhash64(term ^ {(3 * position + i + 1) * DRAWS % 2**63})" for i in range(3)]
+            r, c = (GAMMA.format(bits=x) for x in bits[:2])
+            b = f"(CAST(shiftrightunsigned({bits[2]}, 11) AS DOUBLE) * {2.0**-53!r}D)"
+            steps = f"CASE WHEN {weight} > 1 THEN {r} * CAST(floor(ln(CAST({weight} AS DOUBLE)) / {r} + {b}) AS DOUBLE) ELSE 0.0D END"
+            absent = f"CASE WHEN {weight} > 0 THEN 0.0D ELSE double('infinity') END"
+            least = f"min(ln({c}) - {r} * (1.0D - {b}) - {steps} + {absent})"
+            found.append(F.expr(f"nullif({least}, double('infinity'))").alias(f"{weight}_{position}"))
     return found
 
 
-def fingerprints(texts: DataFrame, keys: list[str], text: str = "text", positions: int = SAMPLES) -> DataFrame:
-    """(keys..., signature array<int>): one row for each distinct value of ``keys``, whose rows share a text."""
-    rows = texts.select(*keys, F.inline_outer(terms(F.coalesce(F.col(text), F.lit("")))))
-    sampled = rows.groupBy(*keys).agg(*_samples(positions))
-    kept = [F.coalesce(F.hash(f"s{i}"), F.lit(0)) for i in range(positions)]
-    empty = F.col("s0").isNull()
+def fingerprints(
+    texts: DataFrame, keys: list[str], shared: str, own: str, other: str, positions: int = SAMPLES
+) -> DataFrame:
+    """(keys..., signature, other_signature array<int>): one row for each distinct value of ``keys``, whose rows share
+    their texts: ``shared`` followed by ``own``, and ``shared`` followed by ``other``."""
+    rows = texts.select(*keys, F.inline_outer(terms(F.col(shared), F.col(own), F.col(other))))
+    sampled = rows.groupBy(*keys).agg(*_samples(positions, "weight", "other_weight"))
+
+    def signature(weight: str) -> Column:
+        kept = [F.coalesce(F.hash(f"{weight}_{i}"), F.lit(0)) for i in range(positions)]
+        empty = F.col(f"{weight}_0").isNull()
+        return F.when(empty, F.array_repeat(F.lit(0), positions)).otherwise(F.array(*kept))
+
     return sampled.select(
-        *keys, F.when(empty, F.array_repeat(F.lit(0), positions)).otherwise(F.array(*kept)).alias("signature")
+        *keys, signature("weight").alias("signature"), signature("other_weight").alias("other_signature")
     )
 
 
@@ -141,9 +178,11 @@ def succession(keys: DataFrame) -> DataFrame:
 
 
 def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, tie, text, copies, n_chars, next_id, next_tie, edited): a row of ``docs`` each.
+    """(id, tie, copies, n_chars, next_id, next_tie, shared, own, other): a row of ``docs`` each.
 
-    ``edited`` has the last third of the text replaced by as much of the front of the next document by descending id.
+    The text is ``shared`` followed by ``own``, its edited version ``shared`` followed by ``other``: the last third of
+    the text is replaced by as much of the front of the next document by descending id, and what both begin with is
+    cut behind white space, so that no word lies across.
     Texts are shuffled once, by their key. Every document then hands the piece of its front that is asked for to the
     one before it, and what it keeps stays where it is. ``id`` is ``NO_ID`` where it was null.
     """
@@ -166,12 +205,18 @@ def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         .groupBy(F.col("for_id").alias("id"), F.col("for_tie").alias("tie"))
         .agg(F.any_value("front").alias("front"))
     )
-    stays = F.substring(F.col("text"), F.lit(1), F.col("n_chars") - F.floor(F.col("n_chars") / 3).cast("int"))
+    n_stays = F.col("n_chars") - F.floor(F.col("n_chars") / 3).cast("int")
+    stays = F.substring(F.col("text"), F.lit(1), n_stays)
+    shared = F.regexp_extract(F.col("stays"), r"(?s)^.*[\x20\x09-\x0D]", 0)
+    begun = F.substring(F.col("stays"), F.length("shared") + 1, F.col("n_chars"))
     return (
         met.drop("for_id", "for_tie", "third")
         .join(fronts, ["id", "tie"])
-        .withColumn("edited", F.concat(stays, "front"))
-        .drop("front")
+        .withColumn("stays", stays)
+        .withColumn("shared", shared)
+        .withColumn("own", F.substring(F.col("text"), F.length("shared") + 1, F.col("n_chars")))
+        .withColumn("other", F.concat(begun, "front"))
+        .drop("front", "stays", "text")
     )
 
 
@@ -179,20 +224,9 @@ def compared(docs: DataFrame, key: str = "doc_id", text: str = "text", positions
     """One row a row of ``docs``: (id, n_chars, edited_sha256, signature, edited_signature, near_edited, near_next)."""
     both = edited(docs, key, text)
     facts = ["id", "tie", "copies", "n_chars", "next_id", "next_tie", "edited_sha256"]
-    versions = F.explode(
-        F.array(
-            F.struct(F.lit(0).alias("version"), "text"),
-            F.struct(F.lit(1).alias("version"), F.col("edited").alias("text")),
-        )
-    )
-    rows = both.withColumn("edited_sha256", F.sha2("edited", 256)).select(*facts, versions.alias("v"))
-    prints = fingerprints(rows.select(*facts, "v.version", "v.text"), [*facts, "version"], "text", positions)
-    paired = settled(
-        prints.groupBy(*facts).agg(
-            F.max(F.when(F.col("version") == 0, F.col("signature"))).alias("signature"),
-            F.max(F.when(F.col("version") == 1, F.col("signature"))).alias("edited_signature"),
-        )
-    )
+    rows = both.withColumn("edited_sha256", F.sha2(F.concat("shared", "other"), 256))
+    prints = fingerprints(rows, facts, "shared", "own", "other", positions)
+    paired = settled(prints.withColumnRenamed("other_signature", "edited_signature"))
     following = paired.select(
         F.col("id").alias("next_id"), F.col("tie").alias("next_tie"), F.col("signature").alias("next_signature")
     )

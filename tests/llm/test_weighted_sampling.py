@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -20,15 +21,61 @@ def jaccard(a, b):
     return sum((a & b).values()) / max(1, sum((a | b).values()))
 
 
+def gamma_quantiles(n):
+    """Quantiles (i + 1/2) / n of Gamma(2, 1), whose distribution function is 1 - (1 + x) exp(-x)."""
+    found = []
+    for i in range(n):
+        wanted, low, high = (i + 0.5) / n, 0.0, 64.0
+        for _ in range(60):
+            middle = (low + high) / 2
+            low, high = (middle, high) if 1 - (1 + middle) * math.exp(-middle) < wanted else (low, middle)
+        found.append(low)
+    return found
+
+
+def prints_of(spark, pairs, positions=ws.SAMPLES):
+    """{n: (signature, other signature)} of pairs of texts, cut at their common words."""
+    rows = []
+    for n, (a, b) in enumerate(pairs):
+        upto = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        upto = a.rfind(" ", 0, upto) + 1
+        rows.append((n, a[:upto], a[upto:], b[upto:]))
+    frame = spark.createDataFrame(rows, "n long, shared string, own string, other string")
+    got = ws.fingerprints(frame, ["n"], "shared", "own", "other", positions).collect()
+    return {r.n: (np.array(r.signature), np.array(r.other_signature)) for r in got}
+
+
+def test_weights_of_two_texts(spark):
+    """Terms and both weights against counting, wherever the texts are cut."""
+    pick, rows = random.Random(5), []
+    for n in range(200):
+        words = [pick.choice("abc") for _ in range(pick.randrange(14))]
+        head = "".join(w + pick.choice([" ", "\n ", "\t"]) for w in words[: pick.randrange(len(words) + 1)])
+        own, other = (" ".join(pick.choice("abc") for _ in range(pick.randrange(9))) for _ in range(2))
+        rows.append((n, head, own, other))
+    rows += [(900, "", "", ""), (901, "a ", "", "b"), (902, "a b c d ", "", "e"), (903, "a b c d e ", "", "e"), (904, " ", "x", "")]
+    frame = spark.createDataFrame(rows, "n long, shared string, own string, other string")
+    got = frame.select("n", F.inline(ws.terms(F.col("shared"), F.col("own"), F.col("other")))).collect()
+    found = {n: (Counter(), Counter()) for n, *_ in rows}
+    for r in got:
+        found[r.n][0][r.term] += r.weight
+        found[r.n][1][r.term] += r.other_weight
+    for n, head, own, other in rows:
+        a, b = weights(head + own), weights(head + other)
+        joint = sorted((a[t], b[t]) for t in a.keys() | b.keys())
+        one, two = found[n]
+        assert sorted((one[t], two[t]) for t in one.keys() | two.keys()) == joint, (head, own, other)
+
+
 def test_quantiles():
-    levels = np.array(ws.gamma_quantiles(1000))
+    levels = np.array(gamma_quantiles(1000))
     assert levels.mean() == pytest.approx(2, abs=0.01) and levels.var() == pytest.approx(2, abs=0.05)
 
 
 def test_variates_keep_their_tails(spark):
     bits = spark.range(0, 1_000_000, 1, 8).select(F.xxhash64("id").alias("bits"))
-    x = np.sort(bits.select(ws.gamma(F.col("bits")).alias("x")).toPandas()["x"].to_numpy())
-    assert np.abs(x[500::1000] - ws.gamma_quantiles(1000)).max() < 0.5 and x.mean() == pytest.approx(2, abs=0.01)
+    x = np.sort(bits.select(F.expr(ws.GAMMA.format(bits="bits")).alias("x")).toPandas()["x"].to_numpy())
+    assert np.abs(x[500::1000] - gamma_quantiles(1000)).max() < 0.5 and x.mean() == pytest.approx(2, abs=0.01)
     for far in (1e-2, 3e-3):
         assert (x < far).mean() == pytest.approx(far**2 / 2, rel=0.3 if far == 1e-2 else 1)
     assert x[0] < 5e-3 and x[-1] > 13  # 2^10 quantiles reach from 0.03 to 10
@@ -42,7 +89,7 @@ def test_light_terms_of_long_texts_win_their_share(spark):
     won = 0
     for salt in range(3):
         salted = [d.select(F.xxhash64("term", F.lit(salt)).alias("term"), "weight") for d in (light, heavy)]
-        one, other = (d.agg(*ws._samples(positions)).first() for d in salted)
+        one, other = (d.agg(*ws._samples(positions, "weight")).first() for d in salted)
         won += sum(a < b for a, b in zip(one, other, strict=True))
     assert abs(won / (3 * positions) - 0.5) < 4 * (0.25 / (3 * positions)) ** 0.5
 
@@ -53,12 +100,11 @@ def test_error_of_the_samples_of_production(spark):
         share = (0.3, 0.5, 0.7, 0.9)[i % 4]
         a = [f"w{pick.randrange(10**6)}" for _ in range(200)]
         pairs.append((" ".join(a), " ".join(a[: int(share * 200)] + [f"v{pick.randrange(10**6)}" for _ in range(200 - int(share * 200))])))
-    rows = [(2 * i + k, p[k]) for i, p in enumerate(pairs) for k in (0, 1)]
-    got = {r.n: np.array(r.signature) for r in ws.fingerprints(spark.createDataFrame(rows, "n long, text string"), ["n"]).collect()}
+    got = prints_of(spark, pairs)
     true = np.array([jaccard(*p) for p in pairs])
-    errors = np.array([np.mean(got[2 * i] == got[2 * i + 1]) for i in range(len(pairs))]) - true
+    errors = np.array([np.mean(got[i][0] == got[i][1]) for i in range(len(pairs))]) - true
     scaled = errors / np.sqrt(true * (1 - true) / ws.SAMPLES)
-    assert len(got[0]) == ws.SAMPLES and np.abs(scaled).max() < 4.5
+    assert len(got[0][0]) == ws.SAMPLES and np.abs(scaled).max() < 4.5
     assert abs(scaled.mean()) < 0.25 and 0.85 < scaled.std() < 1.15
 
 
@@ -70,10 +116,8 @@ def test_collisions_follow_generalised_jaccard(spark):
             b = [w if i < share * 300 else pick.choice("klmnop") for i, w in enumerate(a)]
             repeat = ["q"] * pick.choice([0, 60, 200])  # one heavy term
             pairs.append((" ".join(a + repeat), " ".join(b + repeat[: pick.choice([30, 200])])))
-    rows = [(2 * i + k, p[k]) for i, p in enumerate(pairs) for k in (0, 1)]
-    frame = spark.createDataFrame(rows, "n long, text string")
-    got = {r.n: np.array(r.signature) for r in ws.fingerprints(frame, ["n"], positions=128).collect()}
-    errors = [np.mean(got[2 * i] == got[2 * i + 1]) - jaccard(*p) for i, p in enumerate(pairs)]
+    got = prints_of(spark, pairs, 128)
+    errors = [np.mean(got[i][0] == got[i][1]) - jaccard(*p) for i, p in enumerate(pairs)]
     assert abs(np.mean(errors)) < 0.02 and np.abs(errors).max() < 0.18
 
 
