@@ -54,55 +54,31 @@ def _shingles(hashes: Column) -> Column:
     return F.when(F.size(hashes) > 0, found).otherwise(F.array().cast("array<bigint>"))
 
 
-def terms(shared: Column, own: Column, other: Column) -> Column:
-    """array<struct<term bigint, weight int, other_weight int>>: the distinct terms of two texts.
+def tagged_terms(shared: Column, own: Column, other: Column) -> Column:
+    """array<struct<term bigint, tag int>>: the terms of two texts, repeats included.
 
-    The texts are ``shared`` followed by ``own`` and by ``other``; ``shared`` is empty or ends with white space. The
-    terms within the shared words are made once. By sorting, so in n log n.
+    The texts are ``shared`` followed by ``own`` and by ``other``; ``shared`` is empty or ends with white space. A term
+    within the shared words is made once, with tag 0; the others of the first text have tag 1, of the second tag 2.
     """
+    none = F.array().cast("array<bigint>")
 
     def tagged(hashes: Column, tag: int) -> Column:
-        return F.transform(hashes, lambda x: x.bitwiseAND(F.lit(-4)).bitwiseOR(F.lit(tag)))
+        return F.transform(hashes, lambda x: F.struct(x.alias("term"), F.lit(tag).alias("tag")))
 
     def of_rest(head: Column, rest: Column) -> Column:
         last = F.slice(head, F.greatest(F.size(head) - (SHINGLE - 2), F.lit(1)), SHINGLE - 1)
 
         def made(hashes: Column) -> Column:
             done = (F.size(head) >= SHINGLE) & (F.size(hashes) < SHINGLE)
-            return F.when(done, F.array().cast("array<bigint>")).otherwise(_shingles(hashes))
+            return F.when(done, none).otherwise(_shingles(hashes))
 
         return _let(F.concat(last, _hashed_words(rest)), made)
 
-    def ordered(head: Column) -> Column:
-        whole = F.when(F.size(head) >= SHINGLE, _shingles(head)).otherwise(F.array().cast("array<bigint>"))
-        rests = [of_rest(head, rest) for rest in (own, other)]
-        return F.sort_array(F.concat(tagged(whole, 0), tagged(rests[0], 1), tagged(rests[1], 2)))
+    def all_of(head: Column) -> Column:
+        whole = F.when(F.size(head) >= SHINGLE, _shingles(head)).otherwise(none)
+        return F.concat(tagged(whole, 0), tagged(of_rest(head, own), 1), tagged(of_rest(head, other), 2))
 
-    def weighed(found: Column) -> Column:
-        # of a run of one term, those tagged 1 are not in the other text and those tagged 2 not in the own
-        def base(i: Column) -> Column:
-            return F.shiftright(F.get(found, i), 2)
-
-        first = F.filter(
-            F.sequence(F.lit(0), F.size(found) - 1), lambda i: (i == 0) | (base(i) != base(i - 1))
-        )
-
-        def run(starts: Column, start: Column, at: Column) -> Column:
-            n = F.coalesce(F.get(starts, at + 1), F.size(found)) - start
-
-            def count(tag: int) -> Column:
-                single = F.when(F.get(found, start).bitwiseAND(F.lit(3)) == tag, 1).otherwise(0)
-                several = F.size(F.filter(F.slice(found, start + 1, n), lambda x: x.bitwiseAND(F.lit(3)) == tag))
-                return F.when(n == 1, single).otherwise(several)
-
-            return F.struct(base(start).alias("term"), (n - count(2)).alias("weight"), (n - count(1)).alias("other_weight"))
-
-        return _let(first, lambda starts: F.transform(starts, lambda start, at: run(starts, start, at)))
-
-    def some(found: Column) -> Column:
-        return F.when(F.size(found) > 0, weighed(found))
-
-    return _let(_hashed_words(shared), lambda head: _let(ordered(head), some))
+    return _let(_hashed_words(shared), all_of)
 
 
 def _let(value: Column, use) -> Column:
@@ -110,41 +86,49 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _samples(positions: int, *weights: str) -> list[Column]:
-    """The least sample of the rows (term, weights...) for every position and weight; null without a positive weight.
-
-    Written without branches around the draws, so that code generation shares them between the weights.
-    """
+def _samples(positions: int) -> list[Column]:
+    """The least sample of the rows (term, weight) for every position; null without terms."""
     found = []
-    for weight in weights:
-        for position in range(positions):
-            bits = [f"xxhash64(term ^ {(3 * position + i + 1) * DRAWS % 2**63})" for i in range(3)]
-            r, c = (GAMMA.format(bits=x) for x in bits[:2])
-            b = f"(CAST(shiftrightunsigned({bits[2]}, 11) AS DOUBLE) * {2.0**-53!r}D)"
-            steps = f"CASE WHEN {weight} > 1 THEN {r} * CAST(floor(ln(CAST({weight} AS DOUBLE)) / {r} + {b}) AS DOUBLE) ELSE 0.0D END"
-            absent = f"CASE WHEN {weight} > 0 THEN 0.0D ELSE double('infinity') END"
-            least = f"min(ln({c}) - {r} * (1.0D - {b}) - {steps} + {absent})"
-            found.append(F.expr(f"nullif({least}, double('infinity'))").alias(f"{weight}_{position}"))
+    for position in range(positions):
+        bits = [f"xxhash64(term ^ {(3 * position + i + 1) * DRAWS % 2**63})" for i in range(3)]
+        r, c = (GAMMA.format(bits=x) for x in bits[:2])
+        b = f"(CAST(shiftrightunsigned({bits[2]}, 11) AS DOUBLE) * {2.0**-53!r}D)"
+        t = f"CASE WHEN weight > 1 THEN CAST(floor(ln(CAST(weight AS DOUBLE)) / {r} + {b}) AS DOUBLE) ELSE 0.0D END"
+        found.append(F.expr(f"min(ln({c}) - {r} * ({t} + 1.0D - {b}))").alias(f"s{position}"))
     return found
 
 
 def fingerprints(
-    texts: DataFrame, keys: list[str], shared: str, own: str, other: str, positions: int = SAMPLES
+    texts: DataFrame, keys: list[str], shared: str, own: str, other: str, positions: int = SAMPLES, repeats: str | None = None
 ) -> DataFrame:
     """(keys..., signature, other_signature array<int>): one row for each distinct value of ``keys``, whose rows share
-    their texts: ``shared`` followed by ``own``, and ``shared`` followed by ``other``."""
-    rows = texts.select(*keys, F.inline_outer(terms(F.col(shared), F.col(own), F.col(other))))
-    sampled = rows.groupBy(*keys).agg(*_samples(positions, "weight", "other_weight"))
-
-    def signature(weight: str) -> Column:
-        kept = [F.coalesce(F.hash(f"{weight}_{i}"), F.lit(0)) for i in range(positions)]
-        empty = F.col(f"{weight}_0").isNull()
-        return F.when(empty, F.array_repeat(F.lit(0), positions)).otherwise(F.array(*kept))
+    their texts: ``shared`` followed by ``own``, and ``shared`` followed by ``other``. ``repeats``, one of the keys, is
+    the number of such rows, one if not given.
 
-    return sampled.select(
-        *keys, signature("weight").alias("signature"), signature("other_weight").alias("other_signature")
+    A term that weighs the same in both texts, as most do, is sampled once for both. Where ``texts`` is partitioned by
+    some of ``keys``, nothing is shuffled.
+    """
+    found = texts.select(*keys, F.inline_outer(tagged_terms(F.col(shared), F.col(own), F.col(other))))
+    times = F.lit(1) if repeats is None else F.col(repeats)
+    weighed = (
+        found.groupBy(*keys, "term")
+        .agg(F.count(F.when(F.col("tag") != 2, 1)).alias("w0"), F.count(F.when(F.col("tag") != 1, 1)).alias("w1"))
+        .withColumns({w: F.floor(F.col(w) / times) for w in ("w0", "w1")})
+    )
+    of_both = F.array(F.struct(F.lit(0).alias("of"), F.col("w0").alias("weight")))
+    of_each = F.array(*(F.struct(F.lit(i + 1).alias("of"), F.col(f"w{i}").alias("weight")) for i in (0, 1)))
+    rows = weighed.select(*keys, "term", F.inline(F.when(F.col("w0") == F.col("w1"), of_both).otherwise(of_each)))
+    sampled = rows.where("weight > 0 OR term IS NULL").groupBy(*keys, "of").agg(*_samples(positions))
+    least = sampled.groupBy(*keys).agg(
+        *(F.min(F.when(F.col("of") != 2 - i, F.col(f"s{p}"))).alias(f"s{i}_{p}") for i in (0, 1) for p in range(positions))
     )
 
+    def signature(i: int) -> Column:
+        kept = [F.coalesce(F.hash(f"s{i}_{p}"), F.lit(0)) for p in range(positions)]
+        return F.when(F.col(f"s{i}_0").isNull(), F.array_repeat(F.lit(0), positions)).otherwise(F.array(*kept))
+
+    return least.select(*keys, signature(0).alias("signature"), signature(1).alias("other_signature"))
+
 
 def likeness(one: Column, other: Column) -> Column:
     """The share of equal positions."""
@@ -177,8 +161,8 @@ def succession(keys: DataFrame) -> DataFrame:
     return led.select(*keys.columns, after["id"].alias("next_id"), after["tie"].alias("next_tie"))
 
 
-def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, tie, copies, n_chars, next_id, next_tie, shared, own, other): a row of ``docs`` each.
+def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(id, tie, copies, shared, own, other), a row a document, and (id, tie, copies, n_chars, next_id, next_tie), distinct.
 
     The text is ``shared`` followed by ``own``, its edited version ``shared`` followed by ``other``: the last third of
     the text is replaced by as much of the front of the next document by descending id, and what both begin with is
@@ -209,24 +193,30 @@ def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     stays = F.substring(F.col("text"), F.lit(1), n_stays)
     shared = F.regexp_extract(F.col("stays"), r"(?s)^.*[\x20\x09-\x0D]", 0)
     begun = F.substring(F.col("stays"), F.length("shared") + 1, F.col("n_chars"))
-    return (
+    texts = (
         met.drop("for_id", "for_tie", "third")
         .join(fronts, ["id", "tie"])
         .withColumn("stays", stays)
         .withColumn("shared", shared)
         .withColumn("own", F.substring(F.col("text"), F.length("shared") + 1, F.col("n_chars")))
         .withColumn("other", F.concat(begun, "front"))
-        .drop("front", "stays", "text")
+        .select("id", "tie", "copies", "shared", "own", "other")
     )
+    return texts, order
 
 
 def compared(docs: DataFrame, key: str = "doc_id", text: str = "text", positions: int = SAMPLES) -> DataFrame:
     """One row a row of ``docs``: (id, n_chars, edited_sha256, signature, edited_signature, near_edited, near_next)."""
-    both = edited(docs, key, text)
-    facts = ["id", "tie", "copies", "n_chars", "next_id", "next_tie", "edited_sha256"]
-    rows = both.withColumn("edited_sha256", F.sha2(F.concat("shared", "other"), 256))
-    prints = fingerprints(rows, facts, "shared", "own", "other", positions)
-    paired = settled(prints.withColumnRenamed("other_signature", "edited_signature"))
+    both, order = edited(docs, key, text)
+    digest = F.unhex(F.sha2(F.concat("shared", "other"), 256)).alias("digest")
+    rows = both.select("id", "tie", "copies", digest, "shared", "own", "other")
+    prints = fingerprints(rows, ["id", "tie", "copies", "digest"], "shared", "own", "other", positions, "copies")
+    paired = settled(
+        order.join(prints.drop("copies"), ["id", "tie"])
+        .withColumn("edited_sha256", F.lower(F.hex("digest")))
+        .withColumnRenamed("other_signature", "edited_signature")
+        .drop("digest")
+    )
     following = paired.select(
         F.col("id").alias("next_id"), F.col("tie").alias("next_tie"), F.col("signature").alias("next_signature")
     )

@@ -55,11 +55,11 @@ def test_weights_of_two_texts(spark):
         rows.append((n, head, own, other))
     rows += [(900, "", "", ""), (901, "a ", "", "b"), (902, "a b c d ", "", "e"), (903, "a b c d e ", "", "e"), (904, " ", "x", "")]
     frame = spark.createDataFrame(rows, "n long, shared string, own string, other string")
-    got = frame.select("n", F.inline(ws.terms(F.col("shared"), F.col("own"), F.col("other")))).collect()
+    got = frame.select("n", F.inline(ws.tagged_terms(F.col("shared"), F.col("own"), F.col("other")))).collect()
     found = {n: (Counter(), Counter()) for n, *_ in rows}
     for r in got:
-        found[r.n][0][r.term] += r.weight
-        found[r.n][1][r.term] += r.other_weight
+        found[r.n][0][r.term] += r.tag != 2
+        found[r.n][1][r.term] += r.tag != 1
     for n, head, own, other in rows:
         a, b = weights(head + own), weights(head + other)
         joint = sorted((a[t], b[t]) for t in a.keys() | b.keys())
@@ -89,7 +89,7 @@ def test_light_terms_of_long_texts_win_their_share(spark):
     won = 0
     for salt in range(3):
         salted = [d.select(F.xxhash64("term", F.lit(salt)).alias("term"), "weight") for d in (light, heavy)]
-        one, other = (d.agg(*ws._samples(positions, "weight")).first() for d in salted)
+        one, other = (d.agg(*ws._samples(positions)).first() for d in salted)
         won += sum(a < b for a, b in zip(one, other, strict=True))
     assert abs(won / (3 * positions) - 0.5) < 4 * (0.25 / (3 * positions)) ** 0.5
 
