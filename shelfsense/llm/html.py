@@ -7,9 +7,13 @@ too, while children of other nodes hardly ever are. Messages go up the tree and
 on trees), and the blocks whose marginal is above one half are the text.
 
 Potentials are logarithms of smoothed counts over labelled pages: a block counts as content if it is a line, or
-the beginning, of the page's document. Names that every site uses for its furniture speak against content whatever
-the counts, because training pages need not show them, as ``article`` and its like speak for it: they are as good as observed. At most ``SAMPLE`` pages are learnt from; extraction looks at one page
-at a time, the whole of it, with work in proportion to its length.
+the beginning, of the page's document. No tag or name has a potential of its own: what is not learnt says nothing.
+Training pages show little of the furniture that sites have, so each is learnt from twice, as it is and furnished:
+with menus, notices, forms, comments and the like, of usual tags and names, put around and into its article, whose own
+element gets usual names too (``furnished``). A cue of an element that is nearly always content, or nearly never,
+counts once for every text below it and ``STRENGTH`` times besides; the others, and the shape of single texts, say little.
+At most ``SAMPLE`` pages are learnt from; extraction looks at one page at a time, the whole of it, with work in
+proportion to its length, broken markup included.
 
 Null pages are empty; an empty page, or one without content, has the text ``''``. Broken markup is read as browsers do: open
 paragraphs end at the next block, stray end tags are dropped, what is left open ends with its parent.
@@ -20,9 +24,12 @@ from __future__ import annotations
 import html
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
+from random import Random
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,12 +37,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructField, StructType
 
-#: Pages to learn from at most.
-SAMPLE = 2_000
-#: What one plain cue may speak for content and against it, what a name of CONTENT says for it and one of FURNITURE
-#: against it (logarithms), and the logarithm of the chance of content below furniture. Many leaves of one subtree speak alike, so
-#: each may say little for itself.
-FOR, AGAINST, CONTENT_NAMED, NAMED, BELOW = 0.1, 1.5, 1e6, 4e6, -1e4
+from shelfsense.shared import settled
+
+#: Pages to learn from at most, and the share of nodes (one in so many) that a cue must be seen in.
+SAMPLE, LEAST_SEEN = 2_000, 100_000
+#: What one plain cue may speak for content and against it, and the chance of content below furniture (logarithms).
+#: Many leaves of one subtree speak alike, so each may say little for itself.
+FOR, AGAINST, BELOW = 0.1, 0.3, -1e12
+#: Log-odds from which a cue of an element is decisive, and how often it counts then, the texts below it aside.
+DECISIVE, STRENGTH = 2.5, 20.0
 #: Pseudo-counts of a tag's share of children that are not content.
 PRIOR_COUNT = 20
 
@@ -56,15 +66,30 @@ ENDS = {
     "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
     "option": frozenset(["option", "optgroup"]),
 }
-#: Names for what is not the article, and for what is.
-FURNITURE = frozenset(
-    "nav navbar navigation menu header masthead footer aside sidebar ad ads advert advertisement adverts banner promo "
+#: Usual names of furniture and of articles, and elements of furniture, to furnish training pages with.
+FURNITURE = (
+    "nav navbar navigation menu header masthead footer sidebar ad ads advert advertisement adverts banner promo "
     "sponsor sponsored cookie cookies consent notice notices alert popup modal overlay newsletter subscribe subscription "
     "form search login signup comment comments respond replies reply discussion share sharing social related recommended "
-    "breadcrumb breadcrumbs widget toolbar pagination pager copyright legal disclaimer button select label fieldset "
-    "dialog input optgroup option".split()
+    "breadcrumb breadcrumbs widget toolbar pagination pager copyright legal disclaimer"
+).split()
+CONTENT = "article main content post entry story".split()
+SETTINGS = (
+    "<div>%s</div>",
+    "<div><p>%s</p></div>",
+    "<section><p>%s</p></section>",
+    "<ul><li>%s</li></ul>",
+    "<ol><li>%s</li></ol>",
+    "<table><tr><td>%s</td></tr></table>",
+    "<h2>%s</h2>",
+    "<h3>%s</h3>",
+    "<blockquote><p>%s</p></blockquote>",
+    "<section><div><p>%s</p></div></section>",
+    "<div><div><p>%s</p></div></div>",
+    "<pre>%s</pre>",
+    "<figure><figcaption>%s</figcaption></figure>",
 )
-CONTENT = frozenset("article main content post entry story".split())
+ELEMENTS = "nav header footer aside form menu dialog fieldset".split()
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -72,8 +97,15 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
     re.S,
 )
+_OPEN_COMMENT = re.compile(r"<!--.*\Z|<[!?].*\Z", re.S)
 _NAMES = re.compile(r"(?:\s|\"|'|^)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
+_PARAGRAPH = re.compile(r"<p>([^<]*+)</p>")
+
+
+@lru_cache
+def _end_of(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}(?![a-z0-9])[^>]*+>", re.I)
 
 
 @dataclass
@@ -115,9 +147,12 @@ def parse(page: str) -> Tree:
             buffer.clear()
         linked = 0
 
-    at, end = 0, len(page)
+    at, end, last = 0, len(page), page.rfind(">")
+    depth: Counter = Counter()  # how often a tag is open
+    unclosed: set[str] = set()  # tags without an end tag from here on
     while at < end:
-        token = _TOKEN.search(page, at)
+        # behind the last bracket that closes there is no tag, but there may be a comment left open
+        token = _TOKEN.search(page, at) if at <= last else _OPEN_COMMENT.search(page, at)
         upto = token.start() if token else end
         if upto > at:
             buffer.append(page[at:upto])
@@ -126,13 +161,15 @@ def parse(page: str) -> Tree:
         if not token:
             break
         at = token.end()
-        tag = (token[2] or token[5] or "").lower()
+        tag = (token[2] or token[5] or "").lower() if token.re is _TOKEN else ""
         if not tag:
             continue  # a comment
         closing, attributes = token[1] or token[4], token[3] or token[6] or ""
         if tag in HIDDEN and not closing:
             if not attributes.endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}(?![a-z0-9])[^>]*>", re.I).search(page, at)
+                close = None if tag in unclosed else _end_of(tag).search(page, at, last + 1)
+                if not close:
+                    unclosed.add(tag)
                 if close or tag in ("script", "style", "textarea", "title"):
                     at = close.end() if close else end
             buffer.append(" ")
@@ -144,19 +181,22 @@ def parse(page: str) -> Tree:
         elif closing:
             flush()
             in_link = 0
-            if any(open_tag == tag for open_tag, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            while depth[tag]:
+                found, _ = stack.pop()
+                depth[found] -= 1
+                if found == tag:
+                    break
         else:
             flush()
             in_link = 0
             while stack and (stack[-1][0] == "p" or tag in ENDS.get(stack[-1][0], ())):
-                stack.pop()
+                depth[stack.pop()[0]] -= 1
             found = " ".join("".join(x) for x in _NAMES.findall(attributes)).lower() if attributes else ""
             cues = [f"tag:{tag}", *(f"name:{w}" for w in set(_WORD.findall(found)))]
             node = tree.add(stack[-1][1] if stack else root, cues)
             if tag not in VOID and not attributes.endswith("/"):
                 stack.append((tag, node))
+                depth[tag] += 1
     flush()
     return tree
 
@@ -167,21 +207,32 @@ def _log_sum(a: float, b: float) -> float:
 
 @dataclass(frozen=True)
 class Model:
-    """Log-odds of cues, log-odds of the root, and by tag the chance that a child of a content node is none."""
+    """Log-odds of plain and of decisive cues, of the root, and by tag the chance that a child of a content node is none."""
 
     cues: dict[str, float]
+    decisive: dict[str, float]
     prior: float
     leaves: dict[str, float]
 
+    def potentials(self, tree: Tree) -> list[float]:
+        """The log-odds of every node by its own cues."""
+        texts = [0 if t is None else 1 for t in tree.text]
+        for i in range(len(texts) - 1, 0, -1):
+            texts[tree.parent[i]] += texts[i]
+        return [
+            sum(self.cues.get(c, 0.0) + self.decisive.get(c, 0.0) * (STRENGTH + n) for c in cues)
+            for cues, n in zip(tree.cues, texts, strict=True)
+        ]
+
     def loss(self, cues: list[str]) -> float:
         return self.leaves.get(cues[0], self.leaves[""])
 
     def marginals(self, tree: Tree) -> list[float]:
         """The probability of each node to be content, by messages to the root and back."""
-        n, odds = len(tree.parent), self.cues
+        n = len(tree.parent)
         links = [(math.log(1 - a), math.log(a)) for a in map(self.loss, tree.cues)]  # below each node
         up = [0.0] * n
-        below = [sum(odds.get(c, 0.0) for c in cues) for cues in tree.cues]  # with the messages of the children
+        below = self.potentials(tree)  # with the messages of the children
         below[0] += self.prior
         for i in range(n - 1, 0, -1):
             stays, goes = links[tree.parent[i]]
@@ -217,19 +268,72 @@ def labelled(tree: Tree, document: str) -> list[bool | None]:
     return [score[i] > 0 if seen[i] else None for i in range(len(score))]
 
 
+def furnished(page: str, document: str, seed: int) -> str:
+    """The page with more furniture, its texts made of the document's words in another order.
+
+    The article's paragraphs are put into other elements. Elements and names come in turn, a third of the names behind another word. Rarely, names of furniture are among
+    those of the article, as they are in categories and formats.
+    """
+    pick = Random(seed)
+    words = document.split()[:400] or ["word"]
+
+    def text(n: int) -> str:
+        return html.escape(" ".join(pick.choice(words) for _ in range(n)) + pick.choice(["", ".", "!"]))
+
+    def inside() -> str:
+        links = "".join(f"<li><a href=/{i}>{text(pick.randint(1, 4))}</a></li>" for i in range(pick.randint(2, 6)))
+        paragraphs = "".join(f"<p>{text(pick.randint(4, 40))}</p>" for _ in range(pick.randint(1, 4)))
+        boxed = f"<div><p>{text(12)}</p></div><section><div>{text(9)}</div></section>"
+        quoted = f"<blockquote><p>{text(8)}</p></blockquote><pre>{text(5)}</pre><figure><figcaption>{text(4)}</figcaption></figure>"
+        table = f"<table><tr><td>{text(2)}</td><td>{text(3)}</td></tr></table><ol><li>{text(6)}</li></ol>"
+        fields = f"<label>{text(1)}</label><input name=q><button>{text(1)}</button><select><option>{text(1)}</select>"
+        heading = pick.choice(["", f"<h1>{text(3)}</h1>", f"<h2>{text(3)}</h2>", f"<h3>{text(2)}</h3>"])
+        return heading + pick.choice([f"<ul>{links}</ul>", paragraphs, boxed, quoted, table, paragraphs + fields, text(8)])
+
+    def piece(n: int) -> str:
+        if n % 3 == 0:
+            tag = ELEMENTS[n // 3 % len(ELEMENTS)]
+            return f"<{tag}>{inside()}</{tag}>"
+        name = FURNITURE[n % len(FURNITURE)]
+        before = pick.choice(CONTENT) if pick.random() < 0.2 else pick.choice(["category", "format", "tag", "has"])
+        name = name if pick.random() < 0.67 else f"{before}-{name}"
+        tag = pick.choice(["div", "section", "div", "ul"])
+        content = inside()
+        return f"<{tag} {pick.choice(['class', 'id'])}={name}>" + (f"<li>{content}</li>" if tag == "ul" else content) + f"</{tag}>"
+
+    pieces = [piece(seed + 7 * i) for i in range(9)]
+    names = pick.sample(CONTENT, pick.randint(0, 2)) + pick.choices(["category", "format", "tag", "has"], k=1)
+    if pick.random() < 0.02:
+        names.append("tag-" + pick.choice(FURNITURE))
+    opened = f'<main class="{names[0]}"><article class="{" ".join(names)}">'
+    # into the article behind its first paragraphs, around it at both ends
+    head, found, tail = page.partition("<article>")
+    if found:
+        # paragraphs of the article stand in other elements as well
+        tail = _PARAGRAPH.sub(lambda m: pick.choice(SETTINGS) % m[1] if pick.random() < 0.7 else m[0], tail)
+        cut = tail.find("</p>") + 4 if "</p>" in tail else 0
+        tail = tail[:cut] + pieces[0] + pieces[1] + tail[cut:]
+        page = head + opened + tail.replace("</article>", "</article></main>", 1)
+    start = page.find("<body>") + 6 if "<body>" in page else 0
+    end = page.rfind("</body>") if "</body>" in page else len(page)
+    return page[:start] + "".join(pieces[2:5]) + page[start:end] + "".join(pieces[5:]) + page[end:]
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Arrow batches (html, text) -> (cue, label, n)."""
     for batch in batches:
         counts: Counter = Counter()
         for page, document in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            tree = parse(page or "")
-            labels = labelled(tree, document or "")
-            for i, label in enumerate(labels):
-                if label is not None:
-                    counts.update((cue, label) for cue in tree.cues[i])
-                    counts["nodes", label] += 1
-                    if i and labels[tree.parent[i]]:
-                        counts["below " + tree.cues[tree.parent[i]][0], label] += 1
+            page, document = page or "", document or ""
+            for version in (page, furnished(page, document, zlib.crc32(page.encode("utf-8", "replace")))):
+                tree = parse(version)
+                labels = labelled(tree, document)
+                for i, label in enumerate(labels):
+                    if label is not None:
+                        counts.update((cue, label) for cue in tree.cues[i])
+                        counts["nodes", label] += 1
+                        if i and labels[tree.parent[i]]:
+                            counts["below " + tree.cues[tree.parent[i]][0], label] += 1
         rows = [(cue, label, n) for (cue, label), n in counts.items()]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.bool_(), pa.int64()))], ["cue", "label", "n"]
@@ -240,11 +344,13 @@ def model_of(counts: dict[tuple[str, bool], int]) -> Model:
     """Potentials from counts of (cue, label)."""
     seen = Counter(counts)
     total = {label: seen["nodes", label] + 100 for label in (True, False)}
-    odds = {f"{kind}:{name}": -NAMED for name in FURNITURE for kind in ("tag", "name")}
-    odds |= {f"{kind}:{name}": CONTENT_NAMED for name in CONTENT for kind in ("tag", "name")}
+    odds, decisive = {}, {}
     for cue in {cue for cue, _ in seen if ":" in cue and " " not in cue}:
         x = math.log((seen[cue, True] + 1) / total[True]) - math.log((seen[cue, False] + 1) / total[False])
-        odds.setdefault(cue, max(-AGAINST, min(FOR, x)))
+        if cue.startswith(("tag:", "name:")) and abs(x) >= DECISIVE:
+            decisive[cue] = x
+        else:
+            odds[cue] = max(-AGAINST, min(FOR, x))
     # the children of a page's body are of all kinds, so other tags do not learn from it
     tags = {cue.split(" ", 1)[1] for cue, _ in seen if cue.startswith("below ")}
     usual = [t for t in tags if t not in ("tag:body", "tag:html", "tag:root")]
@@ -254,14 +360,17 @@ def model_of(counts: dict[tuple[str, bool], int]) -> Model:
     for tag in tags:
         lost, held = seen[f"below {tag}", False], seen[f"below {tag}", True]
         leaves[tag] = min(0.9, max(1e-4, (lost + PRIOR_COUNT * rate) / (lost + held + PRIOR_COUNT)))
-    return Model(odds, math.log(total[True] / total[False]), leaves)
+    return Model(odds, decisive, math.log(total[True] / total[False]), leaves)
 
 
 def learn(pairs: DataFrame) -> Model:
     """From labelled pages: ``pairs`` (html, text), the text being that of the page's document."""
     rows = pairs.select("html", "text").mapInArrow(_counted, "cue string, label boolean, n bigint")
-    summed = rows.groupBy("cue", "label").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "cue", "label").limit(20_000)
-    return model_of({(r.cue, r.label): r.n for r in summed.collect()})
+    # a cue seen less often than once in LEAST_SEEN nodes says nothing, which bounds what comes to the driver
+    summed = settled(rows.groupBy("cue", "label").agg(F.sum("n").alias("n")))
+    nodes = summed.where("cue = 'nodes'").agg(F.sum("n")).first()[0] or 0
+    often = summed.where(F.col("n") * LEAST_SEEN >= nodes)
+    return model_of({(r.cue, r.label): r.n for r in often.collect()})
 
 
 def pairs(pages: DataFrame, docs: DataFrame, number, sample: int = SAMPLE) -> DataFrame:

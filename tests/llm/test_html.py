@@ -1,4 +1,5 @@
 import math
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ def test_marginals_equal_enumeration(model):
         y = [state >> i & 1 for i in range(n)]
         p = math.exp(y[0] * model.prior)
         for i in range(n):
-            p *= math.exp(y[i] * sum(model.cues.get(c, 0.0) for c in tree.cues[i]))
+            p *= math.exp(y[i] * model.potentials(tree)[i])
             if i:
                 loss, gain = model.loss(tree.cues[tree.parent[i]]), math.exp(html.BELOW)
                 p *= (loss, 1 - loss)[y[i]] if y[tree.parent[i]] else (1, gain)[y[i]]
@@ -76,4 +77,36 @@ def test_odd_pages(spark, model):
     assert got[0] == got[1] == got[2] == "" and got[10] == "Just this line here."
     assert len(got[4]) == 60_000 * 5 - 1
     assert html.extract(frame.limit(0), model).collect() == []
-    assert html.learn(spark.createDataFrame([], "html string, text string")).extract(PAGE).startswith("Of mice")
+    nothing = html.learn(spark.createDataFrame([], "html string, text string"))
+    assert nothing.extract("") == "" and not nothing.cues and not nothing.decisive
+
+
+@pytest.mark.parametrize(
+    "names",
+    ["post category-legal", "article share-enabled", "entry tag-ads", "post has-sidebar", "post format-image related-posts"],
+)
+def test_names_of_furniture_in_an_article(model, names):
+    assert model.extract(PAGE.replace("<article>", f'<article class="{names}">')) == model.extract(PAGE)
+
+
+def test_training_decides(model):
+    """Without training no page is cut, with it the furniture of a held-out page goes."""
+    untrained = html.model_of({})
+    assert untrained.extract(PAGE) != model.extract(PAGE)
+    assert "All rights reserved." in untrained.extract(PAGE) or untrained.extract(PAGE) == ""
+    # what a name says is learnt: pages on which class "byline" is never content
+    counts = {("nodes", True): 5000, ("nodes", False): 5000, ("tag:p", True): 900, ("tag:p", False): 900}
+    tree = html.parse("<div><p>Text of a page, a sentence long.</p></div><div class=byline><p>By its author.</p></div>")
+    at = next(i for i, cues in enumerate(tree.cues) if "name:byline" in cues)
+    without, learnt = (html.model_of(counts | more).marginals(tree)[at] for more in ({}, {("name:byline", False): 500}))
+    assert learnt < 1e-6 < without
+
+
+@pytest.mark.parametrize(
+    "piece", ["<svg>", "<a ", "<a '", "<!-- x", '<p class="x', "</p></span></b></div>", "<div></p>", "<iframe><p>", "&amp;<"]
+)
+def test_broken_pages_take_time_in_proportion(piece):
+    """Two megabytes of broken markup; with work growing as the square none of these would end."""
+    begun = time.perf_counter()
+    html.parse("<div>" * 20_000 + piece * (2_000_000 // len(piece)))
+    assert time.perf_counter() - begun < 20
