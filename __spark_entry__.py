@@ -868,6 +868,33 @@ def _stream_recent(spark, sf):
     return recent.unnest_recent(current_recent_lists(spark, f"{base}/lists"))
 
 
+@_query(
+    "stream_replayed_events",
+    f"""WITH {EV} SELECT DISTINCT "userId", "productId", {_HALF} AS score, ts FROM ev""",
+)
+def _stream_replayed(spark, sf):
+    """Log files that arrive twice, the second time in other pieces; every event comes out once."""
+    log, base = _write_log(spark, sf, files=3), run_dir(spark, "stream-replayed")
+    spark.read.text(log).repartition(2).write.mode("append").text(log)
+    ratings = text.stream_rating_log(_stream_session(spark), log, files_per_batch=2)
+    once = text.distinct_events(ratings, late="3650 days")
+    written = once.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint")
+    written.trigger(availableNow=True).start(f"{base}/events").awaitTermination()
+    return spark.read.schema(S.RATING).parquet(f"{base}/events")
+
+
+@_query("collection_replaced_by_itself", f"""WITH {EV} SELECT * FROM ev WHERE score > 10 UNION ALL SELECT * FROM ev WHERE score > 10""")
+def _replaced(spark, sf):
+    """A collection cut to what is read from it, extended by itself, then compacted."""
+    catalog = Catalog(spark, run_dir(spark, "catalog"))
+    catalog.overwrite(S.RATING_COLLECTION, B.event_ratings(spark, sf))
+    catalog.overwrite(S.RATING_COLLECTION, catalog.read(S.RATING_COLLECTION).where("score > 10"))
+    catalog.append(S.RATING_COLLECTION, catalog.read(S.RATING_COLLECTION))
+    catalog.compact(S.RATING_COLLECTION)
+    catalog.vacuum(S.RATING_COLLECTION)
+    return catalog.read(S.RATING_COLLECTION)
+
+
 @_query(
     "stream_upsert",
     f"""WITH {EV}, t AS (

@@ -133,3 +133,17 @@ def stream_rating_log(spark: SparkSession, path: str, files_per_batch: int | Non
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return ratings_from_log(reader.text(path))
+
+
+def distinct_events(events: DataFrame, late: str = "1 day") -> DataFrame:
+    """Rating events of a stream, each once, however often its lines are replayed.
+
+    An event is the same if user, product, score and time are. What is remembered of it is dropped when the newest
+    event is ``late`` younger; lines older than that are late, replayed or not, and left out.
+    """
+    return (
+        events.withColumn("_at", F.timestamp_seconds("ts"))
+        .withWatermark("_at", late)
+        .dropDuplicatesWithinWatermark(["userId", "productId", "score", "ts"])
+        .drop("_at")
+    )

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from shelfsense import schemas as S
 from shelfsense.shared import run_dir
@@ -78,3 +79,21 @@ def test_collections(spark, ratings_of, fmt):
         (1, 2, 3.0, 4),
         (5, 6, 7.0, 8),
     ]
+
+
+def test_a_lost_write_leaves_the_collection(spark, ratings_of):
+    """A job that dies while it writes, and one that dies before the pointer moves, are as if they had not been."""
+    catalog = Catalog(spark, run_dir(spark, "test"))
+    catalog.overwrite(S.RATING_COLLECTION, ratings_of([(1, 2, 3.0, 4)]))
+    open_reader = catalog.read(S.RATING_COLLECTION)
+    failing = ratings_of([(5, 6, 7.0, 8)]).withColumn("ts", F.raise_error(F.lit("lost")).cast("bigint"))
+    with pytest.raises(Exception, match="lost"):
+        catalog.overwrite(S.RATING_COLLECTION, failing)
+    catalog._written(S.RATING_COLLECTION, ratings_of([(9, 9, 9.0, 9)]))
+    assert [tuple(r) for r in catalog.read(S.RATING_COLLECTION).collect()] == [(1, 2, 3.0, 4)]
+    # a reader goes on with what it has begun to read, until vacuum
+    catalog.overwrite(S.RATING_COLLECTION, catalog.read(S.RATING_COLLECTION).union(ratings_of([(5, 6, 7.0, 8)])))
+    assert [tuple(r) for r in open_reader.collect()] == [(1, 2, 3.0, 4)]
+    catalog.vacuum(S.RATING_COLLECTION)
+    assert len(catalog.snapshots(S.RATING_COLLECTION)) == 1
+    assert sorted(tuple(r) for r in catalog.read(S.RATING_COLLECTION).collect()) == [(1, 2, 3.0, 4), (5, 6, 7.0, 8)]
