@@ -12,26 +12,35 @@ from shelfsense.shared import run_dir
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score reaches the threshold, ranked by the labels that are not held out."""
+    """Documents whose quality score reaches the threshold, ranked by the labels that are not held out.
+
+    A null text is scored as an empty one. Rows are judged one by one, so repeated ones and those of null id share a fate.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~quality.held_out())
     ranking = quality.learn(docs, labels)
     return docs.where(ranking.score(F.col("text")) >= quality.CUT)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: shingles of 3 words, fingerprints within 3 bits."""
+    """One document of each group of near copies: shingles of 3 words, fingerprints within 3 bits.
+
+    The smallest id of a group stays. Null and empty texts have a fingerprint of zeros and are one group.
+    """
     return simhash.keep_one(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the 20-word passages that stand earlier; a text that loses all its words goes.
 
-    Texts that lose nothing stay as they are, those that do hold the other words joined by one space.
+    Texts that lose nothing stay as they are, those that do hold the other words joined by one space. A null or empty
+    text has no words and stays. Other columns come through, also under the names that the operator uses itself.
     """
-    found = substrings.remove_repeats(docs).where("n_removed = 0 OR n_removed < n_words")
+    own = {c: f"_own_{c}" for c in docs.columns if c in ("n_words", "n_removed", "kept", "bucket")}
+    found = substrings.remove_repeats(docs.withColumnsRenamed(own)).where("n_removed = 0 OR n_removed < n_words")
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     length = F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("n_chars"))
-    return found.withColumns({"text": text, "n_chars": length.cast("bigint")}).select(*docs.columns)
+    changed = found.withColumns({"text": text, "n_chars": length.cast("bigint")})
+    return changed.select(*(F.col(own.get(c, c)).alias(c) for c in docs.columns))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
