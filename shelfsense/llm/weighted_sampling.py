@@ -2,15 +2,18 @@
 
 The terms of a text are its sequences of ``SHINGLE`` words (a shorter text is one term), weighted by how often they
 occur. For every position of a fingerprint, a term k of weight w draws r and c from Gamma(2, 1) and b from [0, 1),
-all functions of k and the position alone; with t = floor(ln w / r + b), the smallest ln c - r (t + 1 - b) is the
+all functions of k and the position alone; with t = floor(ln w / r + b), the smallest c exp(-r (t + 1 - b)) is the
 sample. Two texts have the same sample with the probability of their generalised Jaccard similarity, the sum
 of the smaller over the sum of the larger weights, so the share of equal positions estimates it. A sample is
 identified by its value, of which 32 bits are kept.
 
 Gamma variates are minus the logarithm of a product of two uniforms of 32 hash bits each, so that the far tails, which
-decide the least of many terms, are those of the distribution. An estimate of likeness J has a standard error of
+decide the least of many terms, are those of the distribution. The two exponential variates whose sum is r also give b:
+the share of the first in the sum is uniform and independent of the sum, and stands for 1 - b. So r (1 - b) is the first
+of them, and a term of weight one, for which t is 0, has the value c u with one uniform u and a single logarithm. An estimate of likeness J has a standard error of
 sqrt(J (1 - J) / SAMPLES), at most 0.088. A text and its edited version share most of their terms, so both are
-fingerprinted together: a term is one row with its weight in either, and its draws serve both. Terms are weighed within their row and reduced to the samples before anything is shuffled, so neither common terms nor copies
+fingerprinted together: a term is one row with its weight in either, and its draws serve both. Terms are weighed by
+sorting within their row and reduced to the samples before anything is shuffled, so neither common terms nor copies
 meet. Null texts are empty; texts without words have a fingerprint of zeros, equal to each other. Rows that share an id
 are ordered by a hash of their text, wholly repeated rows are one document, and a null id comes last. Extra columns
 are not looked at. Only DataFrame functions are used.
@@ -54,16 +57,17 @@ def _shingles(hashes: Column) -> Column:
     return F.when(F.size(hashes) > 0, found).otherwise(F.array().cast("array<bigint>"))
 
 
-def tagged_terms(shared: Column, own: Column, other: Column) -> Column:
-    """array<struct<term bigint, tag int>>: the terms of two texts, repeats included.
+def weighed_terms(shared: Column, own: Column, other: Column) -> Column:
+    """array<struct<term bigint, w0 int, w1 int>>: the distinct terms of two texts with their weight in either.
 
     The texts are ``shared`` followed by ``own`` and by ``other``; ``shared`` is empty or ends with white space. A term
-    within the shared words is made once, with tag 0; the others of the first text have tag 1, of the second tag 2.
+    within the shared words is made once. The two lowest bits of a hash give way to the text that a term was found in:
+    0 for both, 1 and 2 for the first and the second. Sorting brings equal terms together.
     """
     none = F.array().cast("array<bigint>")
 
-    def tagged(hashes: Column, tag: int) -> Column:
-        return F.transform(hashes, lambda x: F.struct(x.alias("term"), F.lit(tag).alias("tag")))
+    def marked(hashes: Column, mark: int) -> Column:
+        return F.transform(hashes, lambda x: x.bitwiseAND(F.lit(-4)).bitwiseOR(F.lit(mark)))
 
     def of_rest(head: Column, rest: Column) -> Column:
         last = F.slice(head, F.greatest(F.size(head) - (SHINGLE - 2), F.lit(1)), SHINGLE - 1)
@@ -76,9 +80,27 @@ def tagged_terms(shared: Column, own: Column, other: Column) -> Column:
 
     def all_of(head: Column) -> Column:
         whole = F.when(F.size(head) >= SHINGLE, _shingles(head)).otherwise(none)
-        return F.concat(tagged(whole, 0), tagged(of_rest(head, own), 1), tagged(of_rest(head, other), 2))
+        return F.sort_array(F.concat(marked(whole, 0), marked(of_rest(head, own), 1), marked(of_rest(head, other), 2)))
 
-    return _let(_hashed_words(shared), all_of)
+    def runs(codes: Column) -> Column:
+        begins = F.filter(
+            F.sequence(F.lit(1), F.size(codes)),
+            lambda i: (i == 1) | (F.shiftright(F.get(codes, i - 1), 2) != F.shiftright(F.get(codes, i - 2), 2)),
+        )
+        return F.when(F.size(codes) > 0, _let(begins, lambda at: F.transform(at, lambda i, j: run(codes, i, F.get(at, j + 1)))))
+
+    def run(codes: Column, begin: Column, following: Column) -> Column:
+        code = F.get(codes, begin - 1)
+        length = F.coalesce(following, F.size(codes) + 1) - begin
+        mark = code.bitwiseAND(F.lit(3))
+
+        def weight(absent: int) -> Column:
+            several = F.size(F.filter(F.slice(codes, begin, length), lambda x: x.bitwiseAND(F.lit(3)) != absent))
+            return F.when(length == 1, (mark != absent).cast("int")).otherwise(several)
+
+        return F.struct(code.bitwiseAND(F.lit(-4)).alias("term"), weight(2).alias("w0"), weight(1).alias("w1"))
+
+    return _let(_let(_hashed_words(shared), all_of), runs)
 
 
 def _let(value: Column, use) -> Column:
@@ -90,31 +112,25 @@ def _samples(positions: int) -> list[Column]:
     """The least sample of the rows (term, weight) for every position; null without terms."""
     found = []
     for position in range(positions):
-        bits = [f"xxhash64(term ^ {(3 * position + i + 1) * DRAWS % 2**63})" for i in range(3)]
-        r, c = (GAMMA.format(bits=x) for x in bits[:2])
-        b = f"(CAST(shiftrightunsigned({bits[2]}, 11) AS DOUBLE) * {2.0**-53!r}D)"
-        t = f"CASE WHEN weight > 1 THEN CAST(floor(ln(CAST(weight AS DOUBLE)) / {r} + {b}) AS DOUBLE) ELSE 0.0D END"
-        found.append(F.expr(f"min(ln({c}) - {r} * ({t} + 1.0D - {b}))").alias(f"s{position}"))
+        bits = [f"xxhash64(term ^ {(2 * position + i + 1) * DRAWS % 2**63})" for i in range(2)]
+        u, v = (f"((CAST({x} AS DOUBLE) + 0.5D) * {2.0**-32!r}D)" for x in (f"{bits[0]} & 4294967295", f"shiftrightunsigned({bits[0]}, 32)"))
+        c, minus_r = GAMMA.format(bits=bits[1]), f"ln({u} * {v})"
+        t = f"floor(1.0D - (ln(CAST(weight AS DOUBLE)) + ln({u})) / {minus_r})"
+        scale = f"CASE WHEN weight > 1 THEN exp({minus_r} * {t}) ELSE 1.0D END"
+        found.append(F.expr(f"min({c} * {u} * {scale})").alias(f"s{position}"))
     return found
 
 
 def fingerprints(
-    texts: DataFrame, keys: list[str], shared: str, own: str, other: str, positions: int = SAMPLES, repeats: str | None = None
+    texts: DataFrame, keys: list[str], shared: str, own: str, other: str, positions: int = SAMPLES
 ) -> DataFrame:
     """(keys..., signature, other_signature array<int>): one row for each distinct value of ``keys``, whose rows share
-    their texts: ``shared`` followed by ``own``, and ``shared`` followed by ``other``. ``repeats``, one of the keys, is
-    the number of such rows, one if not given.
+    their texts: ``shared`` followed by ``own``, and ``shared`` followed by ``other``.
 
     A term that weighs the same in both texts, as most do, is sampled once for both. Where ``texts`` is partitioned by
     some of ``keys``, nothing is shuffled.
     """
-    found = texts.select(*keys, F.inline_outer(tagged_terms(F.col(shared), F.col(own), F.col(other))))
-    times = F.lit(1) if repeats is None else F.col(repeats)
-    weighed = (
-        found.groupBy(*keys, "term")
-        .agg(F.count(F.when(F.col("tag") != 2, 1)).alias("w0"), F.count(F.when(F.col("tag") != 1, 1)).alias("w1"))
-        .withColumns({w: F.floor(F.col(w) / times) for w in ("w0", "w1")})
-    )
+    weighed = texts.select(*keys, F.inline_outer(weighed_terms(F.col(shared), F.col(own), F.col(other))))
     of_both = F.array(F.struct(F.lit(0).alias("of"), F.col("w0").alias("weight")))
     of_each = F.array(*(F.struct(F.lit(i + 1).alias("of"), F.col(f"w{i}").alias("weight")) for i in (0, 1)))
     rows = weighed.select(*keys, "term", F.inline(F.when(F.col("w0") == F.col("w1"), of_both).otherwise(of_each)))
@@ -209,10 +225,10 @@ def compared(docs: DataFrame, key: str = "doc_id", text: str = "text", positions
     """One row a row of ``docs``: (id, n_chars, edited_sha256, signature, edited_signature, near_edited, near_next)."""
     both, order = edited(docs, key, text)
     digest = F.unhex(F.sha2(F.concat("shared", "other"), 256)).alias("digest")
-    rows = both.select("id", "tie", "copies", digest, "shared", "own", "other")
-    prints = fingerprints(rows, ["id", "tie", "copies", "digest"], "shared", "own", "other", positions, "copies")
+    rows = both.select("id", "tie", digest, "shared", "own", "other")
+    prints = fingerprints(rows, ["id", "tie", "digest"], "shared", "own", "other", positions)
     paired = settled(
-        order.join(prints.drop("copies"), ["id", "tie"])
+        order.join(prints, ["id", "tie"])
         .withColumn("edited_sha256", F.lower(F.hex("digest")))
         .withColumnRenamed("other_signature", "edited_signature")
         .drop("digest")

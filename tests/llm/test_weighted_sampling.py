@@ -55,11 +55,12 @@ def test_weights_of_two_texts(spark):
         rows.append((n, head, own, other))
     rows += [(900, "", "", ""), (901, "a ", "", "b"), (902, "a b c d ", "", "e"), (903, "a b c d e ", "", "e"), (904, " ", "x", "")]
     frame = spark.createDataFrame(rows, "n long, shared string, own string, other string")
-    got = frame.select("n", F.inline(ws.tagged_terms(F.col("shared"), F.col("own"), F.col("other")))).collect()
+    got = frame.select("n", F.inline(ws.weighed_terms(F.col("shared"), F.col("own"), F.col("other")))).collect()
     found = {n: (Counter(), Counter()) for n, *_ in rows}
     for r in got:
-        found[r.n][0][r.term] += r.tag != 2
-        found[r.n][1][r.term] += r.tag != 1
+        assert r.term not in found[r.n][0]
+        found[r.n][0][r.term] += r.w0
+        found[r.n][1][r.term] += r.w1
     for n, head, own, other in rows:
         a, b = weights(head + own), weights(head + other)
         joint = sorted((a[t], b[t]) for t in a.keys() | b.keys())
