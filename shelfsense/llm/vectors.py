@@ -5,8 +5,10 @@ is compared with its next ``window`` neighbours; close vectors agree
 in long prefixes and so stand close. Pairs of cosine at least ``least`` are united across all passes. As many passes as
 the number of vectors asks for, were they spread evenly, take all of them. How crowded it is around each vector is then
 measured: the bits after which no more than a window's vectors share its prefix, and so the chance of a pass to show
-it a partner at the threshold. Vectors whose chance is too small go through further passes, as many as bring the chance of
-a miss down to ``MISSED``; only crowded vectors are in those. Of components that would fill the windows, which are
+it a partner at the threshold. The geometric mean over the passes counts: a pass that parts a crowd with few bits has
+planes right through it, which part close pairs as well, so its high chance is deceptive. Vectors whose chance is too small
+go through further passes, as many as bring the chance of a miss down to ``MISSED_CROWDED``; only crowded vectors are in
+those. Of components that would fill the windows, which are
 compared in full anyway, a varying share is in each of these passes. The window ends at a partition's border, which concerns ``window`` rows of each.
 
 A group of more members than a window holds is found as a component, and every component is then compared with
@@ -15,6 +17,7 @@ itself in full, in blocks of bounded size, so that the links counted are all the
 Equal vectors are one node with a multiplicity; nodes are told apart by a 64-bit hash of their values. Vectors
 that are null, zero, or hold null or non-finite components link with nothing, not even their copies. Links are
 counted between rows, so wholly repeated rows link with each other. A null id is never the smallest of its component.
+Of vectors of unequal length, the shorter counts as filled up with zeros. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ from shelfsense.shared import settled
 
 #: Neighbours each vector is compared with in a pass; chance of missing a pair at the threshold; most members a block.
 WINDOW, MISSED, BLOCK = 32, 0.02, 4096
+#: The same chance in crowded places, where it is estimated from few passes.
+MISSED_CROWDED = 0.005
 #: Sign bits of a pass.
 SIGNS = 63
 
@@ -49,10 +54,12 @@ def passes(n: int, window: int, least: float) -> int:
 
 
 def _matrix(column) -> np.ndarray:
-    """A list column of finite numbers as rows of unit length, in double precision."""
+    """A list column of finite numbers as rows of unit length, in double precision, zeros behind shorter lists."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    flat, sizes = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False)
+    values = np.zeros((len(sizes), sizes.max(initial=0)))
+    values[np.arange(values.shape[1]) < sizes[:, None]] = flat
     # the largest component first, lest squares overflow
     values = values / np.abs(values).max(1, keepdims=True)
     return values / np.linalg.norm(values, axis=1, keepdims=True)
@@ -131,7 +138,9 @@ def _neighbours(window: int, least: float):
                 part = batch.slice(at, 2048)
                 turn, h, rows = part.column(0).to_numpy(), part.column(2).to_numpy(), _matrix(part.column(3))
                 if last is not None:
-                    turn, h, rows = (np.concatenate(x) for x in zip(last, (turn, h, rows), strict=True))
+                    width = max(last[2].shape[1], rows.shape[1])
+                    before, rows = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (last[2], rows))
+                    turn, h, rows = (np.concatenate(x) for x in zip((*last[:2], before), (turn, h, rows), strict=True))
                 last = turn[-window:], h[-window:], rows[-window:]
                 label = np.arange(len(h))
                 for step in range(1, min(window, len(h) - 1) + 1):
@@ -213,10 +222,10 @@ def near_duplicates(
         ordered(shared, "turn", "place", "h")
         .mapInArrow(_chances(window, least), "h bigint, chance double")
         .groupBy("h")
-        .agg(F.avg("chance").alias("chance"))
+        .agg(F.exp(F.avg(F.log("chance"))).alias("chance"))
     )
     worst = chances.join(shared.select("h", "root"), "h").groupBy("root").agg(F.min("chance").alias("chance"))
-    needed = F.log(F.lit(MISSED)) / F.log1p(-F.col("chance"))
+    needed = F.log(F.lit(MISSED_CROWDED)) / F.log1p(-F.col("chance"))
     crowded = settled(
         shared.drop("first", "turns")
         .join(worst.where(needed > turns), "root")
