@@ -21,6 +21,7 @@ from shelfsense.shared import run_dir, settled  # noqa: E402
 from shelfsense.sources import text  # noqa: E402
 from shelfsense.sources.catalog import Catalog  # noqa: E402
 from shelfsense.streaming.recent import current_recent_lists, start_recent_lists  # noqa: E402
+from shelfsense.streaming.statistics import compact_statistics, current_statistics, start_statistics  # noqa: E402
 from shelfsense.streaming.updates import current_ratings, start_rating_updates  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -868,6 +869,38 @@ def _stream_recent(spark, sf):
     return recent.unnest_recent(current_recent_lists(spark, f"{base}/lists"))
 
 
+def _streamed_statistics(spark, sf):
+    """Partial statistics: two runs over a growing log, with those of the first compacted in between."""
+    log, base = _write_log(spark, sf, files=3), run_dir(spark, "stream-statistics")
+    for run in ("first", "second"):
+        ratings = text.stream_rating_log(_stream_session(spark), log, files_per_batch=1)
+        start_statistics(ratings, f"{base}/{run}", f"{base}/checkpoint", available_now=True).awaitTermination()
+        if run == "first":
+            compact_statistics(spark, [f"{base}/first"], f"{base}/compact")
+            spark.read.text(log).repartition(2).write.mode("append").text(log)
+    return current_statistics(spark, f"{base}/compact", f"{base}/second")
+
+
+@_query(
+    "stream_average_products",
+    f"""WITH {EV}, h AS (SELECT "productId", {_HALF} AS score FROM ev)
+    SELECT "productId", 2 * count("productId") AS count, round(avg(score), 9) AS avg FROM h GROUP BY 1""",
+)
+def _stream_averages(spark, sf):
+    """Counts and averages of a log that arrives a second time, as batches add up."""
+    found = popularity.statistics_of(_streamed_statistics(spark, sf))
+    return found.withColumn("avg", F.round("avg", 9))
+
+
+@_query(
+    "stream_rate_more_recently",
+    f"""WITH {EV} SELECT CAST(strftime(make_timestamp(ts * 1000000), '%Y%m') AS INTEGER) AS yearmonth, "productId",
+      2 * count("productId") AS count FROM ev GROUP BY 1, 2""",
+)
+def _stream_monthly(spark, sf):
+    return _streamed_statistics(spark, sf).select("yearmonth", "productId", "count")
+
+
 @_query(
     "stream_replayed_events",
     f"""WITH {EV} SELECT DISTINCT "userId", "productId", {_HALF} AS score, ts FROM ev""",

@@ -119,3 +119,14 @@ COLLECTION_SCHEMAS = {
     FACTOR_RECS_COLLECTION: PRODUCT_RECS,
     STREAM_RECS_COLLECTION: STREAM_RECS,
 }
+
+# partial statistics of ratings, which add up over batches
+STATISTICS = T.StructType(
+    [
+        T.StructField("yearmonth", T.IntegerType()),
+        T.StructField("productId", T.LongType()),
+        T.StructField("count", T.LongType()),
+        T.StructField("n_scores", T.LongType()),
+        T.StructField("total", T.DoubleType()),
+    ]
+)

@@ -7,6 +7,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from shelfsense.operators.recent import QUEUE_LENGTH, recent_lists, recent_ratings
 from shelfsense.schemas import RATING
+from shelfsense.streaming.batches import read_batches
 
 
 def start_recent_lists(
@@ -27,10 +28,10 @@ def start_recent_lists(
 
 def current_recent_lists(spark: SparkSession, *outs: str, n: int = QUEUE_LENGTH) -> DataFrame:
     """(userId, recent) from all batches written to ``outs``: order is by event time, so late files change nothing."""
-    return recent_lists(spark.read.schema(RATING).parquet(*outs), n)
+    return recent_lists(read_batches(spark, RATING, *outs), n)
 
 
 def compact_recent_lists(spark: SparkSession, outs: list[str], target: str, n: int = QUEUE_LENGTH) -> None:
     """One folder in place of many batches: at most ``n`` rows a user. ``target`` is read instead of ``outs``."""
-    rows = recent_ratings(spark.read.schema(RATING).parquet(*outs), n).drop("pos")
+    rows = recent_ratings(read_batches(spark, RATING, *outs), n).drop("pos")
     rows.write.mode("overwrite").parquet(f"{target}/batch_id=0")
