@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from shelfsense.functions.scalars import tags_to_words, words
 from shelfsense.functions.vectors import unit
 from shelfsense.operators.joins import join_unique
-from shelfsense.operators.strips import DenseStrip, SparseStrip, top_by_product
+from shelfsense.operators.postings import top_by_terms
+from shelfsense.operators.strips import DenseStrip, top_by_product
 from shelfsense.shared import settled
 
 # Fixed value: number of hash buckets.
@@ -86,21 +87,24 @@ def _distinct_vectors(keyed: DataFrame, k: int) -> DataFrame:
 
 
 def _exact_vectors(reps: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame:
-    """(id, terms, weights) of length one; a vector of length zero has no similarity and drops out."""
+    """(id, terms, weights, uses) of length one, rare terms first, ``uses`` being the rows here that have the term.
+
+    A vector of length zero has no similarity and drops out.
+    """
     tf = (
         reps.select("id", F.explode(F.split("key", " ")).alias("term"))
         .groupBy("id", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    both = join_unique(tf, document_frequency(docs), "term", apart=["id"])
-    weighted = both.select(
-        "id", "term", (F.col("tf") * idf(F.col("df"), n_docs)).alias("w")
-    )
-    entries = F.array_sort(F.collect_list(F.struct("term", "w")))
+    uses = tf.groupBy("term").agg(F.count(F.lit(1)).alias("uses"))
+    terms = settled(document_frequency(docs).join(uses, "term"))
+    both = join_unique(tf, terms, "term", apart=["id"], counted="uses")
+    weighted = both.select("id", "term", "uses", (F.col("tf") * idf(F.col("df"), n_docs)).alias("w"))
+    entries = F.array_sort(F.collect_list(F.struct("uses", "term", "w")))
     return (
         weighted.groupBy("id")
         .agg(entries.alias("e"))
-        .select("id", F.col("e.term").alias("terms"), unit(F.col("e.w")).alias("weights"))
+        .select("id", F.col("e.term").alias("terms"), unit(F.col("e.w")).alias("weights"), F.col("e.uses").alias("uses"))
         .where("weights IS NOT NULL")
     )
 
@@ -124,14 +128,16 @@ def similar_by_content(
     if hashed:
         raw = hashed_tfidf(reps.select("id", F.split("key", " ").alias("words")), docs, buckets)
         vectors = raw.select("id", unit(F.col("vec")).alias("vec")).where("vec IS NOT NULL")
-        payload, strip = ["vec"], DenseStrip
     else:
         vectors = _exact_vectors(reps, docs, docs.count())
-        payload, strip = ["terms", "weights"], SparseStrip
     vectors = settled(vectors)
     n = vectors.count()
     # a key is its own best partner, hence one more than k
-    best = top_by_product(vectors, vectors, k + 1, payload, strip, n, n, above=0.0, skip_self=False)
+    if hashed:
+        # few buckets, each in a good share of the rows: an index would part nothing
+        best = top_by_product(vectors, vectors, k + 1, ["vec"], DenseStrip, n, n, above=0.0, skip_self=False)
+    else:
+        best = top_by_terms(vectors, k + 1, n)
     fill = _smallest(vectors, reps, 2 * k + 1) if include_zero else []
     return _for_products(best.where("r > 0"), reps, keyed, k, fill)
 

@@ -10,18 +10,28 @@ ROWS_PER_PART, MOST_HEAVY = 100_000, 10_000
 
 
 def join_unique(
-    rows: DataFrame, unique: DataFrame, key: str, apart: list[str], how: str = "inner", per_part: int = ROWS_PER_PART
+    rows: DataFrame,
+    unique: DataFrame,
+    key: str,
+    apart: list[str],
+    how: str = "inner",
+    per_part: int = ROWS_PER_PART,
+    counted: str | None = None,
 ) -> DataFrame:
     """Join ``rows`` with ``unique``, which has one row per key.
 
     One aggregate measures how often every key occurs. The rows of a key are dealt to as many parts as ``per_part``
     asks for, by their ``apart`` columns, and the row of ``unique`` is repeated as often. Only the ``MOST_HEAVY`` most
     frequent keys are dealt so, which bounds the list that is broadcast; any other key holds at most one row in
-    ``MOST_HEAVY`` and stays in one part.
+    ``MOST_HEAVY`` and stays in one part. Where a column of ``unique`` holds the frequencies already, ``counted`` names
+    it and nothing is measured.
     """
+    if counted is None:
+        measured = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    else:
+        measured = unique.select(key, F.col(counted).alias("_rows"))
     heavy = (
-        rows.groupBy(key)
-        .agg(F.ceil(F.count(F.lit(1)) / per_part).cast("int").alias("_ways"))
+        measured.select(key, F.ceil(F.col("_rows") / per_part).cast("int").alias("_ways"))
         .where(F.col(key).isNotNull() & (F.col("_ways") > 1))
         .orderBy(F.col("_ways").desc(), key)
         .limit(MOST_HEAVY)

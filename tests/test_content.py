@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from shelfsense.operators import content, strips
+from shelfsense.operators import content, postings, strips
 
 
 def products(spark, tags):
@@ -109,3 +109,39 @@ def test_repeated_products_count_once(spark):
     assert ranked(content.similar_by_content(twice, 3)) == ranked(content.similar_by_content(once, 3))
     weights = [sorted(content.tfidf_weights(content.tag_words(p)).collect()) for p in (once, twice)]
     assert weights[0] == weights[1]
+
+
+def pairs_read(spark, tags, k):
+    """(pairs that a list of the best k compares, rows of the index)."""
+    docs = content.tag_words(products(spark, tags))
+    reps = content._distinct_vectors(content._keyed(docs), k)
+    rows = content._exact_vectors(reps, docs, docs.count()).cache()
+    first = postings.first_asked(rows, k)
+    known = postings._best(postings._meet(first, rows, k, 256, 256), k)
+    return postings.compared_pairs(first) + postings.compared_pairs(postings.then_asked(rows, known, k)), rows.count()
+
+
+def test_index_reads_a_small_share_of_the_pairs(spark):
+    """Words of falling frequency and one in a third of the products: that one is hardly ever asked."""
+    rng = random.Random(3)
+    words, shares = [f"w{i}" for i in range(800)], [1 / (i + 20) for i in range(800)]
+    tags = {i: "|".join([*rng.choices(words, shares, k=6), *(["often"] if i % 3 == 0 else [])]) for i in range(3000)}
+    pairs, n = pairs_read(spark, tags, 6)
+    assert n > 2900 and pairs < n * n / 10
+
+
+@pytest.mark.parametrize("strip_rows,chunk_rows", [(1, 1), (7, 3), (3, 1000)])
+def test_frequent_terms_in_strips_and_chunks(spark, strip_rows, chunk_rows):
+    tags = catalogue(8)
+    docs = content.tag_words(products(spark, tags))
+    reps = content._distinct_vectors(content._keyed(docs), 5)
+    rows = content._exact_vectors(reps, docs, docs.count()).cache()
+
+    def lists(df):
+        return sorted(tuple(r) for r in df.where("r > 0").select("id", "rank", "rid", "r").collect())
+
+    n = rows.count()
+    every = strips.top_by_product(
+        rows, rows, 6, ["terms", "weights"], strips.SparseStrip, n, n, above=0.0, skip_self=False
+    )
+    assert lists(postings.top_by_terms(rows, 6, n, strip_rows, chunk_rows)) == lists(every)

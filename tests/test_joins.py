@@ -16,6 +16,13 @@ def test_equals_the_plain_join(spark, per_part, how):
     assert sorted(got.collect(), key=str) == sorted(wanted.collect(), key=str)
 
 
+def test_known_frequencies_are_not_measured_again(spark):
+    rows = spark.range(600).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"))
+    unique = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    got = join_unique(rows, unique, "k", ["id"], per_part=30, counted="n")
+    assert sorted(got.collect()) == sorted(rows.join(unique, "k").collect())
+
+
 def test_parts_follow_the_frequency_of_a_key(spark):
     """A key with a third of the rows: no task gets more than a small share of them."""
     rows = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
