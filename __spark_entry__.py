@@ -695,6 +695,39 @@ def _search_many(spark, sf):
     return serving.search(B.products(spark, sf), ["ring", "^blue", "(?i)WIDGET$"])
 
 
+_PATTERNS = """
+    SELECT DISTINCT '^' || p_name || '$' AS pattern FROM part
+    UNION SELECT DISTINCT regexp_extract(p_name, '^[a-z]+') || ' .*[gt]$' FROM part
+    UNION SELECT DISTINCT '(?i) ' || upper(regexp_extract(p_name, '[a-z]+$')) FROM part
+    UNION SELECT DISTINCT '^' || lower(substr(n_name, 1, 1)) || '[a-z]+ ' || lower(substr(n_name, 2, 1)) FROM nation"""
+
+
+@_query(
+    "product_search_table",
+    f"""WITH {P}, q AS ({_PATTERNS}),
+    ratings AS (SELECT l_partkey AS "productId", avg(l_quantity / 10) AS score FROM lineitem JOIN orders
+                ON l_orderkey = o_orderkey GROUP BY 1)
+    SELECT pattern, p.*, round(coalesce(score, 0), 6) AS score
+    FROM p JOIN q ON regexp_matches(name, pattern) LEFT JOIN ratings USING ("productId")""",
+)
+def _search_table(spark, sf):
+    """Patterns from names and nations: most name text that their matches hold, some leave it open."""
+    name, nation = F.col("p_name"), F.lower("n_name")
+    parts = B.table(spark, sf, "part")
+    made = [
+        F.concat(F.lit("^"), name, F.lit("$")),
+        F.concat(F.regexp_extract(name, "^[a-z]+", 0), F.lit(" .*[gt]$")),
+        F.concat(F.lit("(?i) "), F.upper(F.regexp_extract(name, "[a-z]+$", 0))),
+    ]
+    initials = F.concat(F.lit("^"), F.substring(nation, 1, 1), F.lit("[a-z]+ "), F.substring(nation, 2, 1))
+    patterns = parts.select(F.explode(F.array(*made)).alias("pattern")).unionByName(
+        B.table(spark, sf, "nation").select(initials.alias("pattern"))
+    )
+    averages = popularity.average_scores(B.order_ratings(spark, sf))
+    found = serving.search_table(B.products(spark, sf), patterns, averages)
+    return found.withColumn("score", F.round("score", 6))
+
+
 @_query("products_by_ids", f"""WITH {P}, {EV} SELECT * FROM p WHERE "productId" IN (SELECT "productId" FROM ev)""")
 def _products_by_ids(spark, sf):
     return serving.products_by_ids(B.products(spark, sf), B.event_ratings(spark, sf))

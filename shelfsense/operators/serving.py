@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfsense.functions.scalars import halved_score, java_string_hash, now_millis
 from shelfsense.operators.joins import join_unique
+from shelfsense.operators.patterns import matches
 from shelfsense.operators.ranking import first_per_key, unnest_recs
 from shelfsense.operators.upsert import newest_ratings
 
@@ -81,17 +82,9 @@ def search(products: DataFrame, patterns: str | Sequence[str]) -> DataFrame:
 def search_table(products: DataFrame, patterns: DataFrame, averages: DataFrame, block: int = 32) -> DataFrame:
     """(pattern, product columns, score) for every row of ``patterns`` (pattern) found in a product's name.
 
-    Patterns are dealt to blocks of about ``block`` and products repeated once a block; a row then tries the patterns
-    of its block in place, so nothing but matches leaves it.
+    A pattern is looked up by a piece of text that its matches must hold, see ``patterns.matches``.
     """
-    wanted = patterns.where("pattern IS NOT NULL").select("pattern").distinct()
-    blocks = max(1, -(-wanted.count() // block))
-    dealt = wanted.groupBy(F.pmod(F.xxhash64("pattern"), F.lit(blocks)).cast("int").alias("_block")).agg(
-        F.collect_list("pattern").alias("_patterns")
-    )
-    repeated = products.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    hits = F.filter("_patterns", lambda p: F.rlike("name", p))
-    found = repeated.join(dealt, "_block").select(F.explode(hits).alias("pattern"), *products.columns)
+    found = matches(products, "name", patterns, block)
     return with_score(found, averages).select("pattern", *products.columns, "score")
 
 
