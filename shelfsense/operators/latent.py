@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsense.functions.vectors import dot, unit
+from shelfsense.operators.cones import top_by_cosine
 from shelfsense.operators.strips import DenseStrip, top_by_product
 from shelfsense.operators.upsert import newest_ratings
 from shelfsense.shared import settled
@@ -129,5 +130,5 @@ def similar_by_factors(item_factors: DataFrame, k: int = ITEM_LIST, above: float
         item_factors.select("id", unit(F.col("vec")).alias("vec")).where("vec IS NOT NULL")
     )
     n = scaled.count()
-    best = top_by_product(scaled, scaled, k, ["vec"], DenseStrip, n, n, above=above)
+    best = top_by_cosine(scaled, k, n, above)
     return best.withColumnRenamed("id", "productId")
