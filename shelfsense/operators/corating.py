@@ -7,6 +7,10 @@ which make up most of the work, so leave a task once a step and not once a user.
 
 The basket of a heavy user is cut into parts of about ``PART_ITEMS`` items, and its row becomes a row a pair of parts,
 which any task may take: neither the items nor the pairs of one user meet in one task.
+
+Where only the best k of an item are asked for and nearly all pairs are different, so that partial counts save nothing,
+items are dealt to blocks instead. A *tile*, which one task counts, is what the baskets hold of two blocks, so that
+counts are whole there, and only pairs among the best k of either item leave it.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,11 +30,14 @@ from shelfsense.operators.strips import spans
 from shelfsense.shared import settled
 
 #: Items that a part of a basket holds about; users whose baskets are cut at most, which bounds the list of them.
-PART_ITEMS, MOST_HEAVY = 2048, 100_000
-#: Pairs that a task counts before it hands them on; pairs that a task should have to count in all.
-PAIRS_AT_ONCE, PAIRS_PER_TASK = 4_000_000, 20_000_000
+PART_ITEMS, MOST_HEAVY = 1024, 100_000
+#: Pairs that a task counts before it hands them on, which with as many entries of baskets is what it holds (about 100
+#: bytes a pair), so two parts of a basket may not have more; pairs that a task should have to count in all.
+PAIRS_AT_ONCE, PAIRS_PER_TASK = 1_000_000, 20_000_000
 #: Tasks for counting at most, whatever the number of pairs.
 MOST_TASKS = 100_000
+#: Entries that a block of items holds about; a task holds two blocks. Candidates are handed on in batches of so many.
+BLOCK_ENTRIES, BATCH_ROWS = 3_000_000, 65_536
 PARTIAL_SCHEMA = "product1 bigint, product2 bigint, common bigint, nor1 bigint, nor2 bigint"
 
 
@@ -68,8 +76,13 @@ def partial_counts(weighted: bool, limit: int) -> Callable[[Iterator[pa.RecordBa
         known, place = np.unique(items, return_inverse=True)
         of = np.empty(len(known), np.int64)
         of[place] = raters
-        a, b = place[one], place[two]
-        key = np.minimum(a, b) * len(known) + np.maximum(a, b)
+        key, b = place[one], place[two]
+        low = np.minimum(key, b)
+        np.maximum(key, b, out=key)
+        del b
+        low *= len(known)
+        key += low
+        del low
         if weighted:
             order = np.argsort(key, kind="stable")
             key, step = key[order], (times[one] * times[two])[order]
@@ -94,7 +107,7 @@ def partial_counts(weighted: bool, limit: int) -> Callable[[Iterator[pa.RecordBa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        waiting = 0
+        waiting = entries = 0
 
         def flushed() -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(held).combine_chunks()
@@ -122,7 +135,7 @@ def partial_counts(weighted: bool, limit: int) -> Callable[[Iterator[pa.RecordBa
                     e, p = _pairs_of(n_l[~alone], n_r[~alone], np.zeros(int((~alone).sum()), bool))
                     one.append(crossed[e])
                     two.append(int(n_l.sum()) + p)
-                one, two = np.concatenate(one), np.concatenate(two)
+                one, two = (x[0] if len(x) == 1 else np.concatenate(x) for x in (one, two))
                 if len(one):
                     yield counted(*items, one, two)
 
@@ -132,9 +145,11 @@ def partial_counts(weighted: bool, limit: int) -> Callable[[Iterator[pa.RecordBa
                 (_, n_left), (_, n_right) = (_flat(part.column(c)) for c in ("l", "r"))
                 held.append(part)
                 waiting += int(np.where(n_right == 0, n_left * (n_left - 1) // 2, n_left * n_right).sum())
-                if waiting >= limit:
+                entries += int(n_left.sum() + n_right.sum())
+                # baskets of few items have fewer pairs than entries
+                if max(waiting, entries) >= limit:
                     yield from flushed()
-                    held, waiting = [], 0
+                    held, waiting, entries = [], 0, 0
         if held:
             yield from flushed()
 
@@ -199,14 +214,212 @@ def partial_pairs(
     return baskets.mapInArrow(partial_counts(not dedupe, PAIRS_AT_ONCE), PARTIAL_SCHEMA)
 
 
-def _both_ways(
-    ratings: DataFrame, dedupe: bool, part_items: int | None, tasks: int | None
-) -> DataFrame:
-    summed = (
-        partial_pairs(ratings, dedupe, part_items, tasks)
-        .groupBy("product1", "product2")
-        .agg(F.sum("common").alias("common"), F.first("nor1").alias("nor1"), F.first("nor2").alias("nor2"))
+def _added(key: np.ndarray, times: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, ascending, with the sum of its ``times``, or how often it occurs."""
+    if not len(key):
+        return key, np.zeros(0, np.int64)
+    if times is None:
+        key.sort()
+    else:
+        order = np.argsort(key, kind="stable")
+        key, times = key[order], times[order]
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[starts], np.diff(np.append(starts, len(key))) if times is None else np.add.reduceat(times, starts)
+
+
+def _among_best(item: np.ndarray, other: np.ndarray, r: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the ``k`` rows of highest ``r`` per item, equal ones by ascending ``other``."""
+    order = np.lexsort((other, -r, item))
+    item = item[order]
+    starts = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]])) if len(item) else np.zeros(0, np.int64)
+    rank = np.arange(len(item)) - np.repeat(starts, np.diff(np.append(starts, len(item))))
+    return order[rank < k]
+
+
+class _Candidates:
+    """Pairs (positions a, b among the items of a tile) that may be among the best ``k`` of a or of b."""
+
+    def __init__(self, raters: np.ndarray, k: int, limit: int):
+        self.raters, self.k = raters.astype(np.float64), k
+        self.floor = np.full(len(raters), -np.inf)
+        self.most = max(limit, 4 * k * len(raters))
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.n = 0
+
+    def offer(self, a: np.ndarray, b: np.ndarray, common: np.ndarray) -> None:
+        """All pairs of the items in ``a``, which ascends, with those of the other block."""
+        r = common / np.sqrt(self.raters[a] * self.raters[b])
+        # the k-th of an item's different values bounds its k-th best, so that few rows need to be sorted
+        starts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+        sizes, rest = np.diff(np.append(starts, len(a))), r.copy()
+        for _ in range(self.k):
+            bound = np.repeat(np.maximum.reduceat(rest, starts), sizes)
+            rest[rest == bound] = -np.inf
+        some = np.flatnonzero(r >= bound)
+        keep = r >= self.floor[b]
+        keep[some[_among_best(a[some], b[some], r[some], self.k)]] = True
+        self.held.append((a[keep].astype(np.int32), b[keep].astype(np.int32), common[keep], r[keep]))
+        self.n += len(self.held[-1][0])
+        if self.n > self.most:
+            self.best()
+
+    def best(self) -> tuple[np.ndarray, ...]:
+        a, b, common, r = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        item, other, both = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([r, r])
+        top = _among_best(item, other, both, self.k)
+        # who holds k already takes none below the least of them
+        found, starts, n = np.unique(item[top], return_index=True, return_counts=True)
+        full = n == self.k
+        self.floor[found[full]] = both[top][starts[full] + self.k - 1]
+        keep = np.zeros(len(a), bool)
+        keep[top % len(a)] = True
+        self.held = [(a[keep], b[keep], common[keep], r[keep])]
+        self.n = int(keep.sum())
+        return self.held[0]
+
+
+def best_of_tile(k: int, limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Arrow batches of one tile -> its pairs, smaller item first, that are among the best ``k`` of either item.
+
+    A row lists what a basket holds of the two blocks, ``l`` and ``r`` with times ``lw`` and ``rw`` (null: once); in a
+    tile of one block ``r`` is null. Rows with ``raters`` list the items of the blocks in ``l``. At most ``limit`` pairs
+    are spread out at a time.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, raters = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        sides = {c: ([], [], []) for c in "lr"}  # items, times, sizes of rows
+        alone = False
+        for batch in batches:
+            marks = pc.is_valid(batch["raters"])
+            if pc.any(marks).as_py():
+                named = batch.filter(marks)
+                known.append(named["l"].flatten().to_numpy())
+                raters.append(named["raters"].flatten().to_numpy())
+                batch = batch.filter(pc.invert(marks))
+            if not len(batch):
+                continue
+            alone = alone or batch["r"].null_count > 0
+            for c, (items, times, sizes) in sides.items():
+                items.append(batch[c].flatten().to_numpy())
+                sizes.append(pc.fill_null(pc.list_value_length(batch[c]), 0).to_numpy())
+                if batch[f"{c}w"].null_count < len(batch):
+                    times.append(batch[f"{c}w"].flatten().to_numpy())
+        if not sides["l"][0]:
+            return
+        known, raters = np.concatenate(known), np.concatenate(raters)
+        order = np.argsort(known)
+        known, raters = known[order], raters[order]
+
+        def side(c: str) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+            items, times, sizes = sides.pop(c)
+            places = np.concatenate([np.searchsorted(known, x).astype(np.int32) for x in items])
+            return places, np.concatenate(times) if times else None, np.concatenate(sizes).astype(np.int64)
+
+        left, left_times, n_left = side("l")
+        right, right_times, n_right = (left, left_times, n_left) if alone else side("r")
+        right_at = np.cumsum(n_right) - n_right
+        row = np.repeat(np.arange(len(n_left), dtype=np.int32), n_left)
+        order = np.argsort(left, kind="stable")
+        left, row = left[order], row[order]
+        if left_times is not None:
+            left_times = left_times[order]
+        n_pairs = n_right[row]
+        starts = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1]]))
+        ends = np.append(starts[1:], len(left))
+        candidates = _Candidates(raters, k, limit)
+        for some in _steps(np.add.reduceat(n_pairs, starts), limit):
+            first, key, common = starts[some.start], np.zeros(0, np.int64), np.zeros(0, np.int64)
+            # several rounds only where one item alone has more pairs than the limit
+            for part in _steps(n_pairs[first : ends[some.stop - 1]], limit):
+                entries = slice(first + part.start, first + part.stop)
+                entry, at = spans(right_at[row[entries]], n_pairs[entries])
+                a, b = left[entries][entry], right[at]
+                times = None if left_times is None else left_times[entries][entry] * right_times[at]
+                if alone:  # each pair once
+                    once = a < b
+                    a, b = a[once], b[once]
+                    times = None if times is None else times[once]
+                new, n = _added(a.astype(np.int64) * len(known) + b, times)
+                key, common = (new, n) if not len(key) else _added(np.append(key, new), np.append(common, n))
+            if len(key):
+                candidates.offer(*np.divmod(key, len(known)), common)
+        if not candidates.n:
+            return
+        a, b, common, _ = candidates.best()
+        a, b = np.minimum(a, b), np.maximum(a, b)
+        columns = [known[a], known[b], common, raters[a], raters[b]]
+        found = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["product1", "product2", "common", "nor1", "nor2"])
+        for at in range(0, len(found), BATCH_ROWS):
+            yield found.slice(at, BATCH_ROWS)
+
+    return run
+
+
+def _tiles(incidence: DataFrame, raters: DataFrame, weighted: bool, blocks: int) -> DataFrame:
+    """Rows for ``best_of_tile``, each tile a partition: a basket meets only the tiles of two blocks it has items of."""
+    none = F.lit(None).cast("array<bigint>")
+    # another hash than that of the shuffles, which would deal a block's items to few of their partitions
+    dealt = F.pmod(F.xxhash64("item", F.lit("block")), F.lit(blocks)).cast("int").alias("block")
+    listed = F.collect_list("w") if weighted else F.first(none)
+    lists = (
+        incidence.select("userId", "item", "w", dealt)
+        .groupBy("userId", "block")
+        .agg(F.collect_list("item").alias("items"), listed.alias("times"))
+    )
+    lists = lists.repartition("userId")
+    low = lists.select("userId", F.col("block").alias("low"), F.col("items").alias("l"), F.col("times").alias("lw"))
+    high = lists.select("userId", F.col("block").alias("high"), F.col("items").alias("r"), F.col("times").alias("rw"))
+    tile = F.col("low") * blocks - F.expr("low * (low - 1) div 2").cast("int") + F.col("high") - F.col("low")
+    twice = F.col("low") < F.col("high")
+    baskets = low.join(high, "userId").where("low <= high").select(
+        tile.alias("tile"), "l", "lw", F.when(twice, F.col("r")).alias("r"), F.when(twice, F.col("rw")).alias("rw"),
+        none.alias("raters"),
+    )
+    chunk = F.pmod(F.xxhash64("item", F.lit("chunk")), F.lit(64))
+    names = (
+        raters.select(dealt, chunk.alias("chunk"), "item", "raters")
+        .groupBy("block", "chunk")
+        .agg(F.collect_list("item").alias("l"), F.collect_list("raters").alias("raters"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+        .select(tile.alias("tile"), "l", none.alias("lw"), none.alias("r"), none.alias("rw"), "raters")
     )
+    dealt_out = baskets.unionByName(names).repartitionById(blocks * (blocks + 1) // 2, F.col("tile"))
+    return dealt_out.select("l", "lw", "r", "rw", "raters")
+
+
+def _best_pairs(ratings: DataFrame, k: int, dedupe: bool, part_items: int | None, tasks: int | None) -> DataFrame:
+    """Partial counts of all pairs, or whole counts of those among the best ``k`` of a tile: whatever is fewer rows.
+
+    ``part_items`` asks for partial counts of baskets in such parts.
+    """
+    incidence = settled(_incidence(ratings, dedupe))
+    raters = incidence.groupBy("item").agg(F.sum("w").alias("raters"))
+    if part_items is None:
+        n = F.col("n").cast("double")
+        sizes = incidence.groupBy("userId").agg(F.count(F.lit(1)).alias("n"))
+        known = sizes.agg(F.sum("n").alias("entries"), F.sum(n * (n - 1) / 2).alias("pairs")).first()
+        entries, pairs, n_items = known["entries"] or 0, known["pairs"] or 0, raters.count()
+        wanted = tasks or max(incidence.sparkSession.sparkContext.defaultParallelism, math.ceil(pairs / PAIRS_PER_TASK))
+        wanted = min(MOST_TASKS, wanted)
+        blocks = max(math.ceil(math.sqrt(2 * wanted)), math.ceil(entries / BLOCK_ENTRIES))
+        # a step hands on a pair of items once
+        if entries * blocks < min(pairs, n_items * n_items / 2 * (wanted + pairs / PAIRS_AT_ONCE)):
+            return _tiles(incidence, raters, not dedupe, blocks).mapInArrow(
+                best_of_tile(k, PAIRS_AT_ONCE), PARTIAL_SCHEMA
+            )
+    baskets = _baskets(incidence, part_items or PART_ITEMS, tasks)
+    return _summed(baskets.mapInArrow(partial_counts(not dedupe, PAIRS_AT_ONCE), PARTIAL_SCHEMA))
+
+
+def _summed(partial: DataFrame) -> DataFrame:
+    return partial.groupBy("product1", "product2").agg(
+        F.sum("common").alias("common"), F.first("nor1").alias("nor1"), F.first("nor2").alias("nor2")
+    )
+
+
+def _both_ways(summed: DataFrame) -> DataFrame:
     one, two = F.col("product1"), F.col("product2")
     names = ("product1", "product2", "nor1", "nor2")
     ways = [F.struct(*(c.alias(n) for c, n in zip(cols, names, strict=True))) for cols in (
@@ -222,7 +435,7 @@ def co_rating_counts(
     ratings: DataFrame, dedupe: bool = True, part_items: int | None = None, tasks: int | None = None
 ) -> DataFrame:
     """(product1, product2, common, nor1, nor2) for every ordered pair rated by a common user."""
-    return _both_ways(ratings, dedupe, part_items, tasks)
+    return _both_ways(_summed(partial_pairs(ratings, dedupe, part_items, tasks)))
 
 
 def with_similarity(pairs: DataFrame) -> DataFrame:
@@ -242,7 +455,7 @@ def similar_by_co_rating(
 
     ``dedupe`` counts a user once per item; without it every rating row counts, as do all row pairs.
     """
-    pairs = with_similarity(_both_ways(ratings, dedupe, part_items, tasks))
+    pairs = with_similarity(_both_ways(_best_pairs(ratings, k, dedupe, part_items, tasks)))
     return top_per_key(
         pairs.select(F.col("product1").alias("productId"), F.col("product2").alias("rid"), "r"),
         "productId",

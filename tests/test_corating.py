@@ -1,7 +1,10 @@
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +75,40 @@ def test_steps_of_any_size(spark, ratings_of, monkeypatch, limit):
         assert got == brute_force(rows, 3, dedupe)[0]
 
 
+def tiled(monkeypatch):
+    """Has lists of similar items made by tiles, which a call with a path of its own would not."""
+    seen = []
+    real = corating._tiles
+    monkeypatch.setattr(corating, "_tiles", lambda *a: (seen.append(a[-1]), real(*a))[1])
+    return seen
+
+
+@pytest.mark.parametrize("dedupe", [True, False])
+@pytest.mark.parametrize("block_entries, limit", [(1000, 1000), (100, 1), (300, 50)])
+def test_tiles_equal_brute_force(spark, ratings_of, monkeypatch, dedupe, block_entries, limit):
+    monkeypatch.setattr(corating, "BLOCK_ENTRIES", block_entries)
+    monkeypatch.setattr(corating, "PAIRS_AT_ONCE", limit)
+    monkeypatch.setattr(corating, "BATCH_ROWS", 7)
+    seen = tiled(monkeypatch)
+    rows = [(u - 5, i * 10**15 - 3) for u, i in skewed(block_entries, users=300, items=200, n=3000)]
+    ratings = ratings_of([(u, i, 1.0, 0) for u, i in rows] + [(None, 1, 1.0, 0), (1, None, 1.0, 0)])
+    got = ranked(corating.similar_by_co_rating(ratings, 3, dedupe, tasks=4))
+    assert got == brute_force(rows, 3, dedupe)[0]
+    assert len(seen) == 1 and seen[0] >= 3
+
+
+def test_different_pairs_stay_in_their_task(spark, ratings_of, monkeypatch):
+    """Baskets of forty among four thousand items: nearly every pair occurs once, and few leave a task."""
+    seen = tiled(monkeypatch)
+    rng = random.Random(3)
+    rows = [(u, rng.randrange(4000)) for u in range(1500) for _ in range(40)]
+    ratings = ratings_of([(u, i, 1.0, 0) for u, i in rows])
+    best, pairs = brute_force(rows, 5, True)
+    assert ranked(corating.similar_by_co_rating(ratings, 5)) == best
+    handed_on = corating._best_pairs(ratings, 5, True, None, None).count()
+    assert seen and handed_on < 0.2 * len(pairs) / 2
+
+
 def test_few_users_are_listed(spark, ratings_of, monkeypatch):
     """A list of users cut in parts that may hold only two of them: the others keep whole baskets."""
     monkeypatch.setattr(corating, "MOST_HEAVY", 2)
@@ -111,6 +148,33 @@ def test_fewer_rows_are_shuffled_than_pairs_counted(spark):
     assert distinct / 2 <= shuffled < 0.42 * emitted
 
 
+@pytest.mark.parametrize("size, rows", [(60, 6_000), (2, 3_000_000)])
+def test_memory_of_a_task_is_bounded(size, rows):
+    """Ten million pairs in baskets of sixty items, and baskets of two items, which have few pairs for their size."""
+    entry = pa.struct([("item", pa.int64()), ("raters", pa.int64()), ("w", pa.int64())])
+
+    def batches():
+        for start in range(0, rows, 10_000):
+            n = min(10_000, rows - start)
+            flat = np.arange(n * size) % 977
+            entries = pa.StructArray.from_arrays([pa.array(flat)] + [pa.array(np.ones(len(flat), np.int64))] * 2, fields=list(entry))
+            left = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * size), entries)
+            right = pa.ListArray.from_arrays(pa.array(np.zeros(n + 1, np.int32)), entries.slice(0, 0))
+            yield pa.RecordBatch.from_arrays([left, right], ["l", "r"])
+
+    held, total = 0, 0
+    tracemalloc.start()
+    try:
+        for batch in corating.partial_counts(False, corating.PAIRS_AT_ONCE)(batches()):
+            held = max(held, pa.total_allocated_bytes())
+            total += sum(batch.column("common").to_pylist())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert total == rows * size * (size - 1) // 2
+    assert peak + held < 250e6
+
+
 def test_golden(spark, ratings_of):
     ratings = ratings_of([(u, i, 1.0, 0) for u, i in [(1, 10), (1, 20), (2, 10), (2, 20), (3, 10)]])
     assert ranked(corating.similar_by_co_rating(ratings)) == {
