@@ -26,21 +26,22 @@ def parsed(c: Column, type_name: str, strict: bool = True) -> Column:
 
 def java_string_hash(c: Column) -> Column:
     """The 32-bit string hash used for user ids: h = 31*h + unit over UTF-16 code units."""
-    units = F.hex(F.encode(c, "UTF-16BE"))
-    n_units = (F.length(units) / 4).cast("int")
-    starts = F.when(n_units > 0, F.sequence(F.lit(0), n_units - 1)).otherwise(
-        F.array().cast("array<int>")
-    )
-    two32 = F.lit(1 << 32)
-    unsigned = F.aggregate(
-        starts,
-        F.lit(0).cast("bigint"),
-        lambda h, i: F.pmod(
-            h * 31 + F.conv(F.substr(units, i * 4 + 1, F.lit(4)), 16, 10).cast("bigint"), two32
-        ),
-    )
-    signed = F.when(unsigned >= (1 << 31), unsigned - two32).otherwise(unsigned)
-    return F.when(c.isNotNull(), signed.cast("int"))
+    two31, two32 = F.lit(1 << 31), F.lit(1 << 32)
+
+    def hashed(units: Column) -> Column:
+        n_units = (F.length(units) / 4).cast("int")
+        starts = F.when(n_units > 0, F.sequence(F.lit(0), n_units - 1)).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(
+            starts,
+            F.lit(0).cast("bigint"),
+            lambda h, i: F.pmod(
+                h * 31 + F.conv(F.substr(units, i * 4 + 1, F.lit(4)), 16, 10).cast("bigint"), two32
+            ),
+        )
+
+    # bound as a lambda variable, or the text would be encoded anew for every unit
+    unsigned = F.get(F.transform(F.array(F.hex(F.encode(c, "UTF-16BE"))), hashed), F.lit(0))
+    return F.when(c.isNotNull(), (F.pmod(unsigned + two31, two32) - two31).cast("int"))
 
 
 def redecode_utf8(c: Column) -> Column:

@@ -28,6 +28,11 @@ def test_string_hash_known_values(spark):
     assert value(spark, sc.java_string_hash(F.lit(None).cast("string"))) is None
 
 
+def test_string_hash_encodes_a_text_once(spark):
+    df = spark.range(2).select(sc.java_string_hash(F.col("id").cast("string")).alias("v"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("UTF-16BE") == 1
+
+
 @pytest.mark.parametrize(
     "seconds, month", [(1260759144, 200912), (0, 197001), (-1, 196912), (1704067199, 202312), (1704067200, 202401)]
 )
