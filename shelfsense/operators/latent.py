@@ -65,21 +65,25 @@ def user_residuals(ratings: DataFrame, model: ALSModel, regularisation: float =
 
     Users are solved last in training, so x of a user with ratings s of products with factors v satisfies
     sum (s - x.v) v = regularisation * n * x. ``residual`` is the largest component of the difference, ``scale`` the
-    largest of sum |s| |v|. Sums are reduced by component before the shuffle, so a user may have any share of the rows.
+    largest of sum |s| |v|. A rating is one row, whose components are added up side by side before the shuffle, so a
+    user may have any share of the rows.
     """
     users, items = factors(model.userFactors).toDF("userId", "x"), factors(model.itemFactors).toDF("productId", "v")
     error = F.col("score") - dot(F.col("x"), F.col("v"))
-    parts = ratings.join(users, "userId").join(items, "productId").select(
-        "userId", "x", error.alias("e"), "score", F.posexplode("v").alias("at", "c")
-    )
-    sums = parts.groupBy("userId", "at").agg(
+    rows = ratings.join(users, "userId").join(items, "productId").select("userId", error.alias("e"), "score", "v")
+    at = range(model.rank)
+    sums = rows.groupBy("userId").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("e") * F.col("c")).alias("pulled"),
-        F.sum(F.abs(F.col("score") * F.col("c"))).alias("scale"),
-        F.any_value(F.get("x", F.col("at"))).alias("x"),
+        *[F.sum(F.col("e") * F.get("v", F.lit(i))).alias(f"pulled{i}") for i in at],
+        *[F.sum(F.abs(F.col("score") * F.get("v", F.lit(i)))).alias(f"scale{i}") for i in at],
+    )
+    off = [F.abs(F.col(f"pulled{i}") - regularisation * F.col("n") * F.get("x", F.lit(i))) for i in at]
+    return sums.join(users, "userId").select(
+        "userId",
+        "n",
+        F.array_max(F.array(*off)).alias("residual"),
+        F.array_max(F.array(*[f"scale{i}" for i in at])).alias("scale"),
     )
-    off = F.abs(F.col("pulled") - regularisation * F.col("n") * F.col("x"))
-    return sums.groupBy("userId").agg(F.max("n").alias("n"), F.max(off).alias("residual"), F.max("scale").alias("scale"))
 
 
 def factors(df: DataFrame, id_col: str = "id", vec_col: str = "features") -> DataFrame:

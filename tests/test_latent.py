@@ -122,3 +122,25 @@ def test_als_lists_equal_the_built_in_ones(spark, ratings_of):
 def test_als_takes_the_newest_of_repeated_ratings(spark, ratings_of):
     rows = latent.newest_per_pair(ratings_of([(1, 2, 5.0, 1), (1, 2, 3.0, 9), (1, 3, 4.0, 0)])).collect()
     assert sorted(tuple(r) for r in rows) == [(1, 2, 3.0), (1, 3, 4.0)]
+
+
+def test_residuals_by_hand(spark, ratings_of):
+    rng = np.random.default_rng(8)
+    rows = [(int(u), int(i), float(s), 0) for u, i, s in zip(
+        rng.integers(0, 9, 300), rng.integers(0, 40, 300), rng.normal(1, 3, 300))]
+    ratings = latent.newest_per_pair(ratings_of(rows))
+    model = latent.fit_als(ratings, rank=4, dedupe=False)
+    x = {r.id: np.array(r.features) for r in model.userFactors.collect()}
+    v = {r.id: np.array(r.features) for r in model.itemFactors.collect()}
+    found = latent.user_residuals(ratings, model, 0.5)
+    # a rating stays one row: none a component
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    own = defaultdict(list)
+    for r in ratings.collect():
+        own[r.userId].append((r.score, v[r.productId]))
+    got = {r.userId: (r.n, r.residual, r.scale) for r in found.collect()}
+    assert set(got) == set(own)
+    for user, rated in own.items():
+        pulled = sum((s - x[user] @ w) * w for s, w in rated) - 0.5 * len(rated) * x[user]
+        scale = sum(abs(s * w) for s, w in rated)
+        assert got[user] == (len(rated), pytest.approx(abs(pulled).max()), pytest.approx(scale.max()))
