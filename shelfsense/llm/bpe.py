@@ -9,6 +9,9 @@ the rest of that text is encoded in one piece, which is what a sequential reader
 
 Token ids are kept packed: little-endian unsigned 32-bit integers in one binary value. Null texts count
 as empty and have no ids; repeated rows give repeated results; other columns are not looked at.
+
+Besides the Arrow batch it was handed, a Python worker holds the results of a slice of that batch
+(``SLICE``) and, while an encoding task lasts, its memo of pre-tokens (``MEMO``, ``LONGEST``).
 """
 
 from __future__ import annotations
@@ -17,9 +20,11 @@ import base64
 import heapq
 import struct
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,8 +34,12 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 #: Code points that a match's end must lie before the end of a chunk to be sure of it: the next
 #: characters, as far as any alternative of the pattern looks, are then visible.
 LOOKAHEAD = 4
-#: Distinct pre-tokens a Python worker remembers, once or twice.
+#: Distinct pre-tokens an encoding task remembers, once or twice.
 MEMO = 250_000
+#: Code points of the longest pre-token it remembers; longer ones hardly recur and are encoded anew.
+LONGEST = 64
+#: Bytes of texts or ids whose results are built before they leave the worker; one row may have more.
+SLICE = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -99,6 +108,8 @@ class _Memo(dict):
         packed = self.older.get(piece)
         if packed is None:
             packed = struct.pack(f"<{len(ids := merge(piece.encode(), self.ranks))}I", *ids)
+        if len(piece) > LONGEST:
+            return packed
         if len(self) >= MEMO:
             self.older = dict(self)
             self.clear()
@@ -106,20 +117,17 @@ class _Memo(dict):
         return packed
 
 
-_MEMOS: dict[int, _Memo] = {}
-
-
-def _memo(shared) -> _Memo:
-    """The worker's memo for a broadcast of ranks; kept from task to task."""
-    if shared.value["id"] not in _MEMOS:
-        _MEMOS.clear()
-        _MEMOS[shared.value["id"]] = _Memo(shared.value["ranks"])
-    return _MEMOS[shared.value["id"]]
+def _share(spark, path: str):
+    return spark.sparkContext.broadcast(read_ranks(path))
 
 
-def _share(spark, path: str):
-    ranks = read_ranks(path)
-    return spark.sparkContext.broadcast({"id": hash(tuple(ranks.items())), "ranks": ranks})
+def _slices(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in order, cut so that no more than the last row of a slice leads beyond SLICE bytes of column ``at``."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        begins = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // SLICE, prepend=-1)).tolist()
+        for begin, end in pairwise([*begins, batch.num_rows]):
+            yield batch.slice(begin, end - begin)
 
 
 def _encoder(shared, pattern: str, names: list[str], sized: bool = False):
@@ -129,9 +137,9 @@ def _encoder(shared, pattern: str, names: list[str], sized: bool = False):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, compiled = _memo(shared), regex.compile(pattern)
-        look = memo.__getitem__
-        for batch in batches:
+        # not kept from task to task: the pool's workers encode and decode by turns, and each would hold a full one
+        look, compiled = _Memo(shared.value).__getitem__, regex.compile(pattern)
+        for batch in _slices(batches, len(names)):
             texts = batch.column(len(names))
             if sized:
                 packed = [
@@ -180,7 +188,7 @@ def _zones(pattern: str, overlap: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = regex.compile(pattern).finditer
-        for batch in batches:
+        for batch in _slices(batches, 4):
             heads, tails = [], []
             for start, body in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), strict=True):
                 sure = len(body) - LOOKAHEAD
@@ -283,8 +291,8 @@ def encode(
 
 def _decoder(shared, at: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = {rank: token for token, rank in shared.value["ranks"].items()}.__getitem__
-        for batch in batches:
+        tokens = {rank: token for token, rank in shared.value.items()}.__getitem__
+        for batch in _slices(batches, at):
             found = [
                 None if x is None else b"".join(map(tokens, np.frombuffer(x, "<u4").tolist()))
                 for x in batch.column(at).to_pylist()
