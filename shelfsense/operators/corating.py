@@ -9,25 +9,26 @@ The basket of a heavy user is cut into parts of about ``PART_ITEMS`` items, and
 which any task may take: neither the items nor the pairs of one user meet in one task.
 
 Where only the best k of an item are asked for and nearly all pairs are different, so that partial counts save nothing,
-items are dealt to blocks instead. A *tile*, which one task counts, is what the baskets hold of two blocks, so that
-counts are whole there, and only pairs among the best k of either item leave it.
+items are dealt to blocks instead. A *tile*, which one task counts, is a block with all baskets that hold items of it, so
+that counts are whole there, and only the best k of its items leave it. Baskets are stored, and go out to the tiles of
+some blocks at a time, so that the disk holds a few copies of the entries, however many the tiles ask for.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsense.functions.vectors import co_rating_similarity
 from shelfsense.operators.ranking import top_per_key
 from shelfsense.operators.strips import spans
-from shelfsense.shared import settled
+from shelfsense.shared import settled, settled_alone
 
 #: Items that a part of a basket holds about; users whose baskets are cut at most, which bounds the list of them.
 PART_ITEMS, MOST_HEAVY = 1024, 100_000
@@ -36,9 +37,17 @@ PART_ITEMS, MOST_HEAVY = 1024, 100_000
 PAIRS_AT_ONCE, PAIRS_PER_TASK = 1_000_000, 20_000_000
 #: Tasks for counting at most, whatever the number of pairs.
 MOST_TASKS = 100_000
-#: Entries that a block of items holds about; a task holds two blocks. Candidates are handed on in batches of so many.
-BLOCK_ENTRIES, BATCH_ROWS = 3_000_000, 65_536
+#: Entries of baskets that a tile holds about; rows of lists that are handed on at a time.
+BLOCK_ENTRIES, BATCH_ROWS = 8_000_000, 65_536
+#: Entries that are shuffled in a pass at most: so many, or so many times the entries of all baskets if that is more.
+PASS_ENTRIES, PASS_SHARE = 100_000_000, 4
+#: Items of a basket from which it is cut for tiles; entries that a row of packed baskets holds about.
+PIECE_ITEMS, ENTRIES_PER_ROW = 16_384, 1_000_000
 PARTIAL_SCHEMA = "product1 bigint, product2 bigint, common bigint, nor1 bigint, nor2 bigint"
+#: Many baskets in a row: items that own pairs, by basket, and their partners, where these are others. Sizes of the
+#: baskets, then for each entry the item, its raters, and its times (null: once), as ``_bytes``.
+BASKET_COLUMNS = ("own_n", "own", "own_raters", "own_w", "n", "item", "raters", "w")
+BASKETS = ", ".join(f"{c} binary" for c in BASKET_COLUMNS)
 
 
 def _flat(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -165,6 +174,13 @@ def _incidence(ratings: DataFrame, dedupe: bool) -> DataFrame:
     return pairs.agg(F.count(F.lit(1)).alias("w"))
 
 
+def _listed(sizes: DataFrame, in_heavy: float, part_items: int) -> DataFrame:
+    """(userId, parts) of the users whose baskets are cut, at most ``MOST_HEAVY``."""
+    # a listed user holds more than one in MOST_HEAVY of the items of all heavy users, so that they are at most so many
+    least = max(part_items, -(-in_heavy // MOST_HEAVY))
+    return sizes.where(F.col("n") > least).select("userId", F.ceil(F.col("n") / part_items).cast("int").alias("parts"))
+
+
 def _baskets(incidence: DataFrame, part_items: int, tasks: int | None) -> DataFrame:
     """(l, r): a row for the basket of a user, or for every pair of its parts where it has several."""
     raters = incidence.groupBy("item").agg(F.sum("w").alias("raters"))
@@ -173,9 +189,7 @@ def _baskets(incidence: DataFrame, part_items: int, tasks: int | None) -> DataFr
     known = sizes.agg(
         F.sum(n * (n - 1) / 2).alias("pairs"), F.sum(F.when(F.col("n") > part_items, F.col("n"))).alias("in_heavy")
     ).first()
-    # a listed user holds more than one in MOST_HEAVY of the items of all heavy users, so that they are at most so many
-    least = max(part_items, -(-(known["in_heavy"] or 0) // MOST_HEAVY))
-    listed = sizes.where(F.col("n") > least).select("userId", F.ceil(F.col("n") / part_items).cast("int").alias("parts"))
+    listed = _listed(sizes, known["in_heavy"] or 0, part_items)
     if tasks is None:
         cores = incidence.sparkSession.sparkContext.defaultParallelism
         tasks = min(MOST_TASKS, max(cores, math.ceil((known["pairs"] or 0) / PAIRS_PER_TASK)))
@@ -228,189 +242,358 @@ def _added(key: np.ndarray, times: np.ndarray | None) -> tuple[np.ndarray, np.nd
 
 
 def _among_best(item: np.ndarray, other: np.ndarray, r: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the ``k`` rows of highest ``r`` per item, equal ones by ascending ``other``."""
-    order = np.lexsort((other, -r, item))
+    """Positions of the ``k`` rows of highest ``r`` per item, equal ones by ascending ``other``; items are together."""
+    starts = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]]))
+    sizes = np.diff(np.append(starts, len(item)))
+    # k stretches of an item hold k different rows, so the least of their best is not above its k-th best
+    n = np.where(sizes >= k, k, 1)
+    at = np.cumsum(n) - n
+    nth = np.arange(int(n.sum())) - np.repeat(at, n)
+    bests = np.maximum.reduceat(r, np.repeat(starts, n) + nth * np.repeat(sizes, n) // np.repeat(n, n))
+    bound = np.where(sizes >= k, np.minimum.reduceat(bests, at), -np.inf)
+    some = np.flatnonzero(r >= np.repeat(bound, sizes))
+    order = some[np.lexsort((other[some], -r[some], item[some]))]
     item = item[order]
-    starts = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]])) if len(item) else np.zeros(0, np.int64)
+    starts = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]]))
     rank = np.arange(len(item)) - np.repeat(starts, np.diff(np.append(starts, len(item))))
     return order[rank < k]
 
 
-class _Candidates:
-    """Pairs (positions a, b among the items of a tile) that may be among the best ``k`` of a or of b."""
-
-    def __init__(self, raters: np.ndarray, k: int, limit: int):
-        self.raters, self.k = raters.astype(np.float64), k
-        self.floor = np.full(len(raters), -np.inf)
-        self.most = max(limit, 4 * k * len(raters))
-        self.held: list[tuple[np.ndarray, ...]] = []
-        self.n = 0
-
-    def offer(self, a: np.ndarray, b: np.ndarray, common: np.ndarray) -> None:
-        """All pairs of the items in ``a``, which ascends, with those of the other block."""
-        r = common / np.sqrt(self.raters[a] * self.raters[b])
-        # the k-th of an item's different values bounds its k-th best, so that few rows need to be sorted
-        starts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
-        sizes, rest = np.diff(np.append(starts, len(a))), r.copy()
-        for _ in range(self.k):
-            bound = np.repeat(np.maximum.reduceat(rest, starts), sizes)
-            rest[rest == bound] = -np.inf
-        some = np.flatnonzero(r >= bound)
-        keep = r >= self.floor[b]
-        keep[some[_among_best(a[some], b[some], r[some], self.k)]] = True
-        self.held.append((a[keep].astype(np.int32), b[keep].astype(np.int32), common[keep], r[keep]))
-        self.n += len(self.held[-1][0])
-        if self.n > self.most:
-            self.best()
-
-    def best(self) -> tuple[np.ndarray, ...]:
-        a, b, common, r = (np.concatenate(x) for x in zip(*self.held, strict=True))
-        item, other, both = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([r, r])
-        top = _among_best(item, other, both, self.k)
-        # who holds k already takes none below the least of them
-        found, starts, n = np.unique(item[top], return_index=True, return_counts=True)
-        full = n == self.k
-        self.floor[found[full]] = both[top][starts[full] + self.k - 1]
-        keep = np.zeros(len(a), bool)
-        keep[top % len(a)] = True
-        self.held = [(a[keep], b[keep], common[keep], r[keep])]
-        self.n = int(keep.sum())
-        return self.held[0]
-
-
-def best_of_tile(k: int, limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Arrow batches of one tile -> its pairs, smaller item first, that are among the best ``k`` of either item.
-
-    A row lists what a basket holds of the two blocks, ``l`` and ``r`` with times ``lw`` and ``rw`` (null: once); in a
-    tile of one block ``r`` is null. Rows with ``raters`` list the items of the blocks in ``l``. At most ``limit`` pairs
-    are spread out at a time.
+def _bytes(a: np.ndarray) -> bytes:
+    """Numbers from zero up, in as few bytes each as the largest needs."""
+    kind = np.min_scalar_type(a.max()) if len(a) else np.dtype(np.uint8)
+    return bytes([kind.itemsize]) + a.astype(kind).tobytes()
+
+
+def _numbers(cell: pa.Scalar) -> np.ndarray | None:
+    held = cell.as_buffer()
+    return None if held is None else np.frombuffer(held, f"u{held[0]}", offset=1)
+
+
+def _mixed(offsets: np.ndarray) -> np.ndarray:
+    """Hashes of 64 bits (splitmix), the same in every task."""
+    x = offsets.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _dealt(hashes: np.ndarray, n: int) -> np.ndarray:
+    """A number below ``n`` from the upper half of each hash."""
+    return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+
+
+def _baskets_of(row: dict[str, pa.Scalar]) -> list[np.ndarray | None]:
+    """The columns of ``BASKETS``; partners that are not given are the owners."""
+    columns = [_numbers(row[c]) for c in BASKET_COLUMNS]
+    return columns if columns[4] is not None else columns[:4] * 2
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, pa.Scalar]]:
+    for batch in batches:
+        for i in range(len(batch)):
+            yield {c: batch.column(c)[i] for c in batch.schema.names}
+
+
+def _batch(rows: list[list[bytes | None]], **others: pa.Array) -> pa.RecordBatch:
+    columns = [pa.array(c, pa.binary()) for c in zip(*rows, strict=True)]
+    return pa.RecordBatch.from_arrays([*others.values(), *columns], [*others, *BASKET_COLUMNS])
+
+
+def packed_baskets(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of ``_pieces`` that Spark dealt out by user and piece -> rows of ``BASKETS``, each with many baskets.
+
+    Items are numbers from ``least`` up. Baskets of one item are left out, as they have no pairs.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, raters = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        sides = {c: ([], [], []) for c in "lr"}  # items, times, sizes of rows
-        alone = False
-        for batch in batches:
-            marks = pc.is_valid(batch["raters"])
-            if pc.any(marks).as_py():
-                named = batch.filter(marks)
-                known.append(named["l"].flatten().to_numpy())
-                raters.append(named["raters"].flatten().to_numpy())
-                batch = batch.filter(pc.invert(marks))
-            if not len(batch):
+        held = [batch for batch in batches if len(batch)]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        del held
+        user = table["userId"].combine_chunks().dictionary_encode()
+        user = (user.combine_chunks() if isinstance(user, pa.ChunkedArray) else user).indices.to_numpy()
+        piece, item, raters = (table[c].to_numpy() for c in ("piece", "item", "raters"))
+        times = table["w"].to_numpy() if "w" in table.column_names else None
+        offset = item.astype(np.int64).view(np.uint64) - np.array(least, np.int64).view(np.uint64)
+        del table, item
+
+        def rows(some: np.ndarray, key: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray | None]]:
+            order = some[np.lexsort([x[some] for x in key])]
+            change = np.zeros(len(order), bool)
+            change[:1] = True
+            for x in key:
+                change[1:] |= x[order][1:] != x[order][:-1]
+            sizes = np.diff(np.append(np.flatnonzero(change), len(order)))
+            return order[change], [sizes, offset[order], raters[order], None if times is None else times[order]]
+
+        def blobs(columns: list[np.ndarray | None]) -> list[bytes | None]:
+            return [None if c is None else _bytes(c) for c in columns]
+
+        _, (sizes, *columns) = rows(np.flatnonzero(piece < 0), [user])
+        pairs = sizes > 1
+        if pairs.any():
+            keep = np.repeat(pairs, sizes)
+            columns = [None if c is None else c[keep] for c in columns]
+            yield _batch([blobs([sizes[pairs], *columns]) + [None] * 4])
+        if (piece >= 0).any():
+            of = piece >> 1  # the lowest bit tells partners
+            owned, owners = rows(np.flatnonzero((piece >= 0) & (piece & 1 == 0)), [of, user])
+            asked, partners = rows(np.flatnonzero((piece >= 0) & (piece & 1 == 1)), [of, user])
+            # a piece without owners or without partners has no pairs
+            both = [
+                np.isin((user[x].astype(np.int64) << 32) | of[x], (user[y].astype(np.int64) << 32) | of[y])
+                for x, y in ((owned, asked), (asked, owned))
+            ]
+            found = []
+            for (sizes, *columns), fine in zip((owners, partners), both, strict=True):
+                keep = np.repeat(fine, sizes)
+                found += [sizes[fine], *(None if c is None else c[keep] for c in columns)]
+            if len(found[0]):
+                yield _batch([blobs(found)])
+
+    return run
+
+
+def work_by_block(blocks: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of ``BASKETS`` -> (block, pairs): what the owners of each block will be counted with."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = np.zeros(blocks)
+        for row in _rows(batches):
+            own_n, own, _, _, n, *_ = _baskets_of(row)
+            work += np.bincount(_dealt(_mixed(own), blocks), np.repeat(n, own_n), blocks)
+        block = np.flatnonzero(work)
+        yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(work[block].astype(np.int64))], ["block", "pairs"])
+
+    return run
+
+
+def dealt_to_tiles(
+    blocks: int, first: np.ndarray, low: int, high: int, limit: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of ``BASKETS`` -> such rows for the tiles from ``low`` to before ``high``, about ``limit`` entries at a time.
+
+    Block b has the tiles from ``first[b]`` to before ``first[b + 1]``, among which partners are shared out.
+    """
+    from_block, to_block = int(np.searchsorted(first, low, "right")) - 1, int(np.searchsorted(first, high))
+    ways = np.diff(first)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            own_n, own, own_raters, own_times, n, item, raters, times = _baskets_of(row)
+            own_n, n = own_n.astype(np.int64), n.astype(np.int64)
+            begins = np.cumsum(n) - n
+            block = _dealt(_mixed(own), blocks)
+            at = np.flatnonzero((block >= from_block) & (block < to_block))
+            block = block[at]
+            order = np.argsort((block - from_block).astype(np.min_scalar_type(to_block - from_block)), kind="stable")
+            at, block = at[order], block[order]
+            basket = np.repeat(np.arange(len(own_n)), own_n)[at]
+            # a hit is a basket with items of a block; its owners stay together
+            hit = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (basket[1:] != basket[:-1])]))
+            if not len(at):
                 continue
-            alone = alone or batch["r"].null_count > 0
-            for c, (items, times, sizes) in sides.items():
-                items.append(batch[c].flatten().to_numpy())
-                sizes.append(pc.fill_null(pc.list_value_length(batch[c]), 0).to_numpy())
-                if batch[f"{c}w"].null_count < len(batch):
-                    times.append(batch[f"{c}w"].flatten().to_numpy())
-        if not sides["l"][0]:
+            hit_n, hit_block, hit_basket = np.diff(np.append(hit, len(at))), block[hit], basket[hit]
+            for some in _steps(n[hit_basket], limit):
+                entry, of = spans(begins[hit_basket[some]], n[hit_basket[some]])
+                entry += some.start
+                tile = first[hit_block[entry]]
+                parts = ways[hit_block[some]]
+                if (parts > 1).any():
+                    share = (_mixed(item[of]) & np.uint64(0xFFFFFFFF)) * ways[hit_block[entry]].astype(np.uint64)
+                    tile = tile + (share >> np.uint64(32)).astype(np.int64)
+                    order = np.argsort(tile, kind="stable")
+                    order = order[(tile[order] >= low) & (tile[order] < high)]
+                    entry, of, tile = entry[order], of[order], tile[order]
+                    if not len(tile):
+                        continue
+                start = np.flatnonzero(np.concatenate([[True], (tile[1:] != tile[:-1]) | (entry[1:] != entry[:-1])]))
+                whose = entry[start]
+                _, owner = spans(hit[whose], hit_n[whose])
+                owner = at[owner]
+                sizes = np.diff(np.append(start, len(tile)))
+                owner_end = np.append(0, np.cumsum(hit_n[whose]))
+                tiles = np.flatnonzero(np.concatenate([[True], tile[start][1:] != tile[start][:-1]]))
+                found = []
+                for a, b in zip(tiles, np.append(tiles[1:], len(start)), strict=True):
+                    mine = owner[owner_end[a] : owner_end[b]]
+                    theirs = of[start[a] : start[b] if b < len(start) else len(of)]
+                    found.append(
+                        [_bytes(hit_n[whose[a:b]]), _bytes(own[mine]), _bytes(own_raters[mine])]
+                        + [None if own_times is None else _bytes(own_times[mine])]
+                        + [_bytes(sizes[a:b]), _bytes(item[theirs]), _bytes(raters[theirs])]
+                        + [None if times is None else _bytes(times[theirs])]
+                    )
+                yield _batch(found, tile=pa.array((tile[start[tiles]] - low).astype(np.int32)))
+
+    return run
+
+
+def best_of_tile(k: int, limit: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of ``BASKETS`` of one tile -> the best ``k`` partners of every owner, whose counts are whole there.
+
+    About ``limit`` pairs are spread out at a time. Items are numbers from ``least`` up.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [_baskets_of(row) for row in _rows(batches)]
+        if not held:
             return
-        known, raters = np.concatenate(known), np.concatenate(raters)
-        order = np.argsort(known)
-        known, raters = known[order], raters[order]
-
-        def side(c: str) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
-            items, times, sizes = sides.pop(c)
-            places = np.concatenate([np.searchsorted(known, x).astype(np.int32) for x in items])
-            return places, np.concatenate(times) if times else None, np.concatenate(sizes).astype(np.int64)
-
-        left, left_times, n_left = side("l")
-        right, right_times, n_right = (left, left_times, n_left) if alone else side("r")
-        right_at = np.cumsum(n_right) - n_right
-        row = np.repeat(np.arange(len(n_left), dtype=np.int32), n_left)
-        order = np.argsort(left, kind="stable")
-        left, row = left[order], row[order]
-        if left_times is not None:
-            left_times = left_times[order]
-        n_pairs = n_right[row]
-        starts = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1]]))
-        ends = np.append(starts[1:], len(left))
-        candidates = _Candidates(raters, k, limit)
+        weighted = held[0][3] is not None
+        own_n, own, own_raters, own_times, n, item, raters, times = (
+            None if c[0] is None else np.concatenate(c) for c in zip(*held, strict=True)
+        )
+        del held
+        # a pair is one number: the owner's among those of a step, then the partner and its raters
+        rater_bits = int(max(own_raters.max(), raters.max())).bit_length()
+        bits = int(max(own.max(), item.max())).bit_length() + rater_bits
+        if bits + int(limit).bit_length() <= 64:
+            shift, mask = np.uint64(rater_bits), np.uint64((1 << rater_bits) - 1)
+            kind = np.uint32 if bits <= 32 else np.uint64
+            codes = (item.astype(kind) << kind(rater_bits)) | raters.astype(kind)
+            own = (own.astype(np.uint64) << shift) | own_raters
+
+            def decoded(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                return code >> shift, (code & mask).astype(np.int64)
+
+        else:  # ids too far apart: numbered within the tile
+            known, places = np.unique(np.concatenate([own, item]).astype(np.uint64), return_inverse=True)
+            of = np.empty(len(known), np.int64)
+            of[places] = np.concatenate([own_raters, raters])
+            own, codes = places[: len(own)].astype(np.uint64), places[len(own) :].astype(np.uint64)
+            bits = len(known).bit_length()
+
+            def decoded(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                return known[code], of[code]
+
+        del item, raters, own_raters
+        own_n, n = own_n.astype(np.int64), n.astype(np.int64)
+        basket = np.repeat(np.arange(len(own_n)), own_n)
+        order = np.argsort(own, kind="stable")
+        own, basket = own[order], basket[order]
+        begins, n_pairs = (np.cumsum(n) - n)[basket], n[basket]
+        if weighted:
+            own_times, times = own_times[order].astype(np.int64), times.astype(np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        ends = np.append(starts[1:], len(own))
+        nth = np.repeat(np.arange(len(starts)), ends - starts)
+        waiting, n_waiting = [], 0
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            columns = [pa.array(np.concatenate(c)) for c in zip(*waiting, strict=True)]
+            found = pa.RecordBatch.from_arrays(columns, ["product1", "product2", "common", "nor1", "nor2"])
+            for at in range(0, len(found), BATCH_ROWS):
+                yield found.slice(at, BATCH_ROWS)
+
         for some in _steps(np.add.reduceat(n_pairs, starts), limit):
-            first, key, common = starts[some.start], np.zeros(0, np.int64), np.zeros(0, np.int64)
+            first, key, common = starts[some.start], np.zeros(0, np.uint64), np.zeros(0, np.int64)
             # several rounds only where one item alone has more pairs than the limit
             for part in _steps(n_pairs[first : ends[some.stop - 1]], limit):
                 entries = slice(first + part.start, first + part.stop)
-                entry, at = spans(right_at[row[entries]], n_pairs[entries])
-                a, b = left[entries][entry], right[at]
-                times = None if left_times is None else left_times[entries][entry] * right_times[at]
-                if alone:  # each pair once
-                    once = a < b
-                    a, b = a[once], b[once]
-                    times = None if times is None else times[once]
-                new, n = _added(a.astype(np.int64) * len(known) + b, times)
-                key, common = (new, n) if not len(key) else _added(np.append(key, new), np.append(common, n))
-            if len(key):
-                candidates.offer(*np.divmod(key, len(known)), common)
-        if not candidates.n:
-            return
-        a, b, common, _ = candidates.best()
-        a, b = np.minimum(a, b), np.maximum(a, b)
-        columns = [known[a], known[b], common, raters[a], raters[b]]
-        found = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["product1", "product2", "common", "nor1", "nor2"])
-        for at in range(0, len(found), BATCH_ROWS):
-            yield found.slice(at, BATCH_ROWS)
+                lengths = n_pairs[entries]
+                at = np.repeat(begins[entries] - (np.cumsum(lengths) - lengths), lengths)
+                at += np.arange(len(at))
+                new = np.repeat((nth[entries] - some.start).astype(np.uint64) << np.uint64(bits), lengths)
+                new |= codes[at]
+                new, new_times = _added(new, np.repeat(own_times[entries], lengths) * times[at] if weighted else None)
+                del at
+                if len(key):
+                    new, new_times = _added(np.append(key, new), np.append(common, new_times))
+                key, common = new, new_times
+            owner = (key >> np.uint64(bits)).astype(np.int64)
+            code = key & np.uint64((1 << bits) - 1)
+            mine = own[starts[some]][owner]
+            other = code != mine
+            if not other.any():
+                continue
+            owner, code, mine, common = owner[other], code[other], mine[other], common[other]
+            (one, nor1), (two, nor2) = decoded(mine), decoded(code)
+            top = _among_best(owner, code, common / np.sqrt(nor1.astype(np.float64) * nor2), k)
+            ids = [(x[top] + np.array(least, np.int64).view(np.uint64)).view(np.int64) for x in (one, two)]
+            waiting.append((*ids, common[top], nor1[top], nor2[top]))
+            n_waiting += len(top)
+            if n_waiting >= BATCH_ROWS:
+                yield from flushed()
+                waiting, n_waiting = [], 0
+        if waiting:
+            yield from flushed()
 
     return run
 
 
-def _tiles(incidence: DataFrame, raters: DataFrame, weighted: bool, blocks: int) -> DataFrame:
-    """Rows for ``best_of_tile``, each tile a partition: a basket meets only the tiles of two blocks it has items of."""
-    none = F.lit(None).cast("array<bigint>")
-    # another hash than that of the shuffles, which would deal a block's items to few of their partitions
-    dealt = F.pmod(F.xxhash64("item", F.lit("block")), F.lit(blocks)).cast("int").alias("block")
-    listed = F.collect_list("w") if weighted else F.first(none)
-    lists = (
-        incidence.select("userId", "item", "w", dealt)
-        .groupBy("userId", "block")
-        .agg(F.collect_list("item").alias("items"), listed.alias("times"))
-    )
-    lists = lists.repartition("userId")
-    low = lists.select("userId", F.col("block").alias("low"), F.col("items").alias("l"), F.col("times").alias("lw"))
-    high = lists.select("userId", F.col("block").alias("high"), F.col("items").alias("r"), F.col("times").alias("rw"))
-    tile = F.col("low") * blocks - F.expr("low * (low - 1) div 2").cast("int") + F.col("high") - F.col("low")
-    twice = F.col("low") < F.col("high")
-    baskets = low.join(high, "userId").where("low <= high").select(
-        tile.alias("tile"), "l", "lw", F.when(twice, F.col("r")).alias("r"), F.when(twice, F.col("rw")).alias("rw"),
-        none.alias("raters"),
-    )
-    chunk = F.pmod(F.xxhash64("item", F.lit("chunk")), F.lit(64))
-    names = (
-        raters.select(dealt, chunk.alias("chunk"), "item", "raters")
-        .groupBy("block", "chunk")
-        .agg(F.collect_list("item").alias("l"), F.collect_list("raters").alias("raters"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-        .select(tile.alias("tile"), "l", none.alias("lw"), none.alias("r"), none.alias("rw"), "raters")
+def _pieces(incidence: DataFrame, raters: DataFrame, listed: DataFrame, weighted: bool) -> DataFrame:
+    """(userId, piece, item, raters, w): whole baskets as piece -1, those of listed users as pieces.
+
+    A piece is a part whose items own the pairs and a part of their partners, its number doubled, and one more for them.
+    """
+    cut = incidence.join(raters, "item").join(F.broadcast(listed), "userId", "left")
+    cut = cut.withColumn("part", F.pmod(F.xxhash64("item"), F.coalesce("parts", F.lit(1))))
+    pieces = F.expr(
+        "CASE WHEN parts IS NULL THEN array(-1L) ELSE flatten(transform(sequence(0L, parts - 1L), other -> "
+        "array(2 * (part * parts + other), 2 * (other * parts + part) + 1))) END"
     )
-    dealt_out = baskets.unionByName(names).repartitionById(blocks * (blocks + 1) // 2, F.col("tile"))
-    return dealt_out.select("l", "lw", "r", "rw", "raters")
+    return cut.select("userId", F.explode(pieces).alias("piece"), "item", "raters", *(["w"] if weighted else []))
+
+
+def _tiles(pieces: DataFrame, rows: int, k: int, least: int, most: int, tasks: int, blocks: int) -> DataFrame:
+    """(product1, product2, common, nor1, nor2): the best ``k`` of every item, or of every tile of its block.
+
+    Baskets are stored packed. In each of several passes they are read, and what the tiles of some blocks need of them,
+    ``most`` entries at most, is shuffled; the files of that are gone before the next pass.
+    """
+    dealt = min(MOST_TASKS, max(tasks, math.ceil(rows / ENTRIES_PER_ROW)))
+    # owners and partners of a piece meet
+    together = pieces.repartition(dealt, "userId", F.shiftright("piece", 1))
+    baskets = settled_alone(together.mapInArrow(packed_baskets(least), BASKETS))
+    measured = baskets.mapInArrow(work_by_block(blocks), "block bigint, pairs bigint")
+    work = np.zeros(blocks, np.int64)
+    for row in measured.groupBy("block").agg(F.sum("pairs").alias("pairs")).collect():
+        work[row["block"]] = row["pairs"]
+    # a block is shared out where items of many raters give it far more than others have
+    ways = np.maximum(1, np.minimum(work // max(BLOCK_ENTRIES, int(work.sum()) // blocks), MOST_TASKS))
+    first = np.append(0, np.cumsum(ways))
+    passes = list(_steps(np.repeat(work // ways, ways), most))
+    lists = []
+    for some in passes:
+        tiles = baskets.mapInArrow(dealt_to_tiles(blocks, first, some.start, some.stop, PAIRS_AT_ONCE), f"tile int, {BASKETS}")
+        tiles = tiles.repartitionById(some.stop - some.start, F.col("tile"))
+        best = tiles.mapInArrow(best_of_tile(k, PAIRS_AT_ONCE, least), PARTIAL_SCHEMA)
+        lists.append(best if len(passes) == 1 else settled_alone(best))
+    return reduce(DataFrame.unionByName, lists)
 
 
 def _best_pairs(ratings: DataFrame, k: int, dedupe: bool, part_items: int | None, tasks: int | None) -> DataFrame:
-    """Partial counts of all pairs, or whole counts of those among the best ``k`` of a tile: whatever is fewer rows.
+    """Both ways, sums of partial counts of all pairs, or, where these would save nothing, the best ``k`` by tiles.
 
     ``part_items`` asks for partial counts of baskets in such parts.
     """
-    incidence = settled(_incidence(ratings, dedupe))
-    raters = incidence.groupBy("item").agg(F.sum("w").alias("raters"))
+    incidence = settled_alone(_incidence(ratings, dedupe))
     if part_items is None:
+        raters = settled_alone(incidence.groupBy("item").agg(F.sum("w").alias("raters")))
+        sizes = settled_alone(incidence.groupBy("userId").agg(F.count(F.lit(1)).alias("n")))
         n = F.col("n").cast("double")
-        sizes = incidence.groupBy("userId").agg(F.count(F.lit(1)).alias("n"))
-        known = sizes.agg(F.sum("n").alias("entries"), F.sum(n * (n - 1) / 2).alias("pairs")).first()
-        entries, pairs, n_items = known["entries"] or 0, known["pairs"] or 0, raters.count()
+        known = sizes.agg(
+            F.sum("n").alias("entries"),
+            F.sum(n * (n - 1) / 2).alias("pairs"),
+            F.sum(F.when(F.col("n") > PIECE_ITEMS, F.col("n"))).alias("in_heavy"),
+        ).first()
+        items = raters.agg(F.count(F.lit(1)).alias("n"), F.min("item").alias("least")).first()
+        entries, pairs = known["entries"] or 0, known["pairs"] or 0
         wanted = tasks or max(incidence.sparkSession.sparkContext.defaultParallelism, math.ceil(pairs / PAIRS_PER_TASK))
         wanted = min(MOST_TASKS, wanted)
-        blocks = max(math.ceil(math.sqrt(2 * wanted)), math.ceil(entries / BLOCK_ENTRIES))
         # a step hands on a pair of items once
-        if entries * blocks < min(pairs, n_items * n_items / 2 * (wanted + pairs / PAIRS_AT_ONCE)):
-            return _tiles(incidence, raters, not dedupe, blocks).mapInArrow(
-                best_of_tile(k, PAIRS_AT_ONCE), PARTIAL_SCHEMA
-            )
+        if 0 < pairs < items["n"] ** 2 / 2 * (wanted + pairs / PAIRS_AT_ONCE):
+            listed = _listed(sizes, known["in_heavy"] or 0, PIECE_ITEMS)
+            cut = sizes.join(F.broadcast(listed), "userId").agg(F.sum(2 * F.col("n") * F.col("parts")).alias("rows")).first()
+            pieces = _pieces(incidence, raters, listed, not dedupe)
+            # a tile holds the baskets of its items: pairs both ways, and every item with itself
+            blocks = min(MOST_TASKS, max(wanted, math.ceil((2 * pairs + entries) / BLOCK_ENTRIES)))
+            most = max(PASS_ENTRIES, PASS_SHARE * entries)
+            return _tiles(pieces, entries + (cut["rows"] or 0), k, items["least"], most, wanted, blocks)
     baskets = _baskets(incidence, part_items or PART_ITEMS, tasks)
-    return _summed(baskets.mapInArrow(partial_counts(not dedupe, PAIRS_AT_ONCE), PARTIAL_SCHEMA))
+    return _both_ways(_summed(baskets.mapInArrow(partial_counts(not dedupe, PAIRS_AT_ONCE), PARTIAL_SCHEMA)))
 
 
 def _summed(partial: DataFrame) -> DataFrame:
@@ -455,7 +638,7 @@ def similar_by_co_rating(
 
     ``dedupe`` counts a user once per item; without it every rating row counts, as do all row pairs.
     """
-    pairs = with_similarity(_both_ways(_best_pairs(ratings, k, dedupe, part_items, tasks)))
+    pairs = with_similarity(_best_pairs(ratings, k, dedupe, part_items, tasks))
     return top_per_key(
         pairs.select(F.col("product1").alias("productId"), F.col("product2").alias("rid"), "r"),
         "productId",

@@ -24,3 +24,10 @@ def settled(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def settled_alone(df: DataFrame) -> DataFrame:
+    """``settled``, and the shuffle files it was made from go at once, not when the driver happens to collect garbage."""
+    kept = settled(df)
+    df._jdf.queryExecution().toRdd().cleanShuffleDependencies(True)
+    return kept

@@ -109,6 +109,80 @@ def test_different_pairs_stay_in_their_task(spark, ratings_of, monkeypatch):
     assert seen and handed_on < 0.2 * len(pairs) / 2
 
 
+def shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = manager.getAllFiles()
+    return {files.apply(i).getName() for i in range(files.length()) if files.apply(i).getName().startswith("shuffle")}
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_more_blocks_than_items_in_a_basket(spark, ratings_of, monkeypatch, adaptive):
+    """Baskets of twelve among 400 items in over 30 blocks, by passes: lists leave a task, and no pass keeps its files."""
+    monkeypatch.setattr(corating, "BLOCK_ENTRIES", 1500)
+    monkeypatch.setattr(corating, "PASS_ENTRIES", 10_000, raising=False)
+    monkeypatch.setattr(corating, "PASS_SHARE", 1, raising=False)
+    rng = random.Random(8)
+    rows = [(u, rng.randrange(400)) for u in range(400) for _ in range(12)]
+    ratings = ratings_of([(u, i, 1.0, 0) for u, i in rows])
+    best, pairs = brute_force(rows, 5, True)
+    before = shuffle_files(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        best_pairs = corating._best_pairs(ratings, 5, True, None, None)
+        # what the sizes of the inputs were added up from is a few rows a query
+        left = shuffle_files(spark) - before
+        assert best_pairs.count() < 0.2 * len(pairs) / 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len({name.split("_")[1] for name in left}) <= 4
+    assert ranked(corating.similar_by_co_rating(ratings, 5)) == best
+
+
+@pytest.mark.parametrize("dedupe", [True, False])
+@pytest.mark.parametrize("passes", [1, 10**9])
+def test_baskets_in_pieces_equal_brute_force(spark, ratings_of, monkeypatch, dedupe, passes):
+    """Baskets cut for tiles, and a block of an item with many raters shared out, within a pass and over several."""
+    monkeypatch.setattr(corating, "PIECE_ITEMS", 5)
+    monkeypatch.setattr(corating, "BLOCK_ENTRIES", 1000)
+    monkeypatch.setattr(corating, "ENTRIES_PER_ROW", 700)
+    monkeypatch.setattr(corating, "PASS_ENTRIES", passes)
+    monkeypatch.setattr(corating, "PASS_SHARE", 2)
+    seen = tiled(monkeypatch)
+    rows = [(u, i - 100) for u, i in skewed(passes, users=200, items=150, n=2400)]
+    ratings = ratings_of([(u, i, 1.0, 0) for u, i in rows]).selectExpr("concat('u', userId) AS userId", "productId")
+    got = ranked(corating.similar_by_co_rating(ratings, 3, dedupe, tasks=4))
+    assert got == brute_force(rows, 3, dedupe)[0]
+    assert len(seen) == 1
+
+
+@pytest.mark.parametrize("apart", [1, 10**14])
+def test_memory_of_a_tile_is_bounded(apart):
+    """A tile of 200,000 baskets of forty items, of which one is of its block: eight million entries."""
+    baskets, size = 200_000, 40
+    n_items = 40_000
+    rng = np.random.default_rng(1)
+
+    def batches():
+        for _ in range(20):
+            item = rng.integers(0, n_items, (baskets // 20, size)).astype(np.uint64) * np.uint64(apart)
+            item[:, 0] = rng.integers(0, 300, len(item)).astype(np.uint64) * np.uint64(apart)
+            n, raters = np.full(len(item), size), np.full(len(item), 50)
+            columns = [np.ones(len(item), int), item[:, 0], raters, None, n, item.ravel(), np.full(item.size, 50), None]
+            yield corating._batch([[None if c is None else corating._bytes(c) for c in columns]])
+
+    held, found = 0, []
+    tracemalloc.start()
+    try:
+        for batch in corating.best_of_tile(5, corating.PAIRS_AT_ONCE, 0)(batches()):
+            held = max(held, pa.total_allocated_bytes())
+            found.append(batch.num_rows)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(found) == 300 * 5
+    assert peak + held < (300e6 if apart == 1 else 700e6)
+
+
 def test_few_users_are_listed(spark, ratings_of, monkeypatch):
     """A list of users cut in parts that may hold only two of them: the others keep whole baskets."""
     monkeypatch.setattr(corating, "MOST_HEAVY", 2)
