@@ -181,10 +181,27 @@ def _listed(sizes: DataFrame, in_heavy: float, part_items: int) -> DataFrame:
     return sizes.where(F.col("n") > least).select("userId", F.ceil(F.col("n") / part_items).cast("int").alias("parts"))
 
 
-def _baskets(incidence: DataFrame, part_items: int, tasks: int | None) -> DataFrame:
-    """(l, r): a row for the basket of a user, or for every pair of its parts where it has several."""
-    raters = incidence.groupBy("item").agg(F.sum("w").alias("raters"))
-    sizes = incidence.groupBy("userId").agg(F.count(F.lit(1)).alias("n"))
+def _raters(incidence: DataFrame) -> DataFrame:
+    return incidence.groupBy("item").agg(F.sum("w").alias("raters"))
+
+
+def _sizes(incidence: DataFrame) -> DataFrame:
+    return incidence.groupBy("userId").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _baskets(
+    incidence: DataFrame,
+    part_items: int,
+    tasks: int | None,
+    raters: DataFrame | None = None,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
+    """(l, r): a row for the basket of a user, or for every pair of its parts where it has several.
+
+    ``raters`` and ``sizes`` are given where they are stored already.
+    """
+    raters = _raters(incidence) if raters is None else raters
+    sizes = _sizes(incidence) if sizes is None else sizes
     n = F.col("n").cast("double")
     known = sizes.agg(
         F.sum(n * (n - 1) / 2).alias("pairs"), F.sum(F.when(F.col("n") > part_items, F.col("n"))).alias("in_heavy")
@@ -569,10 +586,9 @@ def _best_pairs(ratings: DataFrame, k: int, dedupe: bool, part_items: int | None
 
     ``part_items`` asks for partial counts of baskets in such parts.
     """
-    incidence = settled_alone(_incidence(ratings, dedupe))
+    incidence, raters, sizes = settled_alone(_incidence(ratings, dedupe)), None, None
     if part_items is None:
-        raters = settled_alone(incidence.groupBy("item").agg(F.sum("w").alias("raters")))
-        sizes = settled_alone(incidence.groupBy("userId").agg(F.count(F.lit(1)).alias("n")))
+        raters, sizes = settled_alone(_raters(incidence)), settled_alone(_sizes(incidence))
         n = F.col("n").cast("double")
         known = sizes.agg(
             F.sum("n").alias("entries"),
@@ -592,7 +608,7 @@ def _best_pairs(ratings: DataFrame, k: int, dedupe: bool, part_items: int | None
             blocks = min(MOST_TASKS, max(wanted, math.ceil((2 * pairs + entries) / BLOCK_ENTRIES)))
             most = max(PASS_ENTRIES, PASS_SHARE * entries)
             return _tiles(pieces, entries + (cut["rows"] or 0), k, items["least"], most, wanted, blocks)
-    baskets = _baskets(incidence, part_items or PART_ITEMS, tasks)
+    baskets = _baskets(incidence, part_items or PART_ITEMS, tasks, raters, sizes)
     return _both_ways(_summed(baskets.mapInArrow(partial_counts(not dedupe, PAIRS_AT_ONCE), PARTIAL_SCHEMA)))
 
 
